@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.model import KEY, LOAD_BATCH, SOURCES
-from tidemark.operators.skew import join_small, row_index
+from tidemark.operators.skew import arrival_index, join_small, row_index
 from tidemark.operators.validate import reject_reason, storage_ok
 
 
@@ -86,8 +87,14 @@ def upsert(
 def assign_batches(
     df: DataFrame, size: int = LOAD_BATCH, by: str = "source", seq: str = "seq", max_rows: int = 5_000_000,
 ) -> DataFrame:
-    """Add ``row_index`` (0-based position within the source) and ``batch`` = floor(row_index / size)."""
-    indexed = row_index(df, [by], seq, "row_index", max_rows)
+    """Add ``row_index`` (0-based position within the source) and ``batch`` = floor(row_index / size).
+
+    ``seq`` is a number, or the ``arrival`` key of rows read from files.
+    """
+    if isinstance(df.schema[seq].dataType, StructType):
+        indexed = arrival_index(df, [by], "row_index", seq)
+    else:
+        indexed = row_index(df, [by], seq, "row_index", max_rows)
     return indexed.withColumn("batch", F.floor(F.col("row_index") / size))
 
 
@@ -151,7 +158,7 @@ def judge_rows(staged: DataFrame, watermarks: DataFrame, sources: Sequence[str]
     )
 
 
-def load_report(judged: DataFrame) -> DataFrame:
+def load_report(judged: DataFrame, *more: Column) -> DataFrame:
     """Counts per source in one pass; ``processed`` is fetched less skipped, so it counts bad rows too."""
     def n(kind: str) -> Column:
         return F.count_if(F.col("fate") == kind)
@@ -163,6 +170,7 @@ def load_report(judged: DataFrame) -> DataFrame:
         n("invalid").alias("validation_errors"),
         n("failed").alias("failed_records"),
         n("load").alias("loaded"),
+        *more,
     )
 
 

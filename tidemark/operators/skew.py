@@ -83,6 +83,29 @@ def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows:
     )
 
 
+def arrival_index(df: DataFrame, keys: Sequence[str], name: str, arrival: str = "arrival") -> DataFrame:
+    """As :func:`row_index` for rows ordered by their place in the files they were read from.
+
+    The file blocks are the chunks: their size is bounded by the reader, and the one table summed up in order
+    has a row per block.
+    """
+    keys = list(keys)
+    placed = df.withColumns({"_file": F.col(arrival)["file"], "_block": F.col(arrival)["block"]})
+    block = [*keys, "_file", "_block"]
+    before = Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_m"))
+        .select(*block, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
+    )
+    local = F.row_number().over(Window.partitionBy(*block).orderBy(F.col(arrival)["row"])) - 1
+    return (
+        placed.withColumn("_local", local)
+        .join(offsets, block, "left")
+        .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
+        .drop("_local", "_offset", "_file", "_block")
+    )
+
+
 def join_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str, max_rows: int = 100_000) -> DataFrame:
     """Join ``side`` by broadcast when a count shows it is small, otherwise by a shuffled join.
 

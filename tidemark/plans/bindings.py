@@ -30,9 +30,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as a file stream."""
+    """The same events as a file stream; as a pattern the path may be one file or a folder of parts."""
     schema = table(spark, sf_dir, "events").schema
-    return with_number(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet"))
+    return with_number(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def with_number(raw: DataFrame) -> DataFrame:

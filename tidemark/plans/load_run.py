@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
-from tidemark.model import LOAD_BATCH, PROGRESS, REGISTRY, SOURCE_REPORT, SOURCES
+from tidemark.model import LOAD_BATCH, REGISTRY, SOURCE_REPORT, SOURCES
 from tidemark.operators import drift, ledger, load, outliers
-from tidemark.operators.skew import row_index
 from tidemark.sources.tables import Tables
 
 
@@ -32,7 +31,7 @@ def _mappings(rows: list[Row], status: str) -> list[tuple]:
     return [(r["from"], r["to"], r["confidence"]) for r in rows if r["status"] == status]
 
 
-def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str, now: Column) -> dict:
+def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -> dict:
     """Register the header if it is new or changed; one header is a few rows."""
     registry = tables.registry()
     known = drift.current_headers(registry).filter(F.col("feed").isin([source]))
@@ -51,56 +50,53 @@ def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str, n
 
 def _stage(
     tables: Tables, source: str, feed: Feed, run_id: str, batch_id: str, marks: DataFrame, sources: Sequence[str],
-) -> DataFrame:
+) -> str:
     """Write the feed's rows once, judged and numbered; all later steps read this table, pruned to their columns."""
     saved = load.latest_progress(tables.progress()).filter(
         (F.col("batch_id") == batch_id) & (F.col("source") == source))
-    numbered = row_index(feed.rows().filter(F.col("source") == source), ["source"], feed.seq, "row_index")
-    judged = load.judge_rows(load.resume_from(numbered, saved), marks, sources)
+    rows = feed.rows().filter(F.col("source") == source)
+    judged = load.judge_rows(load.resume_from(load.assign_batches(rows, seq=feed.seq), saved), marks, sources)
     path = f"{tables.root}/staged/{run_id}/{source}"
-    judged.write.mode("overwrite").parquet(path)
-    return tables.spark.read.parquet(path)
+    judged.drop("arrival", "seq").write.mode("overwrite").parquet(path)
+    return path
+
 
+def _detect(tables: Tables, staged: DataFrame, counts: list[Row], run_id: str, load_id: str) -> dict[str, int]:
+    """Outliers against the saved history of all loads before, then the history after this one.
 
-def _detect(tables: Tables, source: str, staged: DataFrame, run_id: str, load_id: str) -> None:
-    """Outliers of the staged rows against the saved history of all loads before, then the history after them."""
+    History runs through the feeds in turn, so each feed's row numbers are moved behind those of the last one.
+    """
     generation = tables.tail_generation(load_id)
     tail = tables.outlier_tail(generation)
     base = tail.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0]
-    ordered = staged.withColumn("seq", F.col("row_index") + base)
-    tables.write_outliers(outliers.detect_outliers(ordered, tail=tail), run_id, source)
-    if not staged.isEmpty():
+    start = F.lit(None).cast("long")
+    for r in counts:
+        start = F.when(F.col("source") == r["source"], F.lit(base - r["first"])).otherwise(start)
+        base += r["fetched"]
+    ordered = staged.withColumn("seq", F.col("row_index") + start)
+    tables.write_outliers(outliers.detect_outliers(ordered, keep=("source",), tail=tail), run_id)
+    if counts:
         tables.advance_tail(outliers.explode_fields(ordered), tail, generation + 1)
-
-
-def _load_source(
-    tables: Tables, source: str, feed: Feed, run_id: str, batch_id: str, marks: DataFrame, now: Column,
-    sources: Sequence[str], batch_size: int,
-) -> tuple:
-    staged = _stage(tables, source, feed, run_id, batch_id, marks, sources)
-    head = {"schema_version": 1, "applied_mappings": [], "quarantined_mappings": [], "skipped_mappings": [],
-            "skipped_fields": []}
-    if feed.header is not None:
-        head = _check_header(tables, feed.header(), run_id, source, now)
-
-    first = staged.agg(F.min("row_index")).first()[0]
-    _detect(tables, source, staged, run_id, f"{batch_id}-{first}")
-
-    report = load.load_report(staged).first()
-    counts = report.asDict() if report else dict.fromkeys(
-        ("fetched", "skipped_by_watermark", "processed", "validation_errors", "failed_records", "loaded"), 0)
-    tables.write_failed(load.failed_ids(staged), run_id, source)
-    tables.upsert(staged.filter(F.col("fate") == "load"), f"{run_id}-{source}", now, "row_index", run_id=run_id)
-
-    done = load.progress_after(staged, F.lit(batch_id), F.lit(run_id), now)
-    tables.save_progress(done, f"{run_id}-{source}")
-    return (
-        source, counts["fetched"], counts["skipped_by_watermark"], counts["processed"],
-        counts["validation_errors"], counts["failed_records"], counts["loaded"], [],
-        first // batch_size if first else None,
-        tables.outliers(run_id, source).count(), head["schema_version"], head["applied_mappings"],
-        head["quarantined_mappings"], head["skipped_mappings"], head["skipped_fields"],
-    )
+    return {r["source"]: r["outliers"] for r in outliers.outliers_per_source(tables.outliers(run_id)).collect()}
+
+
+def _report(
+    headers: dict[str, dict], failures: dict[str, str], found: dict[str, int],
+    counts: list[Row], batch_size: int,
+) -> list[tuple]:
+    """One report row per source, failed ones included."""
+    plain = {"schema_version": 1, "applied_mappings": [], "quarantined_mappings": [], "skipped_mappings": [],
+             "skipped_fields": []}
+    rows = {r["source"]: r for r in counts}
+    report = []
+    for source in [*headers, *failures]:
+        r, head = rows.get(source), headers.get(source) or plain
+        n = [r[c] if r else 0 for c in (
+            "fetched", "skipped_by_watermark", "processed", "validation_errors", "failed_records", "loaded")]
+        failed = [(source, "unknown", failures[source], None)] if source in failures else []
+        resumed = r["first"] // batch_size if r and r["first"] else None
+        report.append((source, *n, failed, resumed, found.get(source, 0), *[head[c] for c in plain]))
+    return report
 
 
 def load_run(
@@ -112,28 +108,58 @@ def load_run(
     sources: Sequence[str] = SOURCES,
     batch_size: int = LOAD_BATCH,
 ) -> DataFrame:
-    """Run all feeds; a feed that fails becomes a failed batch of the ledger row and spares the others.
+    """Run all feeds; one that cannot be read becomes a failed batch of the ledger row and spares the others.
 
-    ``snapshot_id`` names the feed contents. Progress is kept under it, so a later run over the same
-    snapshot takes up where an incomplete one stopped. Returns the ledger row as stored.
+    Feeds are staged one by one, because each may fail, and from there on handled together. ``snapshot_id``
+    names the feed contents. Progress is kept under it, so a later run over the same snapshot takes up where
+    an incomplete one stopped. Returns the ledger row as stored; a run that fails as a whole is logged and
+    raises.
     """
     spark, stamp = tables.spark, F.lit(now).cast("timestamp")
     snapshot_id = snapshot_id or run_id
-    tables.recover()
-    marks = tables.marks(snapshot_id)
-    reports = []
-    for source, feed in feeds.items():
-        try:
-            reports.append(_load_source(
-                tables, source, feed, run_id, f"{snapshot_id}_{source}", marks, stamp, sources, batch_size))
-        except Exception as error:  # any fault of one feed is recorded, none stops the run
-            failed = [(source, "unknown", str(error).splitlines()[0][:500], None)]
-            reports.append((source, 0, 0, 0, 0, 0, 0, failed, None, 0, 1, [], [], [], []))
-
-    report = spark.createDataFrame(reports, SOURCE_REPORT).withColumn("run_id", F.lit(run_id))
-    ended = F.lit(datetime.now(timezone.utc)).cast("timestamp") if now.tzinfo else F.lit(now).cast("timestamp")
-    tables.write_summary(ledger.run_summary(report, stamp), run_id)
-    tables.write_run(ledger.run_record(report, stamp, ended), run_id)
-    if not any(r[7] for r in reports):
+    headers: dict[str, dict] = {}
+    failures: dict[str, str] = {}
+    paths: list[str] = []
+
+    def log(rows: list[tuple], message: str | None = None) -> None:
+        report = spark.createDataFrame(rows, SOURCE_REPORT).withColumn("run_id", F.lit(run_id))
+        ended = F.lit(max(now, datetime.now(now.tzinfo))).cast("timestamp")
+        record = ledger.run_record(report, stamp, ended)
+        if message is None:
+            tables.write_summary(ledger.run_summary(report, stamp), run_id)
+        tables.write_run(record if message is None else ledger.failed_run(record, message), run_id)
+
+    try:
+        tables.recover()
+        marks = tables.marks(snapshot_id)
+        for source, feed in feeds.items():
+            try:
+                path = _stage(tables, source, feed, run_id, f"{snapshot_id}_{source}", marks, sources)
+                headers[source] = {} if feed.header is None else _check_header(
+                    tables, feed.header(), run_id, source)
+                paths.append(path)
+            except Exception as error:  # whatever is wrong with one feed is recorded and spares the others
+                headers.pop(source, None)
+                failures[source] = str(error).splitlines()[0][:500]
+        if not paths:
+            log(_report(headers, failures, {}, [], batch_size))
+            return tables.runs().filter(F.col("run_id") == run_id)
+
+        staged = spark.read.parquet(*paths)
+        counts = load.load_report(staged, F.min("row_index").alias("first")).collect()
+        order = list(feeds)
+        counts.sort(key=lambda r: order.index(r["source"]))
+        found = _detect(tables, staged, counts, run_id, f"{snapshot_id}-" + "-".join(
+            f"{r['source']}.{r['first']}" for r in counts))
+        tables.write_failed(load.failed_ids(staged), run_id)
+        good = staged.filter(F.col("fate") == "load")
+        tables.upsert(load.last_per_key(good, "row_index"), run_id, stamp, seq=None)
+        batch_id = F.concat(F.lit(f"{snapshot_id}_"), "source")
+        tables.save_progress(load.progress_after(staged, batch_id, F.lit(run_id), stamp), run_id)
+        log(_report(headers, failures, found, counts, batch_size))
+    except Exception as error:
+        log(_report(headers, failures, {}, [], batch_size), str(error).splitlines()[0][:500])
+        raise
+    if not failures:
         tables.clear_progress(run_id)
     return tables.runs().filter(F.col("run_id") == run_id)

@@ -27,16 +27,19 @@ MARKS = StructType().add("source", StringType()).add("watermark", TimestampType(
 MAX_LISTED = 5_000
 
 
-def write_data(df: DataFrame, path: str, mode: str = "append", overwrite: str = "dynamic") -> None:
-    """Write rows partitioned by source and day; rows of one day are gathered, big days over several tasks.
+def gather_days(df: DataFrame) -> DataFrame:
+    """Bring rows of one (source, day) together for writing.
 
-    ``rebalance`` lets AQE merge small partitions and split large ones, so a hot source or day does not
-    become one task or one file.
+    ``rebalance`` lets AQE merge small partitions and split large ones, so a hot source or day becomes neither
+    one task nor one file.
     """
-    dated = df.withColumn("day", F.to_date("timestamp"))
+    return df.withColumn("day", F.to_date("timestamp")).hint("rebalance", *PARTITIONS)
+
+
+def write_data(df: DataFrame, path: str, mode: str = "append", overwrite: str = "dynamic") -> None:
+    """Write rows that have a ``day`` into their (source, day) folders."""
     (
-        dated.hint("rebalance", *PARTITIONS)
-        .write.mode(mode)
+        df.write.mode(mode)
         .option("partitionOverwriteMode", overwrite)
         .partitionBy(*PARTITIONS)
         .parquet(path)
@@ -68,7 +71,7 @@ class Tables:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def _read_data(self, name: str, schema: StructType) -> DataFrame:
-        return self._read(name, StructType(schema.fields).add("day", DateType()))
+        return self._read(name, StructType([*schema.fields]).add("day", DateType()))
 
     def raw(self) -> DataFrame:
         return self._read_data("raw", RAW).drop("day").select(*RAW.names)
@@ -92,11 +95,11 @@ class Tables:
 
     def write_raw(self, df: DataFrame) -> None:
         """Append full rows."""
-        write_data(df.select(*RAW.names), self.path("raw"))
+        write_data(gather_days(df.select(*RAW.names)), self.path("raw"))
 
     def write_normalized(self, df: DataFrame) -> None:
         """Append rows without their payload."""
-        write_data(df.select(*NORMALIZED.names), self.path("normalized"))
+        write_data(gather_days(df.select(*NORMALIZED.names)), self.path("normalized"))
 
     def append(self, name: str, df: DataFrame, schema: StructType, part: str) -> None:
         """Append to a small table under ``part``; running the same part again replaces it."""
@@ -150,15 +153,18 @@ class Tables:
         """Merge validated rows into both data tables under the load's own ``pending`` folder."""
         target = self.affected_days("raw", RAW, staged)
         merged = upsert(staged, target, F.lit(run_id or load_id), now, seq)
-        write_data(merged, self.path(f"pending/{load_id}"), "overwrite", "static")
+        write_data(gather_days(merged), self.path(f"pending/{load_id}"), "overwrite", "static")
         self._log_load(load_id, "ready")
         self.publish(load_id)
 
     def publish(self, load_id: str) -> None:
-        """Replace the touched days of both tables with the load's pending rows; safe to repeat."""
+        """Replace the touched days of both tables with the load's pending rows; safe to repeat.
+
+        The pending files already lie by source and day, so these writes need no shuffle.
+        """
         merged = self._read_data(f"pending/{load_id}", RAW)
-        write_data(merged.select(*RAW.names), self.path("raw"), "overwrite")
-        write_data(merged.select(*NORMALIZED.names), self.path("normalized"), "overwrite")
+        write_data(merged.select(*RAW.names, "day"), self.path("raw"), "overwrite")
+        write_data(merged.select(*NORMALIZED.names, "day"), self.path("normalized"), "overwrite")
         self._log_load(load_id, "done")
 
     def _log_load(self, load_id: str, state: str) -> None:
@@ -194,11 +200,11 @@ class Tables:
         kept.withColumn("generation", F.lit(generation).cast("long")).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("generation").parquet(self.path("outlier_tail"))
 
-    def write_outliers(self, found: DataFrame, run_id: str, source: str) -> None:
-        found.write.mode("overwrite").parquet(self.path(f"outliers/{run_id}/{source}"))
+    def write_outliers(self, found: DataFrame, run_id: str) -> None:
+        found.write.mode("overwrite").parquet(self.path(f"outliers/{run_id}"))
 
-    def outliers(self, run_id: str, source: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(f"outliers/{run_id}/{source}"))
+    def outliers(self, run_id: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(f"outliers/{run_id}"))
 
-    def write_failed(self, failed: DataFrame, run_id: str, source: str) -> None:
-        failed.write.mode("overwrite").parquet(self.path(f"failed/{run_id}/{source}"))
+    def write_failed(self, failed: DataFrame, run_id: str) -> None:
+        failed.write.mode("overwrite").parquet(self.path(f"failed/{run_id}"))

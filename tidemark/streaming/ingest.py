@@ -35,7 +35,7 @@ def load_batch(
     path = tables.path(f"staged/{load_id}")
     load.judge_rows(batch, tables.marks(load_id), sources).write.mode("overwrite").parquet(path)
     staged = tables.spark.read.parquet(path)
-    tables.write_failed(load.failed_ids(staged), load_id, "all")
+    tables.write_failed(load.failed_ids(staged), load_id)
     tables.upsert(dedupe_batch(staged.filter(F.col("fate") == "load")), load_id, now, seq=None)
     load.load_report(staged).withColumn("load_id", F.lit(load_id)).write.mode("overwrite").parquet(
         tables.path(f"load_reports/{load_id}"))

@@ -17,7 +17,7 @@ def detect_batch(tables: Tables, batch: DataFrame, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(path)
     arrived = tables.spark.read.parquet(path)
     tail = tables.outlier_tail(batch_id)
-    tables.write_outliers(detect_outliers(arrived, tail=tail), "stream", f"batch-{batch_id}")
+    tables.write_outliers(detect_outliers(arrived, tail=tail), f"batch-{batch_id}")
     tables.advance_tail(explode_fields(arrived), tail, batch_id + 1)
 
 
@@ -33,7 +33,7 @@ def outlier_stream(stream: DataFrame, tables: Tables, checkpoint: str) -> Stream
 
 def found(tables: Tables) -> DataFrame:
     """All outliers of the stream so far."""
-    return tables.spark.read.parquet(tables.path("outliers/stream/*"))
+    return tables.spark.read.parquet(tables.path("outliers/*"))
 
 
 def run_on_events(spark: SparkSession, sf_dir: str) -> DataFrame:
