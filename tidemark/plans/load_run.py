@@ -48,14 +48,18 @@ def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -
     }
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """One row per feed of the run, held on the driver so that staging each feed does not compute it again."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def _stage(
-    tables: Tables, source: str, feed: Feed, run_id: str, batch_id: str, marks: DataFrame, sources: Sequence[str],
+    tables: Tables, source: str, feed: Feed, run_id: str, progress: DataFrame, marks: DataFrame,
+    sources: Sequence[str],
 ) -> str:
     """Write the feed's rows once, judged and numbered; all later steps read this table, pruned to their columns."""
-    saved = load.latest_progress(tables.progress()).filter(
-        (F.col("batch_id") == batch_id) & (F.col("source") == source))
     rows = feed.rows().filter(F.col("source") == source)
-    judged = load.judge_rows(load.resume_from(load.assign_batches(rows, seq=feed.seq), saved), marks, sources)
+    judged = load.judge_rows(load.resume_from(load.assign_batches(rows, seq=feed.seq), progress), marks, sources)
     path = f"{tables.root}/staged/{run_id}/{source}"
     judged.drop("arrival", "seq").write.mode("overwrite").parquet(path)
     return path
@@ -131,10 +135,12 @@ def load_run(
 
     try:
         tables.recover()
-        marks = tables.marks(snapshot_id)
+        marks = _small(tables.marks(snapshot_id).filter(F.col("source").isin(*feeds)))
+        batch_ids = [f"{snapshot_id}_{source}" for source in feeds]
+        progress = _small(load.latest_progress(tables.progress().filter(F.col("batch_id").isin(batch_ids))))
         for source, feed in feeds.items():
             try:
-                path = _stage(tables, source, feed, run_id, f"{snapshot_id}_{source}", marks, sources)
+                path = _stage(tables, source, feed, run_id, progress, marks, sources)
                 headers[source] = {} if feed.header is None else _check_header(
                     tables, feed.header(), run_id, source)
                 paths.append(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -31,14 +32,17 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that is unset *and* the master is local does a temporary folder stand in for it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidemark-{application_id}-")
 
 
 def new_scratch(spark: SparkSession, label: str) -> str:
