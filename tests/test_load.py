@@ -2,12 +2,13 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.model import RAW
-from tidemark.operators import drift, feeds, load, mapping, outliers, validate
+from tidemark.operators import drift, feeds, load, mapping, outliers, serve, validate
 from tidemark.plans.load_run import Feed, load_run
 from tidemark.sources.feeds import (
     csv_payload, read_csv_feed, read_flat_json_feed, read_nested_json_feed, unreadable_rows,
@@ -147,7 +148,41 @@ def test_upsert_reads_only_the_days_it_touches(spark, tmp_path):
     tables.upsert(rows(spark, [("A", 1, 24 * d) for d in range(6)]), "r1", stamp(1))
     touched = tables.affected_days("raw", RAW, rows(spark, [("Z", 1, 48)]))
     assert touched.count() == 1
-    assert "PartitionFilters: [isnotnull" in touched._jdf.queryExecution().toString() or "day" in touched._jdf.queryExecution().toString()
+    assert pruned_by_day(touched)
+
+
+def pruned_by_day(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return bool(re.search(r"PartitionFilters: \[[^\]]*day#", plan))
+
+
+def test_marks_come_from_the_newest_days(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.upsert(rows(spark, [("A", 1, 30 * d) for d in range(6)]), "r1", stamp(1))
+    tables.upsert(rows(spark, [("A", 1, 2)], "coingecko"), "r2", stamp(1))
+    marks = tables.watermarks()
+    assert {r["source"]: r["watermark"] for r in marks.collect()} == {
+        "csv": NOON + dt.timedelta(hours=150), "coingecko": NOON + dt.timedelta(hours=2)}
+    assert as_rows(marks) == as_rows(load.source_watermarks(tables.normalized()))
+
+
+def as_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_pages_of_a_stored_table(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.upsert(rows(spark, [(f"S{i % 5}", 1, i * 3) for i in range(60)]), "r1", stamp(1))
+    want = [r["timestamp"] for r in serve.sort_data(tables.normalized()).collect()]
+    got, cursor, more = [], None, True
+    while more:
+        page = serve.page_data(tables.served(), 7, cursor=cursor)
+        got += [r["timestamp"] for r in serve.sort_data(page.rows).collect()]
+        cursor, more = page.cursor, page.has_more
+    assert got == want
+    head = serve.page_frame(tables.served(), 8)
+    assert head.count() == 8 and pruned_by_day(head)
+    assert pruned_by_day(serve.filter_data(tables.served(), start=NOON))
 
 
 def test_many_days_fall_back_to_a_join(spark, tmp_path, monkeypatch):

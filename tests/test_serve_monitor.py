@@ -17,7 +17,11 @@ def data(spark):
 
 @pytest.mark.parametrize("sort_by", ["volume_24h", "symbol", "timestamp", "source"])
 @pytest.mark.parametrize("sort_dir", ["asc", "desc"])
-def test_pages_add_up_to_the_whole(data, sort_by, sort_dir):
+@pytest.mark.parametrize("with_day", [False, True])
+def test_pages_add_up_to_the_whole(data, sort_by, sort_dir, with_day):
+    if with_day and sort_by != "timestamp":
+        return
+    data = data.withColumn("day", F.to_date("timestamp")) if with_day else data
     whole = [tuple(r) for r in serve.sort_data(data, sort_by, sort_dir).collect()]
     pages, cursor, more = [], None, True
     while more:
@@ -49,6 +53,8 @@ def test_filter(data):
     got = serve.filter_data(data, "s3", "csv", dt.datetime(2024, 1, 1, 3), "2024-01-02 07:00:00").collect()
     assert {r["timestamp"] for r in got} == {dt.datetime(2024, 1, 1, 3), dt.datetime(2024, 1, 1, 17), dt.datetime(2024, 1, 2, 7)}
     assert serve.filter_data(data).count() == 101
+    dated = data.withColumn("day", F.to_date("timestamp"))
+    assert serve.filter_data(dated, "s3", "csv", dt.datetime(2024, 1, 1, 3), "2024-01-02 07:00:00").count() == 3
 
 
 RUN = ("run_id string, status string, start_time timestamp, end_time timestamp, rows_processed long, rows_loaded long, "

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions.clean import WHITESPACE
@@ -20,51 +18,39 @@ def fold_drift(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[_-]", "")
 
 
-def header_score(column: Column, target: Column) -> Column:
+def header_score(folded: Column, length: Column, target: str) -> Column:
     """Edit similarity of the folded names over the longer *unfolded* length."""
-    longer = F.greatest(F.length(column), F.length(target), F.lit(1))
-    return F.lit(1.0) - F.levenshtein(fold_header(column), fold_header(target)) / longer
-
+    longer = F.greatest(length, F.lit(max(len(target), 1)))
+    return F.lit(1.0) - F.levenshtein(folded, fold_header(F.lit(target))) / longer
 
-def target_scores(column: Column, targets: Sequence[str] = UNIFIED_FIELDS) -> Column:
-    """One struct(score, target_pos, target) per unified field, in field order."""
-    return F.array(*[
-        F.struct(
-            header_score(column, F.lit(t)).alias("score"),
-            F.lit(i).alias("target_pos"),
-            F.lit(t).alias("target"),
-        )
-        for i, t in enumerate(targets)
-    ])
 
+def target_scores(folded: Column, length: Column, *, ranked: bool) -> Column:
+    """One struct per unified field: score and target, with a rank between them when the best is to be taken
+    (of equal scores the earlier field ranks higher)."""
+    def entry(i: int, t: str) -> Column:
+        rank = [F.lit(-i).alias("rank")] if ranked else []
+        return F.struct(header_score(folded, length, t).alias("score"), *rank, F.lit(t).alias("target"))
 
-def best_of(scores: Column) -> Column:
-    """Highest score, the earliest target on ties, null when nothing scores above 0."""
-    ranked = F.transform(scores, lambda s: F.struct(
-        s["score"].alias("score"), (-s["target_pos"]).alias("rank"), s["target"].alias("target")))
-    best = F.array_max(ranked)
-    return F.when(best["score"] > 0, best)
+    return F.array(*[entry(i, t) for i, t in enumerate(UNIFIED_FIELDS)])
 
 
-def is_alias_pair(a: Column, b: Column) -> Column:
-    pairs = [
-        ((a == alias) & (b == field)) | ((b == alias) & (a == field))
-        for alias, field in COLUMN_ALIASES.items()
-    ]
-    any_pair = pairs[0]
-    for p in pairs[1:]:
-        any_pair = any_pair | p
-    return any_pair
+def drift_name(c: Column) -> Column:
+    """What comparing one name against many needs to know about it, computed once."""
+    known = F.lit(None).cast("string")
+    for alias, field in COLUMN_ALIASES.items():
+        known = F.when(c == alias, field).otherwise(known)
+    return F.struct(c.alias("name"), fold_drift(c).alias("folded"), known.alias("alias"))
 
 
 def drift_score(a: Column, b: Column) -> Column:
-    """1.0 for an alias pair, 0.9 when one folded name holds the other, else edit similarity."""
-    x, y = fold_drift(a), fold_drift(b)
-    longer = F.greatest(F.length(x), F.length(y))
+    """Similarity of two :func:`drift_name` values: 1.0 for an alias pair, 0.9 when one folded name holds the
+    other, else edit similarity."""
+    x, y = a["folded"], b["folded"]
+    pair = F.coalesce(a["alias"] == b["name"], F.lit(False)) | F.coalesce(b["alias"] == a["name"], F.lit(False))
     return (
-        F.when(is_alias_pair(a, b), F.lit(1.0))
+        F.when(pair, F.lit(1.0))
         .when(F.contains(x, y) | F.contains(y, x), F.lit(0.9))
-        .otherwise(F.lit(1.0) - F.levenshtein(x, y) / longer)
+        .otherwise(F.lit(1.0) - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y)))
     )
 
 

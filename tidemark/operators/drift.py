@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.names import confidence_class, drift_score
+from tidemark.functions.names import confidence_class, drift_name, drift_score
 from tidemark.model import REGISTRY
+from tidemark.operators.skew import join_small
 
 # Names are compared in blocks of this many, so a header of any width is matched in full.
 BLOCK = 500
@@ -30,10 +31,14 @@ def infer_feed_schema(df: DataFrame, feed: str) -> DataFrame:
 
 
 def infer_payload_schema(df: DataFrame, feed: str = "source", payload: str = "raw_data", seq: str = "seq") -> DataFrame:
-    """Header table from the first JSON record of every feed; each map task forwards one record per feed."""
-    first = df.groupBy(F.col(feed).alias("feed")).agg(F.min_by(payload, seq).alias("_first"))
-    fields = first.select("feed", F.expr("_first"), F.json_object_keys("_first").alias("_keys"))
-    each = fields.select("feed", F.col("_first"), F.posexplode("_keys").alias("pos", "column"))
+    """Header table from the first JSON record of every feed.
+
+    The first row is found by its number alone, so no payload is sorted or shuffled except the chosen ones.
+    """
+    numbered = df.select(F.col(feed).alias("feed"), F.col(seq).alias("_seq"), F.col(payload).alias("_first"))
+    firsts = numbered.groupBy("feed").agg(F.min("_seq").alias("_seq"))
+    first = join_small(numbered, firsts, ["feed", "_seq"], "left_semi")
+    each = first.select("feed", "_first", F.posexplode(F.json_object_keys("_first")).alias("pos", "column"))
     kind = F.schema_of_variant(F.expr("try_variant_get(try_parse_json(_first), '$', 'map<string,variant>')[column]"))
     return each.select(
         "feed", "column",
@@ -94,15 +99,15 @@ def drift_mappings(old: DataFrame, new: DataFrame) -> DataFrame:
     blocks = (
         added_columns(old, new)
         .groupBy("feed", F.floor(F.col("pos") / BLOCK).alias("_block"))
-        .agg(F.collect_list(F.struct("pos", "column")).alias("_names"))
+        .agg(F.collect_list(F.struct("pos", drift_name(F.col("column")).alias("name"))).alias("_names"))
     )
     best = F.array_max(F.transform("_names", lambda a: F.struct(
-        drift_score(F.col("from"), a["column"]).alias("score"), (-a["pos"]).alias("rank"),
-        a["column"].alias("to"))))
+        drift_score(F.col("_from"), a["name"]).alias("score"), (-a["pos"]).alias("rank"),
+        a["name"]["name"].alias("to"))))
     scored = (
-        removed_columns(old, new).select("feed", F.col("column").alias("from"))
+        removed_columns(old, new).select("feed", drift_name(F.col("column")).alias("_from"))
         .join(blocks, "feed")
-        .select("feed", "from", best.alias("_best"))
+        .select("feed", F.col("_from.name").alias("from"), best.alias("_best"))
     )
     return (
         scored.groupBy("feed", "from").agg(F.max("_best").alias("_best"))

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.functions.clean import clean_number, clean_text, clean_timestamp, text_or
 from tidemark.model import FLAT_FEED_ROWS, NESTED_FEED_ROWS, SOURCE_QUOTAS
@@ -50,6 +51,15 @@ def _has(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None)
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A number for a text column; a column that is a number already only gets its missing values filled."""
+    if name not in df.columns:
+        return F.lit(0.0)
+    if isinstance(df.schema[name].dataType, NumericType):
+        return F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+    return clean_number(name)
+
+
 def normalize_csv(
     mapped: DataFrame, run_ts: Column | None = None, on_bad: str = "reject", epoch_unit: str | None = None,
     keep: tuple[str, ...] = (),
@@ -60,7 +70,7 @@ def normalize_csv(
         *keep,
         F.upper(text_or(symbol, F.lit("UNKNOWN"))).alias("symbol"),
         text_or(name, symbol, F.lit("Unknown")).alias("name"),
-        *[clean_number(_has(mapped, c)).alias(c)
+        *[_number(mapped, c).alias(c)
           for c in ("price_usd", "volume_24h", "market_cap", "percent_change_24h")],
         clean_timestamp(_has(mapped, "timestamp").cast("string"), run_ts, on_bad, epoch_unit=epoch_unit)
         .alias("timestamp"),
@@ -73,13 +83,13 @@ def _normalize_json(
     feed: DataFrame, paths: Mapping[str, str], source: str, run_ts: Column | None, on_bad: str,
     keep: tuple[str, ...],
 ) -> DataFrame:
-    # A bare number is epoch milliseconds in these feeds, a text is a date.
-    stamp = F.coalesce(
-        clean_timestamp("last_updated", on_bad="reject"),
-        F.when(F.get_json_object("raw_data", "$.last_updated").rlike("^-?[0-9]+$")
-               & ~F.col("raw_data").rlike('"last_updated"\\s*:\\s*"'),
-               clean_timestamp(F.col("last_updated").try_cast("long"), numeric=True)),
-    )
+    # A bare number is epoch milliseconds in these feeds; digits in quotes are a text that is no date.
+    text = F.col("last_updated")
+    quoted = F.col("raw_data").rlike('"last_updated"\\s*:\\s*"')
+    stamp = F.when(
+        text.rlike("^-?[0-9]+$"),
+        F.when(quoted, clean_timestamp(text)).otherwise(clean_timestamp(text.try_cast("long"), numeric=True)),
+    ).otherwise(clean_timestamp(text))
     if on_bad == "now":
         stamp = F.coalesce(stamp, run_ts)
     return feed.select(

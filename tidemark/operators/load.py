@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.model import KEY, LOAD_BATCH, SOURCES
 from tidemark.operators.skew import arrival_index, join_small, row_index
-from tidemark.operators.validate import reject_reason, storage_ok
+from tidemark.operators.validate import storage_ok, with_reason
 
 
 def source_watermarks(target: DataFrame) -> DataFrame:
@@ -139,8 +139,8 @@ def clear_progress(log: DataFrame, run_id: str) -> DataFrame:
     return log.join(done, ["batch_id", "source"], "left_anti")
 
 
-def judge_rows(staged: DataFrame, watermarks: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
-    """Add ``error`` (first broken rule) and ``fate``: invalid, skipped, failed or load.
+def judge(marked: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
+    """Replace ``watermark`` by ``error`` (first broken rule) and ``fate``: invalid, skipped, failed or load.
 
     A record is validated before its mark is looked at, and only a new, valid record meets the storage rules.
     """
@@ -150,12 +150,12 @@ def judge_rows(staged: DataFrame, watermarks: DataFrame, sources: Sequence[str]
         .when(~storage_ok(sources, payload), "failed")
         .otherwise("load")
     )
-    return (
-        with_watermark(staged, watermarks)
-        .withColumn("error", reject_reason(sources, payload))
-        .withColumn("fate", fate)
-        .drop("watermark")
-    )
+    return with_reason(marked, sources, payload).withColumn("fate", fate).drop("watermark")
+
+
+def judge_rows(staged: DataFrame, watermarks: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
+    """:func:`judge` with the marks of a watermark table."""
+    return judge(with_watermark(staged, watermarks), sources, payload)
 
 
 def load_report(judged: DataFrame, *more: Column) -> DataFrame:

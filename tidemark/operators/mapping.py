@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.clean import clean_number_or_null, clean_text
-from tidemark.functions.names import best_of, confidence_class, fold_header, target_scores
+from tidemark.functions.names import confidence_class, fold_header, target_scores
 from tidemark.model import COLUMN_ALIASES, NUMERIC_FIELDS, UNIFIED_FIELDS
 
 
@@ -35,17 +35,24 @@ def apply_aliases(df: DataFrame) -> DataFrame:
     return df.select(*others, *[F.col(c).alias(field) for field, c in chosen.items()])
 
 
+def _folded(headers: DataFrame) -> DataFrame:
+    return headers.withColumns({"_folded": fold_header(F.col("column")), "_length": F.length("column")})
+
+
 def score_columns(headers: DataFrame) -> DataFrame:
     """Score of every header column against every unified field."""
-    return headers.select(*headers.columns, F.inline(target_scores(F.col("column"))))
+    scores = target_scores(F.col("_folded"), F.col("_length"), ranked=False)
+    return _folded(headers).select(*headers.columns, F.inline(scores))
 
 
 def best_match(headers: DataFrame) -> DataFrame:
-    """Closest unified field per header column, computed within the row; null when nothing is close at all."""
-    return (
-        headers.withColumn("_best", best_of(target_scores(F.col("column"))))
-        .select(*headers.columns, F.col("_best.target").alias("target"),
-                F.coalesce("_best.score", F.lit(0.0)).alias("score"))
+    """Closest unified field per header column, found within the row; null when nothing is close at all."""
+    scores = target_scores(F.col("_folded"), F.col("_length"), ranked=True)
+    best = _folded(headers).select(*headers.columns, F.array_max(scores).alias("_best"))
+    return best.select(
+        *headers.columns,
+        F.when(F.col("_best.score") > 0, F.col("_best.target")).alias("target"),
+        F.col("_best.score").alias("score"),
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from typing import Any, NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.model import HISTORY_LIMIT, PAGE_LIMIT, STATS_RUNS
 
@@ -17,15 +17,23 @@ def filter_data(
     df: DataFrame, symbol: str | None = None, source: str | None = None,
     start: datetime | str | None = None, end: datetime | str | None = None,
 ) -> DataFrame:
-    """Exact symbol (any case given) and source, inclusive time range; what is not given does not filter."""
+    """Exact symbol (any case given) and source, inclusive time range; what is not given does not filter.
+
+    Rows that carry their ``day`` are also filtered by it, which prunes the folders of a stored table.
+    """
+    by_day = "day" in df.columns
     if symbol:
         df = df.filter(F.col("symbol") == symbol.upper())
     if source:
         df = df.filter(F.col("source") == source)
     if start:
-        df = df.filter(F.col("timestamp") >= F.lit(start).cast("timestamp"))
+        start = F.lit(start).cast("timestamp")
+        df = df.filter(F.col("timestamp") >= start)
+        df = df.filter(F.col("day") >= F.to_date(start)) if by_day else df
     if end:
-        df = df.filter(F.col("timestamp") <= F.lit(end).cast("timestamp"))
+        end = F.lit(end).cast("timestamp")
+        df = df.filter(F.col("timestamp") <= end)
+        df = df.filter(F.col("day") <= F.to_date(end)) if by_day else df
     return df
 
 
@@ -77,11 +85,38 @@ def after(cursor: tuple, sort_by: str, sort_dir: str, row_id: Sequence[str] = RO
     return condition
 
 
+def prune_days(df: DataFrame, size: int, sort_dir: str) -> DataFrame:
+    """Keep the first days of a time order that hold ``size`` rows; the page cannot reach beyond them.
+
+    Rows per day come from the file footers, not from data; the table of days has one row per calendar day.
+    """
+    up = _ascending(sort_dir)
+    order = Window.orderBy(F.asc("day") if up else F.desc("day"))
+    enough = (
+        df.groupBy("day").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_sum", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(F.col("_sum") >= size)
+        .agg((F.min if up else F.max)("day")).first()[0]
+    )
+    if enough is None:
+        return df
+    return df.filter(F.col("day") <= F.lit(enough)) if up else df.filter(F.col("day") >= F.lit(enough))
+
+
 def page_frame(
     df: DataFrame, limit: int, sort_by: str = "timestamp", sort_dir: str = "desc",
     cursor: tuple | None = None, row_id: Sequence[str] = ROW_ID,
 ) -> DataFrame:
     """The page's rows in order: keyset predicate, then a top-k that never sorts the whole table."""
+    if "day" in df.columns and sort_by == "timestamp":
+        if cursor is not None and cursor[0] is not None:
+            edge = F.to_date(F.lit(cursor[0]).cast("timestamp"))
+            df = df.filter(F.col("day") >= edge if _ascending(sort_dir) else F.col("day") <= edge)
+            # The cursor's own day may be used up to any point, so it cannot count towards the page.
+            rest = prune_days(df.filter(F.col("day") != edge), limit, sort_dir)
+            df = rest.unionByName(df.filter(F.col("day") == edge))
+        elif cursor is None:
+            df = prune_days(df, limit, sort_dir)
     if cursor is not None:
         df = df.filter(after(cursor, sort_by, sort_dir, row_id))
     return sort_data(df, sort_by, sort_dir, row_id).limit(limit)

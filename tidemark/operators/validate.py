@@ -61,14 +61,24 @@ def reject_reason(sources: Sequence[str] = SOURCES, payload: bool = True) -> Col
     return reason
 
 
+def with_reason(df: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
+    """Add ``error``.
+
+    The rules read most columns several times. Were ``error`` a plain column, a filter on it would be pushed
+    below the projections that clean those columns and repeat the cleaning for every rule. A filter on the
+    output of ``inline`` stays above them, so each value is computed once.
+    """
+    return df.select("*", F.inline(F.array(F.struct(reject_reason(sources, payload).alias("error")))))
+
+
 def validate(df: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
     """Records that pass every rule."""
-    return df.filter(reject_reason(sources, payload).isNull())
+    return with_reason(df, sources, payload).filter(F.col("error").isNull()).drop("error")
 
 
 def validate_rejects(df: DataFrame, sources: Sequence[str] = SOURCES, payload: bool = True) -> DataFrame:
     """Records that fail, with the first failing rule in ``error``."""
-    return df.withColumn("error", reject_reason(sources, payload)).filter(F.col("error").isNotNull())
+    return with_reason(df, sources, payload).filter(F.col("error").isNotNull())
 
 
 def storage_ok(sources: Sequence[str] = SOURCES, payload: bool = True) -> Column:

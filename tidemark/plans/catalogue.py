@@ -283,7 +283,7 @@ def drift_similarity(spark, sf):
     before = F.lag("column").over(Window.partitionBy("feed").orderBy("pos"))
     pairs = b.headers(spark, sf).withColumn("previous", before).filter(F.col("previous").isNotNull())
     return pairs.select("feed", "column", "previous", F.round(
-        names.drift_score(F.col("previous"), F.col("column")), 6).alias("similarity"))
+        names.drift_score(names.drift_name(F.col("previous")), names.drift_name(F.col("column"))), 6).alias("similarity"))
 
 
 @query

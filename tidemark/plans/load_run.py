@@ -48,20 +48,16 @@ def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -
     }
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """One row per feed of the run, held on the driver so that staging each feed does not compute it again."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
-
-
 def _stage(
-    tables: Tables, source: str, feed: Feed, run_id: str, progress: DataFrame, marks: DataFrame,
-    sources: Sequence[str],
+    tables: Tables, source: str, feed: Feed, run_id: str, done: int, mark: datetime | None, sources: Sequence[str],
 ) -> str:
     """Write the feed's rows once, judged and numbered; all later steps read this table, pruned to their columns."""
-    rows = feed.rows().filter(F.col("source") == source)
-    judged = load.judge_rows(load.resume_from(load.assign_batches(rows, seq=feed.seq), progress), marks, sources)
+    numbered = load.assign_batches(feed.rows().filter(F.col("source") == source), seq=feed.seq)
+    if done:
+        numbered = numbered.filter(F.col("row_index") >= done)
     path = f"{tables.root}/staged/{run_id}/{source}"
-    judged.drop("arrival", "seq").write.mode("overwrite").parquet(path)
+    marked = numbered.drop("arrival", "seq").withColumn("watermark", F.lit(mark).cast("timestamp"))
+    load.judge(marked, sources).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -135,12 +131,15 @@ def load_run(
 
     try:
         tables.recover()
-        marks = _small(tables.marks(snapshot_id).filter(F.col("source").isin(*feeds)))
+        # One mark and one index per feed of the run; these are the run's own settings.
+        marks = {r["source"]: r["watermark"] for r in tables.marks(snapshot_id).filter(
+            F.col("source").isin(*feeds)).collect()}
         batch_ids = [f"{snapshot_id}_{source}" for source in feeds]
-        progress = _small(load.latest_progress(tables.progress().filter(F.col("batch_id").isin(batch_ids))))
+        done = {r["source"]: r["last_index"] for r in load.latest_progress(
+            tables.progress().filter(F.col("batch_id").isin(batch_ids))).collect()}
         for source, feed in feeds.items():
             try:
-                path = _stage(tables, source, feed, run_id, progress, marks, sources)
+                path = _stage(tables, source, feed, run_id, done.get(source, 0), marks.get(source), sources)
                 headers[source] = {} if feed.header is None else _check_header(
                     tables, feed.header(), run_id, source)
                 paths.append(path)

@@ -31,9 +31,10 @@ def gather_days(df: DataFrame) -> DataFrame:
     """Bring rows of one (source, day) together for writing.
 
     ``rebalance`` lets AQE merge small partitions and split large ones, so a hot source or day becomes neither
-    one task nor one file.
+    one task nor one file. Sorting by symbol inside the day lets a symbol filter skip row groups.
     """
-    return df.withColumn("day", F.to_date("timestamp")).hint("rebalance", *PARTITIONS)
+    dated = df.withColumn("day", F.to_date("timestamp")).hint("rebalance", *PARTITIONS)
+    return dated.sortWithinPartitions(*PARTITIONS, "symbol", "timestamp")
 
 
 def write_data(df: DataFrame, path: str, mode: str = "append", overwrite: str = "dynamic") -> None:
@@ -79,6 +80,22 @@ class Tables:
     def normalized(self) -> DataFrame:
         return self._read_data("normalized", NORMALIZED).drop("day").select(*NORMALIZED.names)
 
+    def served(self) -> DataFrame:
+        """Normalized rows with their ``day``, so that the serving queries can prune folders."""
+        return self._read_data("normalized", NORMALIZED)
+
+    def watermarks(self) -> DataFrame:
+        """Newest timestamp per source. It lies in the newest day of the source, and the days are known from the
+        folders, so only those days' timestamps are read."""
+        stored = self.served()
+        newest = stored.groupBy("source").agg(F.max("day").alias("day")).limit(MAX_LISTED + 1).collect()
+        if len(newest) <= MAX_LISTED:
+            condition = F.lit(False)
+            for source, day in newest:
+                condition = condition | (F.col("source").eqNullSafe(source) & (F.col("day") == day))
+            stored = stored.filter(condition)
+        return source_watermarks(stored)
+
     def runs(self) -> DataFrame:
         return self._read("runs", RUNS)
 
@@ -127,7 +144,7 @@ class Tables:
         """High-water marks as they stood when the snapshot was first loaded; a repeat gets the same ones."""
         name = f"marks/{snapshot_id}"
         if not self.exists(name):
-            source_watermarks(self.normalized()).write.mode("overwrite").parquet(self.path(name))
+            self.watermarks().write.mode("overwrite").parquet(self.path(name))
         return self._read(name, MARKS)
 
     def affected_days(self, name: str, schema: StructType, staged: DataFrame) -> DataFrame:
