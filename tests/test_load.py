@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.model import RAW
 from tidemark.operators import drift, feeds, load, mapping, outliers, serve, validate
 from tidemark.plans.load_run import Feed, load_run
+from tidemark.session import partitions_for
 from tidemark.sources.feeds import (
     csv_payload, read_csv_feed, read_flat_json_feed, read_nested_json_feed, unreadable_rows,
 )
@@ -214,6 +215,22 @@ def test_insert_if_absent(spark, tmp_path):
     assert [(r["symbol"], r["price_usd"]) for r in got.collect()] == [("B", 3.0)]
 
 
+def test_plain_writes(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    full = rows(spark, [("A", 1, 0), ("B", 2, 30)]).withColumns({"run_id": F.lit("r"), "created_at": stamp(1)})
+    tables.write_raw(full)
+    tables.write_normalized(full)
+    assert as_rows(tables.raw()) == as_rows(full.select(*RAW.names))
+    assert as_rows(tables.normalized()) == as_rows(feeds.to_normalized(full.select(*RAW.names)))
+    assert {r["table"]: r["rows"] for r in serve.table_counts(tables.raw(), tables.normalized()).collect()} == {
+        "raw": 2, "normalized": 2}
+
+
+def test_partition_numbers():
+    assert partitions_for(10, 8) == 16
+    assert partitions_for(100 * 1024**4, 8) == 819_200
+
+
 def run(tables, items, run_id, snapshot=None, **more):
     spark = tables.spark
     feeds_ = {"csv": Feed(lambda: rows(spark, items)), **more}

@@ -49,31 +49,31 @@ def infer_payload_schema(df: DataFrame, feed: str = "source", payload: str = "ra
 
 
 def compare_headers(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(feed, column) with its type and position in either version, null where absent, by one aggregation."""
-    def side(df: DataFrame, is_old: bool) -> DataFrame:
-        here = F.struct("type", "pos")
-        return df.select("feed", "column",
-                         (here if is_old else F.lit(None)).alias("_old"),
-                         (F.lit(None) if is_old else here).alias("_new"))
+    """(feed, column) with its type and position in either version, null where absent, by one aggregation.
+
+    Each value is an aggregate of its own, so whoever needs positions only gets a plain hash aggregation.
+    """
+    def side(df: DataFrame, mine: str, other: str) -> DataFrame:
+        return df.select(
+            "feed", "column", F.col("type").alias(f"{mine}_type"), F.col("pos").cast("long").alias(f"{mine}_pos"),
+            F.lit(None).cast("string").alias(f"{other}_type"), F.lit(None).cast("long").alias(f"{other}_pos"))
 
     return (
-        side(old, True).unionByName(side(new, False))
+        side(old, "old", "new").unionByName(side(new, "new", "old"))
         .groupBy("feed", "column")
-        .agg(F.max("_old").alias("_old"), F.max("_new").alias("_new"))
-        .select("feed", "column",
-                F.col("_old.type").alias("old_type"), F.col("_old.pos").alias("old_pos"),
-                F.col("_new.type").alias("new_type"), F.col("_new.pos").alias("new_pos"))
+        .agg(*[F.max(c).alias(c) for c in ("old_type", "old_pos", "new_type", "new_pos")])
     )
 
 
 def schema_changed(old: DataFrame, new: DataFrame) -> DataFrame:
     """Per feed known before and now: did a column appear, vanish or change its type?"""
+    same = F.col("old_type").eqNullSafe(F.col("new_type")) & F.col("old_pos").isNotNull() & F.col("new_pos").isNotNull()
     return (
         compare_headers(old, new).groupBy("feed")
         .agg(
-            F.bool_or(~F.col("old_type").eqNullSafe(F.col("new_type"))).alias("changed"),
-            F.bool_or(F.col("old_type").isNotNull() & F.col("old_pos").isNotNull()).alias("_was"),
-            F.bool_or(F.col("new_type").isNotNull() & F.col("new_pos").isNotNull()).alias("_is"),
+            F.bool_or(~same).alias("changed"),
+            F.bool_or(F.col("old_pos").isNotNull()).alias("_was"),
+            F.bool_or(F.col("new_pos").isNotNull()).alias("_is"),
         )
         .filter(F.col("_was") & F.col("_is"))
         .select("feed", "changed")

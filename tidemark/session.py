@@ -9,22 +9,38 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with AQE, skew-join handling and UTC; cluster settings still win when already set."""
+# One shuffle partition should hold about this much, so that it sorts in memory or spills little.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def partitions_for(shuffle_bytes: int, cores: int) -> int:
+    """Initial shuffle partitions for a volume: AQE merges partitions that turn out small but never adds any,
+    so a large input needs a large number from the start (about 800,000 for 100 TB)."""
+    return max(2 * cores, -(-shuffle_bytes // PARTITION_BYTES))
+
+
+def build_session(
+    app: str, master: str | None = None, shuffle_partitions: int | None = None, input_bytes: int | None = None,
+) -> SparkSession:
+    """A session with AQE, skew-join handling and UTC. Give ``shuffle_partitions``, or ``input_bytes`` to have
+    the number derived from the volume of a run."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if input_bytes and not shuffle_partitions:
+        wanted = partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
