@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import monitor, outliers
 from tidemark.operators.load import assign_batches
@@ -79,6 +80,22 @@ def test_trailing_stats(skewed, max_rows):
         assert r["sigma"] == (None if sigma is None else pytest.approx(sigma, rel=1e-6, abs=1e-9))
 
 
+@pytest.mark.parametrize("max_rows", [5, 60, 400])
+def test_outliers_of_hot_symbols_with_and_without_history(spark, skewed, max_rows):
+    _, df = skewed
+    records = df.drop("field", "status").withColumnsRenamed({"value": "price_usd"}).withColumns({
+        "volume_24h": F.when(F.col("seq") % 3 > 0, F.col("price_usd") * 2), "market_cap": F.lit(0.0),
+        "percent_change_24h": F.col("price_usd") - 20})
+    want = as_set(outliers.detect_outliers(records))
+    assert as_set(outliers.detect_outliers(records, max_rows=max_rows)) == want
+    middle = records.agg(F.percentile("seq", 0.4)).first()[0]
+    early, late = records.filter(F.col("seq") <= middle), records.filter(F.col("seq") > middle)
+    tail = outliers.history_tail(outliers.explode_fields(early))
+    parts = as_set(outliers.detect_outliers(early, max_rows=max_rows)) | as_set(
+        outliers.detect_outliers(late, tail=tail, max_rows=max_rows))
+    assert parts == want and len(want) > 100
+
+
 @pytest.mark.parametrize("max_rows", [5, 60, 10_000])
 def test_failure_streaks(skewed, max_rows):
     rows, df = skewed

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.model import KEY, LOAD_BATCH, SOURCES
-from tidemark.operators.skew import arrival_index, join_small, row_index
+from tidemark.operators.skew import MAX_ROWS, arrival_index, join_small, row_index
 from tidemark.operators.validate import storage_ok, with_reason
 
 
@@ -85,7 +85,7 @@ def upsert(
 
 
 def assign_batches(
-    df: DataFrame, size: int = LOAD_BATCH, by: str = "source", seq: str = "seq", max_rows: int = 5_000_000,
+    df: DataFrame, size: int = LOAD_BATCH, by: str = "source", seq: str = "seq", max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Add ``row_index`` (0-based position within the source) and ``batch`` = floor(row_index / size).
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.model import ALERT_EVERY, REQUEST_QUOTAS
-from tidemark.operators.skew import CHUNK, split_hot_keys
+from tidemark.operators.skew import CHUNK, MAX_ROWS, split_hot_keys
 
 INF = float("inf")
 
@@ -113,7 +113,7 @@ def quota_usage(
 
 
 def failure_streaks(
-    runs: DataFrame, keys: Sequence[str], seq: str = "seq", every: int = ALERT_EVERY, max_rows: int = 5_000_000,
+    runs: DataFrame, keys: Sequence[str], seq: str = "seq", every: int = ALERT_EVERY, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Failed runs with their position in the current streak; every third one alerts and restarts the count.
 

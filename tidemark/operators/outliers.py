@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.model import HISTORY, JUMP_LIMIT, MIN_HISTORY, NUMERIC_FIELDS, Z_LIMIT
-from tidemark.operators.skew import CHUNK, split_hot_keys
+from tidemark.operators.skew import CHUNK, MAX_ROWS, split_hot_keys
 
 SERIES = ["symbol", "field"]
 
 
+def _named(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("symbol").isNotNull() & (F.col("symbol") != ""))
+
+
 def explode_fields(df: DataFrame, seq: str = "seq", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (record, numeric field); missing symbols, NaN and values <= 0 are not part of history."""
     slim = df.select(seq, "symbol", *keep, *[F.col(f).cast("double").alias(f) for f in NUMERIC_FIELDS])
     return (
-        slim.filter(F.col("symbol").isNotNull() & (F.col("symbol") != ""))
+        _named(slim)
         .unpivot([seq, "symbol", *keep], NUMERIC_FIELDS, "field", "value")
         .filter((F.col("value") > 0) & ~F.isnan("value"))
     )
@@ -23,7 +27,8 @@ def explode_fields(df: DataFrame, seq: str = "seq", keep: tuple[str, ...] = ())
 def _stats(order: Window, size: int) -> dict:
     frame = order.rowsBetween(-size, -1)
     return {
-        "n": F.count("value").over(frame),
+        # Every row has a value, so the frame's size follows from the position.
+        "n": F.least(F.row_number().over(order) - 1, F.lit(size)).cast("long"),
         "mean": F.avg("value").over(frame),
         "sigma": F.stddev_pop("value").over(frame),
         "low": F.min("value").over(frame),
@@ -32,32 +37,36 @@ def _stats(order: Window, size: int) -> dict:
     }
 
 
-def trailing_stats(long: DataFrame, seq: str = "seq", size: int = HISTORY, max_rows: int = 5_000_000) -> DataFrame:
+def trailing_stats(long: DataFrame, seq: str = "seq", size: int = HISTORY, max_rows: int = MAX_ROWS) -> DataFrame:
     """Statistics of the previous ``size`` accepted values of the same series, current row excluded.
 
-    A hot series is cut into chunks along ``seq``. Only the first ``size`` rows of a later chunk look back
-    across a cut; what they need are the last ``size`` rows of the chunks before. Those edge rows alone go
-    through a second window, so its largest group is 40 rows per chunk.
+    A hot series is cut into chunks along ``seq`` (unless the frame brings its chunks along). Only the first
+    ``size`` rows of a chunk look back across a cut; all they need are the last ``size`` rows of the chunks
+    before. Those edge rows of the hot series alone go through a second window, so its largest group is 40
+    rows per chunk, and rows marked as history join it.
     """
-    chunked, is_split = split_hot_keys(long, SERIES, seq, max_rows)
-    if not is_split:
-        return long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size))
+    if CHUNK in long.columns:
+        chunked = long
+    else:
+        chunked, is_split = split_hot_keys(long, SERIES, seq, max_rows)
+        if not is_split:
+            return long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size))
 
     order = Window.partitionBy(*SERIES, CHUNK).orderBy(seq)
-    marked = chunked.withColumns({
-        **_stats(order, size),
-        "_rank": F.row_number().over(order),
-        "_tail": F.lead(F.lit(1), size).over(order).isNull(),
-        "_cut": F.max(CHUNK).over(Window.partitionBy(*SERIES, CHUNK)) > 0,
-    })
-    crosses = F.col("_cut") & (F.col("_rank") <= size)
-    inner = marked.filter(~crosses)
+    inner = chunked.withColumns(_stats(order, size)).filter((F.col(CHUNK) == 0) | (F.col("n") >= size))
     edges = (
-        marked.filter(F.col("_tail") | crosses)
-        .withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size))
-        .filter(crosses)
+        chunked.filter(F.col(CHUNK) > 0)
+        .withColumns({
+            "_head": F.row_number().over(order) <= size,
+            "_tail": F.lead(F.lit(1), size).over(order).isNull(),
+        })
+        .filter(F.col("_head") | F.col("_tail")).drop("_tail")
     )
-    return inner.unionByName(edges).drop(CHUNK, "_rank", "_tail", "_cut")
+    if "_new" in long.columns:
+        seeds = chunked.filter((F.col(CHUNK) == 0) & ~F.col("_new"))
+        edges = edges.unionByName(seeds.withColumn("_head", F.lit(False)))
+    edges = edges.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size)).filter("_head").drop("_head")
+    return inner.unionByName(edges).drop(CHUNK)
 
 
 def flag(stats: DataFrame) -> DataFrame:
@@ -85,15 +94,25 @@ def detect_outliers(
     seq: str = "seq",
     keep: tuple[str, ...] = (),
     tail: DataFrame | None = None,
-    max_rows: int = 5_000_000,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Outliers among ``df``; ``tail`` (from :func:`history_tail`) is the history that came before it."""
-    long = explode_fields(df, seq, keep)
-    if tail is None:
-        return flag(trailing_stats(long, seq, max_rows=max_rows))
-    seeded = long.withColumn("_new", F.lit(True)).unionByName(
-        tail.select(seq, *SERIES, "value").withColumn("_new", F.lit(False)), allowMissingColumns=True)
-    return flag(trailing_stats(seeded, seq, max_rows=max_rows)).filter("_new").drop("_new")
+    """Outliers among ``df``; ``tail`` (from :func:`history_tail`) is the history that came before it.
+
+    Hot symbols are found and cut on the records, before each of them becomes four values.
+    """
+    split, is_split = split_hot_keys(_named(df), ["symbol"], seq, max_rows)
+    long = explode_fields(split, seq, (*keep, CHUNK) if is_split else keep)
+    if tail is not None:
+        seeds = tail.select(seq, *SERIES, "value").withColumn("_new", F.lit(False))
+        if is_split:
+            seeds = seeds.withColumn(CHUNK, F.lit(0).cast("long"))
+        long = long.withColumn("_new", F.lit(True)).unionByName(seeds, allowMissingColumns=True)
+    if is_split:
+        stats = trailing_stats(long, seq)
+    else:
+        stats = long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), HISTORY))
+    found = flag(stats)
+    return found if tail is None else found.filter("_new").drop("_new")
 
 
 def history_tail(long: DataFrame, seq: str = "seq", size: int = HISTORY) -> DataFrame:

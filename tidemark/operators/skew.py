@@ -18,14 +18,18 @@ MAX_CHUNKS = 4000
 SLOTS_PER_CHUNK = 16
 
 
+# A key with more rows than this is worth cutting.
+MAX_ROWS = 1_000_000
+
+
 class Split(NamedTuple):
-    """``df`` has a ``_chunk`` column (0 for keys that were left whole) when ``is_split``."""
+    """When ``is_split``, ``df`` has a ``_chunk`` column: 0 for keys left whole, counting from 1 in a cut key."""
 
     df: DataFrame
     is_split: bool
 
 
-def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = 5_000_000) -> Split:
+def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
     """Cut every key holding more than ``max_rows`` rows into chunks along the numeric column ``seq``.
 
     One aggregation over the key columns (combined map-side) decides whether any key is hot; when none is,
@@ -44,6 +48,8 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int =
     slots = F.ceil(F.col("_n") * SLOTS_PER_CHUNK / per_chunk)
     hot = counts.filter(F.col("_n") > per_chunk).select(
         *keys, "_lo", F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / slots), F.lit(1)).alias("_width"))
+    # At most MAX_CHUNKS rows: kept on the driver so that the counts are not computed once more.
+    hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
     slotted = df.join(F.broadcast(hot), keys, "left").withColumn(
         "_slot", F.floor((F.col(seq) - F.col("_lo")) / F.col("_width"))).drop("_lo", "_width")
 
@@ -51,7 +57,7 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int =
     cuts = (
         slotted.filter(F.col("_slot").isNotNull())
         .groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_m"))
-        .withColumn(CHUNK, F.floor(F.coalesce(F.sum("_m").over(before), F.lit(0)) / per_chunk))
+        .withColumn(CHUNK, F.floor(F.coalesce(F.sum("_m").over(before), F.lit(0)) / per_chunk) + 1)
         .select(*keys, "_slot", CHUNK)
     )
     chunked = (
@@ -62,7 +68,7 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int =
     return Split(chunked, True)
 
 
-def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = 5_000_000) -> DataFrame:
+def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """0-based position of each row within its key by ``seq``, without a whole key in one task."""
     keys = list(keys)
     split, is_split = split_hot_keys(df, keys, seq, max_rows)
