@@ -378,3 +378,25 @@ def test_payload_header(spark):
                                 ("b", 1, "broken")], "source string, seq long, raw_data string")
     got = {r["column"]: r["type"] for r in drift.infer_payload_schema(df).collect()}
     assert got == {"n": "number", "s": "string", "b": "boolean", "o": "object", "l": "object", "z": "object"}
+
+
+def test_file_feeds_end_to_end(spark, tmp_path, alias_file):
+    (tmp_path / "coins").mkdir()
+    (tmp_path / "coins" / "page.json").write_text(json.dumps(COINS))
+    tables = Tables(spark, str(tmp_path / "warehouse"))
+
+    def coins():
+        return feeds.normalize_nested(read_nested_json_feed(spark, str(tmp_path / "coins"), "array"), keep=("arrival",))
+
+    def run_files(run_id):
+        return load_run(tables, {
+            "coinpaprika": Feed(coins, seq="arrival"),
+            "csv": Feed(lambda: csv_feed(spark, alias_file), seq="arrival"),
+        }, run_id, NOW).first()
+
+    first, second = run_files("r1"), run_files("r2")
+    assert (first["status"], first["rows_processed"], first["rows_loaded"], first["errors"]) == ("success", 7, 4, 3)
+    assert (second["rows_loaded"], second["duplicates_skipped"], second["errors"]) == (0, 4, 3)
+    assert {(r["symbol"], r["source"]) for r in tables.normalized().collect()} == {
+        ("BTC", "coinpaprika"), ("BTC", "csv"), ("ETH", "csv"), ("TRX", "csv")}
+    assert [(b["source"], b["rows"]) for b in first["batches"]] == [("coinpaprika", 1), ("csv", 3)]
