@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import idfiles, shards, simhash
+from tidemark.llm import caps, idfiles, shards, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -30,5 +34,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op6_id_files, op7_shards, op8_simhash)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_caps, op6_id_files, op7_shards, op8_simhash)}
+ORACLES: dict[str, str] = {
+    "op1_caps": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), link AS (
+    SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+    SELECT vec_id, vec_id AS root FROM v
+    UNION SELECT link.w, reach.root FROM reach JOIN link ON reach.vec_id = link.u
+), low AS (
+    SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id
+), degree AS (
+    SELECT u, count(*) AS n FROM link GROUP BY u
+)
+SELECT low.vec_id, coalesce(degree.n, 0) AS n_links, low.component_id, low.vec_id = low.component_id AS kept
+FROM low LEFT JOIN degree ON low.vec_id = degree.u
+""",
+}

@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import keep
@@ -139,6 +139,6 @@ def _rows_without_id(docs: DataFrame, groups: DataFrame, width: int) -> DataFram
             found = np.array([fingerprint(t.as_py(), width) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "fp*"])
 
-    schema = docs.schema.add("fp*", "long")
+    schema = T.StructType([*docs.schema.fields, T.StructField("fp*", T.LongType())])
     marked = docs.where("doc_id is null").mapInArrow(run, schema)
     return marked.join(prints, marked["`fp*`"] == prints["fp"], "left_semi").select(*docs.columns)
