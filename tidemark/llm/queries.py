@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import caps, idfiles, shards, simhash
+from tidemark.llm import caps, idfiles, language, passages, shards, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -34,7 +38,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_caps, op6_id_files, op7_shards, op8_simhash)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_caps, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
 ORACLES: dict[str, str] = {
     "op1_caps": """
 WITH RECURSIVE v AS (
