@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import caps, idfiles, language, passages, shards, simhash, toxicity
+from tidemark.llm import caps, idfiles, language, passages, secrets, shards, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_caps, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
+    op1_caps, op4_secrets, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
 ORACLES: dict[str, str] = {
     "op1_caps": """
 WITH RECURSIVE v AS (
