@@ -24,7 +24,7 @@ RANK, EXTRA = 96, 16
 #: Words in more than this share of blocks weigh nothing, but for the rarest words of each item.
 COMMON, RAREST = 0.02, 8
 #: Cosine of a candidate; share of the item's words in order that make a copy, or with its answer a paraphrase.
-CANDIDATE, COPY, PARAPHRASE, ANSWER = 0.3, 0.8, 0.6, 0.8
+CANDIDATE, COPY, PARAPHRASE, ANSWER = 0.5, 0.8, 0.6, 0.8
 #: Items of fewer words are no evidence and are left out.
 LEAST_WORDS = 5
 #: Items searched for at once; more are taken in blocks of this many, each against all documents.
@@ -243,6 +243,8 @@ class Matcher:
         """Best share of the item's words found in order within a stretch of ``region``, and whether it is a leak."""
         own = self.items.words[item]
         n, best, leak = len(own), 0.0, False
+        if sum(x in self.whole[item] for x in region) < PARAPHRASE * n:  # no stretch can have enough
+            return best, leak
         stretch, step = int(np.ceil(STRETCH * n)), max(1, n // 4)
         for at in range(0, max(1, len(region) - stretch + step), step):
             part = region[at:at + stretch]
