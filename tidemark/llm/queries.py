@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import caps, idfiles, language, latent, passages, secrets, shards, simhash, toxicity
+from tidemark.llm import caps, idfiles, language, latent, passages, pieces, secrets, shards, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_caps, op2_decontamination, op4_secrets, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
+    op1_caps, op2_decontamination, op3_pieces, op4_secrets, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
 ORACLES: dict[str, str] = {
     "op1_caps": """
 WITH RECURSIVE v AS (
