@@ -3,7 +3,7 @@
 Format of a segment (little endian): the four bytes ``TMEF``, then six unsigned 64-bit numbers: documents n,
 ids m, bytes per id w, low bits l, bytes of the upper bit array, number of select samples; then the ids (m * w
 bytes), the low bits of the n + 1 boundaries (packed), the upper bit array, and the select samples (unsigned
-32-bit). Boundaries b_0 = 0 <= ... <= b_n = m cost l + 2 bits each, l = floor(log2(m / (n + 1))). Sample j is the
+32-bit). Boundaries b_0 = 0 <= ... <= b_n = m cost at most l + 3 bits each, l = floor(log2(m / (n + 1))). Sample j is the
 position of set bit j * 256 in the upper array, so any boundary is found from a few words without a table of
 64-bit offsets. Segments are stored as rows (segment, payload) of a Parquet table, whose committed write survives
 lost executors and works on every store that Spark can write.
