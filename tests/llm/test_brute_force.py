@@ -187,7 +187,7 @@ def test_chunks_encode_as_whole_texts():
 
     path = tokenizer_path("word_bpe_49k.json")
     encoder, tokenizer = idfiles.Encoder(path, cache=5), Tokenizer.from_file(path)
-    texts = ["It's  a  test\n\nof\tchunks ", "Σίσυφος ΟΔΟΣ İstanbul é", " <|endoftext|> x<|startoftext|>y ", "a　b c", None, ""]
+    texts = ["It's  a  test\n\nof\tchunks ", "Σίσυφος ΟΔΟΣ İstanbul é", "ÀÉÎ ŽŠ İ K Straße ABC<|ENDOFTEXT|>", "ÀÉÎ ŽŠ Straße ABC\u0301", " <|endoftext|> x<|startoftext|>y ", "a　b c", None, ""]
     for text, ids in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
