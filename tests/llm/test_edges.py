@@ -1,5 +1,7 @@
 """Every operator and stage on awkward rows: nulls, empty and long texts, repeats, empty tables, clashing columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -118,6 +120,14 @@ def test_vectors(spark):
     assert caps.near_vectors(table.limit(0)).count() == 0
 
 
+def test_long_items_are_found(spark):
+    rng = random.Random(6)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(700))
+    benchmark = spark.createDataFrame([(1, item)], BENCHMARK)
+    table = spark.createDataFrame([(1, LONG + item + LONG), (2, LONG + item[:900] + LONG)], "doc_id long, text string")
+    assert [r["doc_id"] for r in latent.leaks(table, benchmark).collect()] == [1]
+
+
 def test_leaks(spark, docs):
     benchmark = spark.createDataFrame([(1, ITEM), (1, ITEM), (2, None), (3, "too short"), (4, "")], BENCHMARK)
     words = ITEM.split()

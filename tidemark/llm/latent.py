@@ -43,10 +43,11 @@ class Items(NamedTuple):
 
 
 class Space(NamedTuple):
-    """``terms`` is the weighted latent vector of each word, ``items`` the unit vectors of the items."""
+    """``terms`` is the weighted latent vector of each word, ``queries`` the unit vectors of the items' parts."""
 
     terms: np.ndarray
-    items: np.ndarray
+    queries: np.ndarray
+    item: np.ndarray
 
 
 def read_items(rows: Sequence[tuple]) -> Items:
@@ -195,20 +196,23 @@ def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) ->
         found[at, k] = rows[f"y{k}"].to_numpy()
     found *= weight[:, None]
 
-    own = np.zeros((len(items.words), size))
-    for i, ids in enumerate(items.words):
-        np.add.at(own[i], ids, weight[ids])
+    # An item longer than a passage is asked for in parts, any of which makes it a candidate.
+    parts = [(i, p) for i, ids in enumerate(items.words) for p in np.array_split(ids, -(-len(ids) // (2 * BLOCK)))]
+    own = np.zeros((len(parts), size))
+    for row, (_, ids) in zip(own, parts):
+        np.add.at(row, ids, weight[ids])
     norms = np.linalg.norm(own, axis=1, keepdims=True)
     share = own / np.where(norms > 0, norms, 1)
     passages = (energy * weight**2).sum()
     found += (share.T @ (share @ np.where(weight[:, None] > 0, start / np.where(weight, weight, 1)[:, None], 0))) * (
-        2 * passages / len(items.words) + 1)
+        2 * passages / len(parts) + 1)
     basis, values, _ = np.linalg.svd(found, full_matrices=False)
     basis = basis[:, :rank]
     terms = (basis * weight[:, None]).astype(np.float32)
     latent = own @ basis
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
-    return Space(np.ascontiguousarray(terms), (latent / np.where(norms > 0, norms, 1)).astype(np.float32))
+    queries = (latent / np.where(norms > 0, norms, 1)).astype(np.float32)
+    return Space(np.ascontiguousarray(terms), queries, np.array([i for i, _ in parts]))
 
 
 def common_length(masks: dict[int, int], size: int, other: Sequence[int]) -> int:
@@ -276,18 +280,18 @@ def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher)
     found: dict[tuple[int, int], float] = {}
     for part in range(0, len(filled), 4096):
         rows = filled[part:part + 4096]
-        cosine = (latent[rows] / norms[rows, None]) @ space.items.T
-        for row, item in zip(*np.nonzero(cosine >= CANDIDATE)):
-            text = int(owner[rows[row]])
-            if (text, int(item)) in found:
+        cosine = (latent[rows] / norms[rows, None]) @ space.queries.T
+        for row, query in zip(*np.nonzero(cosine >= CANDIDATE)):
+            text, item = int(owner[rows[row]]), int(space.item[query])
+            if (text, item) in found:
                 continue
             first = (int(rows[row]) - int(base[text])) * BLOCK
             margin = len(matcher.items.words[item])
             begin, stop = max(0, first - margin), min(int(sizes[text]), first + 2 * BLOCK + margin)
             region = ids[offsets[text] + begin:offsets[text] + stop].tolist()
-            overlap, leak = matcher.overlap(int(item), region)
+            overlap, leak = matcher.overlap(item, region)
             if leak:
-                found[text, int(item)] = overlap
+                found[text, item] = overlap
     for (text, item), overlap in sorted(found.items()):
         yield text, item, overlap
 
