@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.model import ALERT_EVERY, REQUEST_QUOTAS
-from tidemark.operators.skew import CHUNK, MAX_ROWS, split_hot_keys
+from tidemark.operators.skew import CHUNK, MAX_ROWS, join_keys, split_hot_keys
 
 INF = float("inf")
 
@@ -156,7 +156,7 @@ def _carry_streaks(placed: DataFrame, keys: list[str]) -> DataFrame:
         .select(*keys, CHUNK, "_carry")
     )
     return (
-        placed.join(carried, [*keys, CHUNK], "left")
+        join_keys(placed, carried, [*keys, CHUNK])
         .withColumn("streak", F.col("streak") + F.when(F.col("_last_ok").isNull(), F.col("_carry")).otherwise(0))
         .drop("_carry")
     )

@@ -8,18 +8,18 @@ carries the little state that crosses a cut (a row count, the last 20 rows, a st
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 CHUNK = "_chunk"
-# At most this many chunks over all hot keys together, which bounds every table broadcast here.
-MAX_CHUNKS = 4000
-SLOTS_PER_CHUNK = 16
-
-
-# A key with more rows than this is worth cutting.
+# A key with more rows than this is cut, into chunks of about this many rows.
 MAX_ROWS = 1_000_000
+# Rows of the sample that stand for one chunk, and cut values compared at once when a row looks up its chunk.
+SAMPLED, STEP = 32, 64
+# A table is collected and broadcast up to this many rows and bytes, and joined by a shuffle beyond.
+SMALL_ROWS, SMALL_BYTES = 100_000, 32 * 1024 * 1024
 
 
 class Split(NamedTuple):
@@ -29,43 +29,72 @@ class Split(NamedTuple):
     is_split: bool
 
 
-def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
-    """Cut every key holding more than ``max_rows`` rows into chunks along the numeric column ``seq``.
+def small_copy(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """The rows of ``df`` as a local table, or None when they exceed ``max_rows`` or ``SMALL_BYTES``.
 
-    One aggregation over the key columns (combined map-side) decides whether any key is hot; when none is,
-    the frame comes back untouched. Otherwise a key is cut when it exceeds ``t = max(max_rows, N / 4000)``
-    rows. There are then at most 4000 such keys with at most 4000 chunks and some 64,000 slots in total,
-    whatever the size of the data, so the two tables broadcast below have a fixed size bound.
+    What was computed to find out is what is used afterwards, so ``df`` runs once.
     """
-    keys = list(keys)
-    counts = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_lo"), F.max(seq).alias("_hi"))
-    total, largest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if largest is None or largest <= max_rows:
-        return Split(df, False)
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > SMALL_BYTES:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows else df.sparkSession.createDataFrame([], df.schema)
+
 
-    per_chunk = max(max_rows, -(-total // MAX_CHUNKS))
-    slots = F.ceil(F.col("_n") * SLOTS_PER_CHUNK / per_chunk)
-    hot = counts.filter(F.col("_n") > per_chunk).select(
-        *keys, "_lo", F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / slots), F.lit(1)).alias("_width"))
-    # At most MAX_CHUNKS rows: kept on the driver so that the counts are not computed once more.
-    hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
-    slotted = df.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slot", F.floor((F.col(seq) - F.col("_lo")) / F.col("_width"))).drop("_lo", "_width")
+def join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on all of ``keys``, a null key meeting a null key; the keys come out once."""
+    other = {k: f"_side_{k}" for k in keys}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    return df.join(side.withColumnsRenamed(other), same, how).drop(*other.values())
 
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+
+def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    local = small_copy(side)
+    return join_keys(df, side if local is None else F.broadcast(local), keys, how)
+
+
+def _cuts(hot_rows: DataFrame, keys: list[str], seq: str, max_rows: int) -> DataFrame:
+    """Per key the ascending values of ``seq`` at which its chunks begin, and every 64th of them.
+
+    The values are quantiles of a sample by the hash of ``seq``, some 32 rows for each chunk, so the spacing of
+    ``seq`` does not matter. Rows of equal ``seq`` have no order to cut along and stay together.
+    """
+    step = min(SAMPLED, max_rows)
+    drawn = F.pmod(F.xxhash64(seq), F.lit(1 << 30)) < int(step / max_rows * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(seq))
     cuts = (
-        slotted.filter(F.col("_slot").isNotNull())
-        .groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_m"))
-        .withColumn(CHUNK, F.floor(F.coalesce(F.sum("_m").over(before), F.lit(0)) / per_chunk) + 1)
-        .select(*keys, "_slot", CHUNK)
+        hot_rows.filter(drawn & F.col(seq).isNotNull()).select(*keys, seq).withColumn("_rank", rank)
+        .filter(F.col("_rank") % step == 0)
+        .groupBy(*keys).agg(F.sort_array(F.collect_set(seq)).alias("_cuts"))
     )
-    chunked = (
-        slotted.join(F.broadcast(cuts), [*keys, "_slot"], "left")
-        .withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(0)))
-        .drop("_slot")
-    )
-    return Split(chunked, True)
+    coarse = F.transform(F.sequence(F.lit(1), F.size("_cuts"), F.lit(STEP)), lambda i: F.element_at("_cuts", i))
+    return cuts.withColumn("_coarse", coarse)
+
+
+def _chunk_of(seq: str):
+    """How many cuts lie at or below ``seq``, in two short scans; rows without ``seq`` come first."""
+    block = F.size(F.filter("_coarse", lambda c: c <= F.col(seq)))
+    within = F.filter(F.slice("_cuts", (block - 1) * STEP + 1, STEP), lambda c: c <= F.col(seq))
+    return F.when(block > 0, (block - 1) * STEP + F.size(within)).otherwise(0) + 1
+
+
+def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
+    """Cut every key holding more than ``max_rows`` rows into chunks of about as many along the column ``seq``.
+
+    One aggregation over the key columns (combined map-side) decides whether any key is hot; when none is, the
+    frame comes back untouched. A null key is a key like any other. The tables of hot keys and of cuts have about
+    one entry per ``max_rows`` rows; they are broadcast only while that is little.
+    """
+    keys = list(keys)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
+    local = small_copy(hot)
+    if local is not None and local.isEmpty():
+        return Split(df, False)
+    hot_rows = join_keys(df, hot if local is None else F.broadcast(local), keys, "inner")
+    hot_cuts = _cuts(hot_rows, keys, seq, max_rows)
+    placed = _join_bounded(df, hot_cuts, keys)
+    # A hot key whose rows all have one ``seq``, or none, has no cut.
+    chunk = F.when(F.col("_cuts").isNotNull(), _chunk_of(seq)).otherwise(0).cast("long")
+    return Split(placed.withColumn(CHUNK, chunk).drop("_cuts", "_coarse"), True)
 
 
 def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -83,7 +112,7 @@ def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows:
     local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(seq)) - 1
     return (
         split.withColumn("_local", local)
-        .join(offsets, [*keys, CHUNK], "left")
+        .transform(join_keys, offsets, [*keys, CHUNK])
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
         .drop(CHUNK, "_local", "_offset")
     )
@@ -106,16 +135,17 @@ def arrival_index(df: DataFrame, keys: Sequence[str], name: str, arrival: str =
     local = F.row_number().over(Window.partitionBy(*block).orderBy(F.col(arrival)["row"])) - 1
     return (
         placed.withColumn("_local", local)
-        .join(offsets, block, "left")
+        .transform(join_keys, offsets, block)
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
         .drop("_local", "_offset", "_file", "_block")
     )
 
 
-def join_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str, max_rows: int = 100_000) -> DataFrame:
-    """Join ``side`` by broadcast when a count shows it is small, otherwise by a shuffled join.
+def join_small(df: DataFrame, side: DataFrame, on: Sequence[str], how: str, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Join ``side`` by broadcast when it is small, otherwise by a shuffled join.
 
-    The count stops at ``max_rows + 1``. Past the bound AQE still splits skewed partitions of ``df``.
+    ``side`` runs once: its rows, collected up to the bound, are those that are broadcast. Past the bound AQE still
+    splits skewed partitions of ``df``.
     """
-    small = side.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(side) if small else side, list(on), how)
+    local = small_copy(side, max_rows)
+    return df.join(side if local is None else F.broadcast(local), list(on), how)
