@@ -72,7 +72,9 @@ def clean_timestamp(
         parsed = F.timestamp_millis((c * scale).cast("long"))
     else:
         text = F.btrim(c, F.lit(WHITESPACE))
-        options = [text.try_cast("timestamp"), _other_dates(text)]
+        # A time without a date would be read as today's, another day on every run.
+        dated = F.when(text.rlike("^[+-]?[0-9]{4}"), text)
+        options = [dated.try_cast("timestamp"), _other_dates(text)]
         if epoch_unit:
             digits = F.when(text.rlike("^[0-9]{6,}$"), text.try_cast("long"))
             options.insert(0, F.timestamp_millis(digits * scale))

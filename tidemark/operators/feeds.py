@@ -85,7 +85,8 @@ def _normalize_json(
 ) -> DataFrame:
     # A bare number is epoch milliseconds in these feeds; digits in quotes are a text that is no date.
     text = F.col("last_updated")
-    quoted = F.col("raw_data").rlike('"last_updated"\\s*:\\s*"')
+    own = F.try_variant_get(F.try_parse_json("raw_data"), "$.last_updated", "variant")
+    quoted = F.coalesce(F.schema_of_variant(own) == "STRING", F.lit(False))  # looked up for digits only
     stamp = F.when(
         text.rlike("^-?[0-9]+$"),
         F.when(quoted, clean_timestamp(text)).otherwise(clean_timestamp(text.try_cast("long"), numeric=True)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Reports hold one row per (run, source). Lists are gathered per run and are as long as its list of sources.
@@ -12,12 +14,25 @@ def _zero(c: str) -> Column:
 
 
 def _gather(c: str) -> Column:
-    return F.flatten(F.collect_list(c))
+    """The lists of a run's sources one after the other, sources in order."""
+    by_source = F.array_sort(F.collect_list(F.struct(_named(), F.col(c).alias("list"))))
+    return F.flatten(F.transform(by_source, lambda e: F.coalesce(e["list"], F.array())))
+
+
+def _named() -> Column:
+    return F.coalesce("source", F.lit("unknown")).alias("source")
+
+
+def _by_source(value: Column, merge: Callable[[Column], Column]) -> Column:
+    """A map from source to the merged values of its reports; reports without a source count as ``unknown``."""
+    entries = F.collect_list(F.when(value.isNotNull(), F.struct(_named(), value.alias("value"))))
+    sources = F.array_sort(F.array_distinct(F.transform(entries, lambda e: e["source"])))
+    own = lambda s: F.transform(F.filter(entries, lambda e: e["source"] == s), lambda e: e["value"])
+    return F.map_from_arrays(sources, F.transform(sources, lambda s: merge(own(s))))
 
 
 def _resume_info() -> Column:
-    entry = F.when(F.col("resumed_from_batch").isNotNull(), F.struct("source", "resumed_from_batch"))
-    return F.map_from_entries(F.collect_list(entry))
+    return _by_source(F.col("resumed_from_batch"), F.array_min)
 
 
 def run_summary(reports: DataFrame, now: Column) -> DataFrame:
@@ -30,7 +45,7 @@ def run_summary(reports: DataFrame, now: Column) -> DataFrame:
             (_zero("failed_records") + _zero("validation_errors")).alias("invalid_records"),
             _zero("validation_errors").alias("validation_errors"),
             _zero("failed_records").alias("failed_records"),
-            F.map_from_entries(F.collect_list(F.struct("source", F.coalesce("fetched", F.lit(0))))).alias("sources"),
+            _by_source(F.coalesce("fetched", F.lit(0)).cast("long"), lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x)).alias("sources"),
             _gather("failed_batches").alias("failed_batches"),
             _resume_info().alias("resume_info"),
         )

@@ -17,7 +17,6 @@ HEADER_NAMES = [
     "Price USD", "market-cap", "rank",
 ]
 SOURCE_OF = {"view": "coinpaprika", "click": "coingecko", "purchase": "csv"}
-TYPES = ["view", "click", "purchase", "signup", "error"]
 MIDPOINT = "2024-01-15"
 
 

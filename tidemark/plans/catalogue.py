@@ -69,7 +69,8 @@ def _dressed_time(e: DataFrame) -> DataFrame:
         .when(kind == "purchase", F.date_format(ts, "M/d/yyyy HH:mm:ss"))
         .when(kind == "signup", F.concat(F.lit("Mon, "), F.date_format(ts, "d MMM yyyy HH:mm:ss"), F.lit(" +0000")))
         .when(F.col("k") < 50, F.unix_seconds(ts).cast("string"))
-        .otherwise("not a date")
+        .when(F.col("k") < 75, "not a date")
+        .otherwise(F.concat(F.lit("T"), F.date_format(ts, "HH:mm:ss")))  # a time of no day
     )
     return e.withColumn("v", text)
 
@@ -120,7 +121,11 @@ def _payload(spark, sf, nested: bool) -> DataFrame:
     else:
         record = F.struct(symbol, name, price.alias("current_price"), k.alias("total_volume"),
                           cap.alias("market_cap"), when)
-    return b.events(spark, sf).select(F.col("event_id").alias("seq"), F.to_json(record).alias("raw_data"))
+    # Some records have the time as a number, and a text of the same name further inside.
+    inside = F.concat(F.lit('"more":{"last_updated":"soon"},"last_updated":'), F.unix_millis("ts"))
+    text = F.to_json(record)
+    mixed = F.when(k == 40, F.regexp_replace(text, '"last_updated":"[^"]*"', inside)).otherwise(text)
+    return b.events(spark, sf).select(F.col("event_id").alias("seq"), mixed.alias("raw_data"))
 
 
 @query
@@ -192,7 +197,9 @@ def top_n_per_source(spark, sf):
 @query
 def feed_union(spark, sf):
     t = feeds.to_normalized(b.ticks(spark, sf))
-    return feeds.union_feeds(*[t.filter(F.col("source") == s) for s in b.TYPES])
+    # One feed per accepted source, and one that delivers everything else, rows without a source included.
+    named = F.coalesce(F.col("source").isin(*b.SOURCE_OF), F.lit(False))
+    return feeds.union_feeds(*[t.filter(F.col("source") == s) for s in b.SOURCE_OF], t.filter(~named))
 
 
 # --- column mapping and drift -----------------------------------------------------------------------
@@ -406,6 +413,12 @@ def batches(spark, sf):
     return load.assign_batches(b.ticks(spark, sf).select("seq", "source"))
 
 
+@query
+def batches_cut(spark, sf):
+    """Positions in hot sources, one of them the null source, with keys cut from 40 rows on."""
+    return load.assign_batches(b.dirty_ticks(spark, sf).select("seq", "source"), max_rows=40)
+
+
 def _first_half_progress(spark, sf):
     seen = load.assign_batches(b.ticks(spark, sf).filter(F.col("timestamp") < at(b.MIDPOINT)).select("seq", "source"))
     return load.progress_after(
@@ -481,7 +494,9 @@ def _event_feeds(spark, sf, upto: str) -> dict[str, Feed]:
     """Everything that had arrived by a date, rows without a readable time included."""
     stamp = F.col("timestamp")
     rows = b.dirty_ticks(spark, sf).filter(stamp.isNull() | (stamp < at(upto)))
-    return {s: Feed(lambda s=s: rows.filter(F.col("source") == s)) for s in SOURCES}
+    # What names no accepted source, or none, is delivered by the file feed.
+    feed = F.when(F.col("source").isin(*SOURCES), F.col("source")).otherwise("csv")
+    return {s: Feed(lambda s=s: rows.filter(feed == s)) for s in SOURCES}
 
 
 def _two_runs(spark, sf) -> Tables:
@@ -516,6 +531,12 @@ def detect_outliers(spark, sf):
     return outliers.detect_outliers(b.ticks(spark, sf)).withColumn("actual", F.round("actual", 6))
 
 
+@query
+def detect_outliers_cut(spark, sf):
+    """As detect_outliers, with symbols cut from 15 rows on."""
+    return outliers.detect_outliers(b.ticks(spark, sf), max_rows=15).withColumn("actual", F.round("actual", 6))
+
+
 @query
 def outlier_counts(spark, sf):
     return outliers.outlier_counts(outliers.detect_outliers(b.ticks(spark, sf)))
@@ -736,6 +757,16 @@ def failure_streaks(spark, sf):
     return monitor.failure_streaks(b.runs(spark, sf).select("seq", "job", "status"), ["job"])
 
 
+@query
+def failure_streaks_cut(spark, sf):
+    """Streaks of few hot groups, one of them the null key, with keys cut from 40 rows on."""
+    source = F.when(F.col("k") != 16, F.col("event_type"))
+    keyed = b.runs(spark, sf).drop("source").join(
+        b.events(spark, sf).select(F.col("event_id").alias("seq"), source.alias("source")), "seq")
+    keyed = keyed.withColumn("status", F.when(F.col("seq") % 4 > 0, "failed").otherwise(F.col("status")))
+    return monitor.failure_streaks(keyed.select("seq", "source", "status"), ["source"], max_rows=40)
+
+
 @query
 def latest_gauge(spark, sf):
     return monitor.latest_gauge(b.ticks(spark, sf), ["source"], "price_usd", "seq")

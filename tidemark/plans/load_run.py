@@ -31,6 +31,10 @@ def _mappings(rows: list[Row], status: str) -> list[tuple]:
     return [(r["from"], r["to"], r["confidence"]) for r in rows if r["status"] == status]
 
 
+def _told(error: Exception) -> str:
+    return str(error) or type(error).__name__
+
+
 def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -> dict:
     """Register the header if it is new or changed; one header is a few rows."""
     registry = tables.registry()
@@ -51,8 +55,11 @@ def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -
 def _stage(
     tables: Tables, source: str, feed: Feed, run_id: str, done: int, mark: datetime | None, sources: Sequence[str],
 ) -> str:
-    """Write the feed's rows once, judged and numbered; all later steps read this table, pruned to their columns."""
-    numbered = load.assign_batches(feed.rows().filter(F.col("source") == source), seq=feed.seq)
+    """Write the feed's rows once, judged and numbered; all later steps read this table, pruned to their columns.
+
+    Every row the feed delivers is staged under ``feed``; what it says its ``source`` is, is data to be judged.
+    """
+    numbered = load.assign_batches(feed.rows().withColumn("feed", F.lit(source)), by="feed", seq=feed.seq)
     if done:
         numbered = numbered.filter(F.col("row_index") >= done)
     path = f"{tables.root}/staged/{run_id}/{source}"
@@ -145,26 +152,27 @@ def load_run(
                 paths.append(path)
             except Exception as error:  # whatever is wrong with one feed is recorded and spares the others
                 headers.pop(source, None)
-                failures[source] = str(error).splitlines()[0][:500]
+                failures[source] = _told(error)
         if not paths:
             log(_report(headers, failures, {}, [], batch_size))
             return tables.runs().filter(F.col("run_id") == run_id)
 
         staged = spark.read.parquet(*paths)
-        counts = load.load_report(staged, F.min("row_index").alias("first")).collect()
+        by_feed = staged.withColumn("source", F.col("feed"))
+        counts = load.load_report(by_feed, F.min("row_index").alias("first")).collect()
         order = list(feeds)
         counts.sort(key=lambda r: order.index(r["source"]))
-        found = _detect(tables, staged, counts, run_id, f"{snapshot_id}-" + "-".join(
+        found = _detect(tables, by_feed, counts, run_id, f"{snapshot_id}-" + "-".join(
             f"{r['source']}.{r['first']}" for r in counts))
         tables.write_failed(load.failed_ids(staged), run_id)
         good = staged.filter(F.col("fate") == "load")
         tables.upsert(load.last_per_key(good, "row_index"), run_id, stamp, seq=None)
         batch_id = F.concat(F.lit(f"{snapshot_id}_"), "source")
-        tables.save_progress(load.progress_after(staged, batch_id, F.lit(run_id), stamp), run_id)
+        tables.save_progress(load.progress_after(by_feed, batch_id, F.lit(run_id), stamp), run_id)
         log(_report(headers, failures, found, counts, batch_size))
     except Exception as error:
-        log(_report(headers, failures, {}, [], batch_size), str(error).splitlines()[0][:500])
+        log(_report(headers, failures, {}, [], batch_size), _told(error))
         raise
     if not failures:
-        tables.clear_progress(run_id)
+        tables.clear_progress(run_id, batch_ids)
     return tables.runs().filter(F.col("run_id") == run_id)

@@ -242,8 +242,8 @@ for key, source, change in (("normalize_nested", "coinpaprika", "0::DOUBLE"), ("
     record = f"""CASE WHEN k < 10 THEN 'UNKNOWN' ELSE 'U' || CAST(user_id AS VARCHAR) END AS symbol,
   CASE WHEN k < 20 THEN 'Unknown' ELSE 'User ' || CAST(user_id AS VARCHAR) END AS name,
   CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS price_usd, CAST(k AS DOUBLE) AS volume_24h,
-  CASE WHEN k = 30 THEN 0 ELSE value END AS market_cap, {change} AS percent_change_24h, ts AS "timestamp",
-  '{source}' AS source FROM ev"""
+  CASE WHEN k = 30 THEN 0 ELSE value END AS market_cap, {change} AS percent_change_24h,
+  CASE WHEN k = 40 THEN date_trunc('millisecond', ts) ELSE ts END AS "timestamp", '{source}' AS source FROM ev"""
     add(key, EV, f"SELECT event_id AS seq, {record}")
     add(key.replace("normalize", "read") + "_feed_rows", EV, f"SELECT {record}")
 
@@ -345,6 +345,9 @@ BATCHES = TICKS + """, batches AS (
   SELECT source, count(*) AS last_index FROM ticks
   WHERE "timestamp" < TIMESTAMP '2024-01-15' AND source <> 'signup' GROUP BY source)"""
 add("batches", BATCHES, "SELECT * FROM batches")
+add("batches_cut", DIRTY, """
+SELECT seq, source, row_number() OVER (PARTITION BY source ORDER BY seq) - 1 AS row_index,
+  (row_number() OVER (PARTITION BY source ORDER BY seq) - 1) // 5 AS batch FROM dirty""")
 add("resume_rows", BATCHES, """
 SELECT b.* FROM batches b LEFT JOIN progress p USING (source) WHERE row_index >= coalesce(last_index, 0)""")
 add("resumed_batches", BATCHES, "SELECT source, last_index // 5 AS resumed_from_batch FROM progress")
@@ -390,6 +393,7 @@ FOUND = """SELECT seq, symbol, field, value, type, CASE type WHEN 'z_score' THEN
   round(actual, 6) AS actual FROM found"""
 add("detect_outliers", STATS, FOUND)
 add("outlier_stream", STATS, FOUND)
+add("detect_outliers_cut", STATS, FOUND)
 add("outlier_counts", STATS, "SELECT field, type, symbol, count(*) AS outliers FROM found GROUP BY ALL")
 add("outliers_per_source", STATS, """
 SELECT source, count(*) AS outliers FROM found JOIN ticks USING (seq) GROUP BY source""")
@@ -457,7 +461,7 @@ add("ingest_ledger", TWO_RUNS + """, seen AS (
   SELECT run_id, CASE WHEN error IS NOT NULL THEN 'invalid'
     WHEN watermark IS NOT NULL AND "timestamp" <= watermark THEN 'skipped'
     WHEN NOT storage_ok THEN 'failed' ELSE 'load' END AS fate
-  FROM seen WHERE source IN ('coinpaprika', 'coingecko', 'csv'))""", """
+  FROM seen)""", """
 SELECT run_id, 'success' AS status, count(*) FILTER (fate <> 'skipped') AS rows_processed,
   count(*) FILTER (fate = 'load') AS rows_loaded, count(*) FILTER (fate = 'skipped') AS duplicates_skipped,
   count(*) FILTER (fate IN ('invalid', 'failed')) AS errors, 3 AS batches, 1 AS schema_version
@@ -528,4 +532,13 @@ add("failure_streaks", RUNS + """, islands AS (
 SELECT seq, job, status, streak, streak % 3 = 0 AS alert FROM (
   SELECT *, row_number() OVER (PARTITION BY job, island ORDER BY seq) AS streak
   FROM islands WHERE status = 'failed')""")
+add("failure_streaks_cut", EV + """, keyed AS (
+  SELECT event_id AS seq, CASE WHEN k <> 16 THEN event_type END AS source,
+    CASE WHEN event_id % 4 > 0 OR event_type = 'error' THEN 'failed' WHEN event_type = 'signup' THEN 'partial_success'
+         ELSE 'success' END AS status FROM ev)
+, islands AS (
+  SELECT *, count(*) FILTER (status <> 'failed') OVER (PARTITION BY source ORDER BY seq) AS island FROM keyed)""", """
+SELECT seq, source, status, streak, streak % 3 = 0 AS alert FROM (
+  SELECT *, row_number() OVER (PARTITION BY source, island ORDER BY seq) AS streak
+  FROM islands WHERE status = 'failed')""")
 add("latest_gauge", TICKS, "SELECT source, arg_max(price_usd, seq) AS value FROM ticks GROUP BY source")

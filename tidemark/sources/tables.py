@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructType, TimestampType
 
 from tidemark.model import NORMALIZED, PROGRESS, RAW, REGISTRY, RUNS, SUMMARIES
-from tidemark.operators.load import list_progress, source_watermarks, upsert
+from tidemark.operators.load import latest_progress, list_progress, source_watermarks, upsert
 from tidemark.operators.outliers import history_tail
 
 PARTITIONS = ["source", "day"]
@@ -66,6 +66,24 @@ class Tables:
                 return False
             raise
 
+    def _file_system(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def complete(self, name: str) -> bool:
+        """Whether the last write to the folder was committed; a killed one leaves the folder without its mark."""
+        path, files = self._file_system(f"{self.path(name)}/_SUCCESS")
+        return files.exists(path)
+
+    def forget(self, load_id: str) -> None:
+        """Drop what a finished load kept for being repeated: staged rows, pending days, start marks and start of
+        the outlier history. A load that is not published yet keeps all of it."""
+        if load_id in self.open_loads():
+            raise ValueError(f"load {load_id!r} is not published yet")
+        for name in ("staged", "pending", "marks", "tail_start"):
+            path, files = self._file_system(self.path(f"{name}/{load_id}"))
+            files.delete(path, True)
+
     def _read(self, name: str, schema: StructType) -> DataFrame:
         if not self.exists(name):
             return self.spark.createDataFrame([], schema)
@@ -132,9 +150,14 @@ class Tables:
     def save_progress(self, progress: DataFrame, part: str) -> None:
         self.append("batch_progress", progress, PROGRESS, part)
 
-    def clear_progress(self, run_id: str) -> None:
-        """Forget the progress of a finished run by appending rows without an index."""
-        gone = list_progress(self.progress(), run_id).withColumns({
+    def clear_progress(self, run_id: str, batch_ids: list[str] | None = None) -> None:
+        """Forget the progress of a finished run, or all progress under ``batch_ids`` whichever run made it, by
+        appending rows without an index."""
+        if batch_ids is None:
+            current = list_progress(self.progress(), run_id)
+        else:
+            current = latest_progress(self.progress()).filter(F.col("batch_id").isin(batch_ids))
+        gone = current.withColumns({
             "last_index": F.lit(None).cast("long"),
             "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 MICROSECOND"),
         })
@@ -143,7 +166,7 @@ class Tables:
     def marks(self, snapshot_id: str) -> DataFrame:
         """High-water marks as they stood when the snapshot was first loaded; a repeat gets the same ones."""
         name = f"marks/{snapshot_id}"
-        if not self.exists(name):
+        if not self.complete(name):
             self.watermarks().write.mode("overwrite").parquet(self.path(name))
         return self._read(name, MARKS)
 
@@ -188,11 +211,15 @@ class Tables:
         row = self.spark.createDataFrame([(load_id, state)], LOADS)
         self.append("loads", row, LOADS, f"{load_id}-{state}")
 
-    def recover(self) -> list[str]:
-        """Publish again what a killed run had merged but not finished publishing."""
+    def open_loads(self) -> list[str]:
+        """Loads that were merged but not finished publishing."""
         loads = self._read("loads", LOADS)
         ready, done = (loads.filter(F.col("state") == s).select("load_id") for s in ("ready", "done"))
-        open_loads = [r[0] for r in ready.join(done, "load_id", "left_anti").orderBy("load_id").collect()]
+        return [r[0] for r in ready.join(done, "load_id", "left_anti").orderBy("load_id").collect()]
+
+    def recover(self) -> list[str]:
+        """Publish again what a killed run had merged but not finished publishing."""
+        open_loads = self.open_loads()
         for load_id in open_loads:
             self.publish(load_id)
         return open_loads
@@ -202,7 +229,7 @@ class Tables:
     def tail_generation(self, load_id: str) -> int:
         """Generation of the saved history a load starts from; a repeat of the load starts from the same one."""
         name = f"tail_start/{load_id}"
-        if not self.exists(name):
+        if not self.complete(name):
             newest = self._read("outlier_tail", TAIL).agg(F.coalesce(F.max("generation"), F.lit(0)).alias("g"))
             newest.write.mode("overwrite").parquet(self.path(name))
         return self._read(name, StructType().add("g", LongType())).first()[0]
