@@ -15,7 +15,7 @@ from tidemark.operators import drift, feeds, ledger, load, mapping, monitor, out
 from tidemark.plans import bindings as b
 from tidemark.plans.load_run import Feed, load_run
 from tidemark.session import new_scratch
-from tidemark.sources.feeds import FLAT, NESTED, csv_payload, parse_payload, read_csv_feed, read_json_payloads
+from tidemark.sources.feeds import FLAT, NESTED, csv_payload, parse_payload, read_csv_feed, read_csv_feeds, read_json_payloads
 from tidemark.sources.tables import Tables
 from tidemark.streaming import ingest as stream_ingest, outliers as stream_outliers, rates as stream_rates
 
@@ -163,6 +163,24 @@ def read_csv_feed_rows(spark, sf):
     return _plain_record(feeds.normalize_csv(mapped))
 
 
+@query
+def read_csv_mixed_rows(spark, sf):
+    """Two CSV files of one folder with columns in different order, and commas, quotes and line breaks in values."""
+    path = new_scratch(spark, "csv-mixed")
+    e = b.events(spark, sf)
+    names = F.concat(F.lit('User "the '), "user_id", F.lit('", esq.'), F.when(F.col("k") < 50, "\n(late)").otherwise(""))
+    first = e.filter("k % 2 = 0").select(
+        F.concat(F.lit("U"), "user_id").alias("ticker"), names.alias("name"),
+        F.col("value").cast("decimal(12,2)").alias("usd_price"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"))
+    second = e.filter("k % 2 = 1").select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), F.col("value").cast("decimal(12,2)").alias("price_usd"),
+        names.alias("name"), F.concat(F.lit("U"), "user_id").alias("ticker"))
+    for i, part in enumerate((first, second)):
+        part.write.mode("append" if i else "errorifexists").option("header", True).option("escape", '"').csv(path)
+    mapped = [mapping.map_columns(csv_payload(f))[0] for f in read_csv_feeds(spark, path, multi_line=True)]
+    return feeds.union_feeds(*[_plain_record(feeds.normalize_csv(m)) for m in mapped])
+
+
 @query
 def read_nested_feed_rows(spark, sf):
     path = new_scratch(spark, "nested-feed")

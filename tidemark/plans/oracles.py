@@ -252,6 +252,12 @@ SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, 'u' || CAST(user_id AS VARCHAR
   CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS price_usd, CAST(k AS DOUBLE) AS volume_24h,
   0::DOUBLE AS market_cap, 0::DOUBLE AS percent_change_24h, ts AS "timestamp", 'csv' AS source FROM ev""")
 
+add("read_csv_mixed_rows", EV, """
+SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol,
+  'User "the ' || CAST(user_id AS VARCHAR) || '", esq.' || CASE WHEN k < 50 THEN chr(10) || '(late)' ELSE '' END AS name,
+  CAST(CAST(value AS DECIMAL(12,2)) AS DOUBLE) AS price_usd, 0::DOUBLE AS volume_24h, 0::DOUBLE AS market_cap,
+  0::DOUBLE AS percent_change_24h, date_trunc('second', ts) AS "timestamp", 'csv' AS source FROM ev""")
+
 add("to_normalized", TICKS, "SELECT * FROM ticks")
 add("feed_union", TICKS, "SELECT * FROM ticks")
 add("feed_head", TICKS, "SELECT * FROM ticks ORDER BY seq LIMIT 10")

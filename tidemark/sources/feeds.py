@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F, types as T
 
 # Where each JSON feed keeps the unified fields. Leaves are read as text, so that numbers and
 # dressed-up number strings take the same cleaning path.
@@ -36,21 +36,47 @@ def arrival(df: DataFrame) -> DataFrame:
     ))
 
 
-def csv_schema(spark: SparkSession, path: str) -> T.StructType:
+# Headers are compared on the driver; a folder with more different ones than this is no feed.
+MAX_HEADERS = 1000
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    """Quotes inside a quoted value are doubled; ``multi_line`` lets such a value hold line breaks, at the price of
+    one task per file."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+
+
+def csv_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files of a folder by their header line; only the first block of each file is looked into."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), "value").filter("block = 0")
+    # One line per block passes the rank filter, before anything is shuffled.
+    first = F.row_number().over(Window.partitionBy("file").orderBy("row"))
+    heads = lines.withColumn("rank", first).filter("rank <= 1")
+    files = heads.groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).limit(MAX_HEADERS + 1).collect()
+    if len(files) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different header lines below {path}")
+    return {r["value"]: r["files"] for r in sorted(files, key=lambda r: r["files"])}
+
+
+def csv_schema(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> T.StructType:
     """All-text schema from the header line alone, plus a column that catches unreadable lines."""
-    header = spark.read.option("header", True).csv(path).schema
+    header = _csv(spark, multi_line).csv(path).schema
     return T.StructType([*header.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def read_csv_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_feed(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """CSV with a header; every value stays text, rows keep ``arrival`` order.
 
     Short rows get nulls and over-long rows lose the surplus; :func:`unreadable_rows` lists both.
-    One path holds files of one header; read files of another header as a feed of their own.
+    All files must have one header: one that differs is an error, never read by position. Folders with several
+    headers are read by :func:`read_csv_feeds`.
     """
+    schema = csv_schema(spark, path, multi_line)
     df = (
-        spark.read.schema(csv_schema(spark, path))
-        .option("header", True)
+        _csv(spark, multi_line).schema(schema)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
@@ -58,6 +84,11 @@ def read_csv_feed(spark: SparkSession, path: str) -> DataFrame:
     return arrival(df)
 
 
+def read_csv_feeds(spark: SparkSession, path: str, multi_line: bool = False) -> list[DataFrame]:
+    """One feed for each different header in a folder; map the columns of each, then union them by name."""
+    return [read_csv_feed(spark, files, multi_line) for files in csv_headers(spark, path).values()]
+
+
 def unreadable_rows(feed: DataFrame) -> DataFrame:
     """Lines whose shape did not fit the header."""
     return feed.filter(F.col(CORRUPT).isNotNull())
