@@ -799,6 +799,13 @@ def ingest_stream(spark, sf):
     return stream_ingest.run_on_events(spark, sf).normalized()
 
 
+@query
+def stream_load_reports(spark, sf):
+    """What each micro-batch of three overlapping deliveries fetched, skipped as late, refused and loaded."""
+    tables = stream_ingest.run_on_deliveries(spark, sf)
+    return spark.read.parquet(tables.path("load_reports/*"))
+
+
 @query
 def outlier_stream(spark, sf):
     return stream_outliers.run_on_events(spark, sf).withColumn("actual", F.round("actual", 6))

@@ -390,6 +390,23 @@ WHERE watermark IS NULL OR "timestamp" > watermark""")
 add("ingest_stream", TWO_RUNS, f"""
 SELECT {BODY}, 'batch-0' AS run_id, TIMESTAMP '2024-02-01' AS created_at FROM ok""")
 
+add("stream_load_reports", DIRTY + """, parts AS (
+  SELECT * FROM (VALUES (0, TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-12'),
+    (1, TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-20'), (2, TIMESTAMP '2024-01-16', TIMESTAMP '2024-03-01')) p(part, lo, hi))
+, arrived AS (
+  SELECT part, j.* FROM judged_rule j JOIN ev ON ev.event_id = j.seq JOIN parts ON ev.ts >= lo AND ev.ts < hi)
+, fates AS (
+  SELECT part, source, CASE WHEN error IS NOT NULL THEN 'invalid'
+    WHEN "timestamp" <= (SELECT max(b."timestamp") FROM arrived b
+      WHERE b.part < a.part AND b.source = a.source AND b.error IS NULL AND b.storage_ok) THEN 'skipped'
+    WHEN NOT storage_ok THEN 'failed' ELSE 'load' END AS fate
+  FROM arrived a)""", """
+SELECT 'batch-' || part AS load_id, source, count(*) AS fetched,
+  count(*) FILTER (fate = 'skipped') AS skipped_by_watermark, count(*) FILTER (fate <> 'skipped') AS processed,
+  count(*) FILTER (fate = 'invalid') AS validation_errors, count(*) FILTER (fate = 'failed') AS failed_records,
+  count(*) FILTER (fate = 'load') AS loaded
+FROM fates GROUP BY part, source""")
+
 # --- outliers ---------------------------------------------------------------------------------------
 
 add("explode_fields", LONG, "SELECT * FROM long")

@@ -1,4 +1,8 @@
-"""Incremental ingest as a stream: the steps of a load run inside ``foreachBatch``."""
+"""Incremental ingest as a stream: the steps of a load run inside ``foreachBatch``.
+
+Rows at or below the mark of their source are late; they are judged ``skipped`` and counted. The mark is per source and
+has no delay, so an event-time watermark of the stream, which is global and moves with every batch, would differ.
+"""
 
 from __future__ import annotations
 
@@ -14,12 +18,6 @@ from tidemark.session import new_scratch
 from tidemark.sources.tables import Tables
 
 
-def late_filter(batch: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows at or below the mark of their source are late. The mark is per source and has no delay, so an
-    event-time watermark of the stream, which is global and moves with every batch, would not be the same."""
-    return load.incremental_filter(batch, marks)
-
-
 def dedupe_batch(batch: DataFrame, seq: str = "seq") -> DataFrame:
     """One row per key within a micro-batch, the last; across batches the upsert keeps keys unique."""
     return load.last_per_key(batch, seq, KEY)
@@ -64,3 +62,21 @@ def run_on_events(spark: SparkSession, sf_dir: str) -> Tables:
         records, tables, tables.path("checkpoint"), lambda: F.lit("2024-02-01").cast("timestamp"),
     ).awaitTermination()
     return tables
+
+
+# Event times of three deliveries; each repeats some of the one before, and what it repeats is late.
+DELIVERIES = (("2024-01-01", "2024-01-12"), ("2024-01-08", "2024-01-20"), ("2024-01-16", "2024-03-01"))
+
+
+def run_on_deliveries(spark: SparkSession, sf_dir: str) -> Tables:
+    """Events arriving in three overlapping deliveries, every one a micro-batch taken up from the checkpoint."""
+    tables, folder = Tables(spark, new_scratch(spark, "ingest-deliveries")), new_scratch(spark, "deliveries")
+    whole = bindings.table(spark, sf_dir, "events")
+    for start, end in DELIVERIES:
+        whole.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))).write.mode(
+            "append").parquet(folder)
+        stream = bindings.with_number(spark.readStream.schema(whole.schema).parquet(folder))
+        incremental_ingest_stream(
+            bindings.dirty_of(stream), tables, tables.path("checkpoint"), lambda: F.lit("2024-02-01").cast("timestamp"),
+        ).awaitTermination()
+    return tables
