@@ -13,7 +13,6 @@ from tidemark.model import REGISTRY
 from tidemark.operators.skew import join_small
 
 # Names are compared in blocks of this many, so a header of any width is matched in full.
-BLOCK = 500
 
 
 def js_type(sql_type: str) -> str:
@@ -93,26 +92,24 @@ def added_columns(old: DataFrame, new: DataFrame) -> DataFrame:
 def drift_mappings(old: DataFrame, new: DataFrame) -> DataFrame:
     """Closest added column for every removed one: ``feed, from, to, confidence`` (3 decimals).
 
-    The added names of a feed travel as arrays of at most ``BLOCK`` names and each removed name is scored
-    against an array inside its row. Of equal scores the earlier added column wins; a score of 0 is no match.
+    The two headers are compared once. A feed's removed and added names are two arrays of one row, and every removed
+    name is scored against the added ones inside it. Of equal scores the earlier added column wins; a score of 0 is
+    no match.
     """
-    blocks = (
-        added_columns(old, new)
-        .groupBy("feed", F.floor(F.col("pos") / BLOCK).alias("_block"))
-        .agg(F.collect_list(F.struct("pos", drift_name(F.col("column")).alias("name"))).alias("_names"))
-    )
-    best = F.array_max(F.transform("_names", lambda a: F.struct(
-        drift_score(F.col("_from"), a["name"]).alias("score"), (-a["pos"]).alias("rank"),
-        a["name"]["name"].alias("to"))))
-    scored = (
-        removed_columns(old, new).select("feed", drift_name(F.col("column")).alias("_from"))
-        .join(blocks, "feed")
-        .select("feed", F.col("_from.name").alias("from"), best.alias("_best"))
-    )
+    name = drift_name(F.col("column"))
+    lists = compare_headers(old, new).groupBy("feed").agg(
+        F.collect_list(F.when(F.col("new_pos").isNull(), name)).alias("_removed"),
+        F.collect_list(F.when(F.col("old_pos").isNull(), F.struct(F.col("new_pos").alias("pos"), name.alias("name")))).alias("_added"))
+
+    def best(removed: Column) -> Column:
+        return F.array_max(F.transform("_added", lambda a: F.struct(
+            drift_score(removed, a["name"]).alias("score"), (-a["pos"]).alias("rank"), a["name"]["name"].alias("to"))))
+
+    found = F.transform("_removed", lambda r: F.struct(r["name"].alias("from"), best(r).alias("best")))
     return (
-        scored.groupBy("feed", "from").agg(F.max("_best").alias("_best"))
-        .filter(F.col("_best.score") > 0)
-        .select("feed", "from", F.col("_best.to").alias("to"), F.round("_best.score", 3).alias("confidence"))
+        lists.select("feed", F.inline(found))
+        .filter(F.col("best.score") > 0)
+        .select("feed", "from", F.col("best.to").alias("to"), F.round("best.score", 3).alias("confidence"))
     )
 
 
@@ -140,16 +137,22 @@ def current_headers(registry: DataFrame) -> DataFrame:
 
 
 def register(registry: DataFrame, headers: DataFrame) -> DataFrame:
-    """Rows to append to the registry: version 1 of new feeds, the next version of changed ones."""
-    known = current_headers(registry)
-    versions = registry.groupBy("feed").agg(F.max("version").alias("_version"))
-    changed = schema_changed(known, headers).filter("changed").select("feed", F.lit(True).alias("_changed"))
+    """Rows to append to the registry: version 1 of new feeds, the next version of changed ones.
+
+    Registered and arriving headers are aggregated together, so neither side is joined or read twice.
+    """
+    both = registry.select("feed", "version", "column", "type", "pos").unionByName(
+        headers.select("feed", F.lit(None).cast("int").alias("version"), "column", "type", F.col("pos").cast("long").alias("pos")))
+    each = both.groupBy("feed", "version").agg(F.collect_list(F.struct("column", "type", "pos")).alias("cells"))
+    known = F.col("version").isNotNull()
+    latest = each.groupBy("feed").agg(
+        F.max("version").alias("_version"),
+        F.max_by(F.when(known, F.col("cells")), "version").alias("_old"),
+        F.first(F.when(~known, F.col("cells")), ignorenulls=True).alias("_new"))
+    shape = lambda c: F.array_sort(F.array_distinct(F.transform(c, lambda x: F.struct(x["column"], x["type"]))))
     return (
-        headers.join(versions, "feed", "left")
-        .join(changed, "feed", "left")
-        .filter(F.col("_version").isNull() | F.col("_changed"))
-        .select("feed", (F.coalesce("_version", F.lit(0)) + 1).cast("int").alias("version"),
-                "column", "type", F.col("pos").cast("long").alias("pos"))
+        latest.filter(F.col("_new").isNotNull() & (F.col("_version").isNull() | (shape("_old") != shape("_new"))))
+        .select("feed", (F.coalesce("_version", F.lit(0)) + 1).cast("int").alias("version"), F.inline("_new"))
     )
 
 
