@@ -12,7 +12,6 @@ from tidemark.functions.names import confidence_class, drift_name, drift_score
 from tidemark.model import REGISTRY
 from tidemark.operators.skew import join_small
 
-# Names are compared in blocks of this many, so a header of any width is matched in full.
 
 
 def js_type(sql_type: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import clean, names
 from tidemark.model import (
-    ERROR_STEPS, OUTLIER_STEPS, REQUEST_BOUNDS_MS, ROW_STEPS, RUN_LATENCY_BOUNDS_S, SOURCES,
+    ERROR_STEPS, OUTLIER_STEPS, REQUEST_BOUNDS_MS, RETRY_BOUNDS_S, ROW_STEPS, RUN_LATENCY_BOUNDS_S, SOURCES,
 )
 from tidemark.operators import drift, feeds, ledger, load, mapping, monitor, outliers, serve, validate
 from tidemark.plans import bindings as b
@@ -693,6 +693,15 @@ def run_record(spark, sf):
         F.concat_ws(",", "skipped_fields").alias("skipped_fields"))
 
 
+@query
+def stored_summaries(spark, sf):
+    """The summaries two complete load runs leave behind."""
+    return _two_runs(spark, sf).summaries().select(
+        "run_id", "total_fetched", "valid_records", "invalid_records", "validation_errors", "failed_records",
+        F.array_join(F.array_sort(F.transform(F.map_entries("sources"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+        .alias("sources"))
+
+
 @query
 def ingest_ledger(spark, sf):
     """The ledger rows two complete load runs leave behind."""
@@ -737,6 +746,27 @@ def request_histogram(spark, sf):
     return _bucket_label(monitor.bucket_histogram(e, "ms", REQUEST_BOUNDS_MS, ["event_type"]))
 
 
+@query
+def retry_histogram(spark, sf):
+    """Waits before a repeated request, by source."""
+    waits = b.events(spark, sf).filter(F.col("k") % 5 == 0).withColumn("wait", F.col("value") / 20)
+    return _bucket_label(monitor.bucket_histogram(waits, "wait", RETRY_BOUNDS_S, ["event_type"]))
+
+
+@query
+def errors_by_type(spark, sf):
+    """Failed runs by source and kind of error."""
+    kind = F.when(F.col("errors") > 50, "timeout").when(F.col("errors") > 20, "rate_limit").otherwise("parse")
+    runs = b.runs(spark, sf).filter(F.col("status") == "failed").select(
+        F.when(F.col("throttle_events") != 3, F.col("source")).alias("source"), kind.alias("type"), "errors")
+    return monitor.counter_total(runs, ["source", "type"], F.col("errors"))
+
+
+@query
+def throttles_by_source(spark, sf):
+    return monitor.counter_total(b.runs(spark, sf), ["source"], F.col("throttle_events"))
+
+
 @query
 def latency_quantile(spark, sf):
     hist = monitor.bucket_histogram(b.events(spark, sf), "value", RUN_LATENCY_BOUNDS_S, ["event_type"])

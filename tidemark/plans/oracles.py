@@ -476,19 +476,28 @@ SELECT run_id, CASE WHEN bool_or(source = 'error') THEN 'partial_success' ELSE '
   CAST(count(*) FILTER (source = 'error') AS INTEGER) AS failed_batches, CAST(count(*) AS INTEGER) AS batches,
   string_agg(source, ',' ORDER BY source) AS sources, 'rank' AS skipped_fields
 FROM reports GROUP BY run_id""")
-add("ingest_ledger", TWO_RUNS + """, seen AS (
+LEDGER = TWO_RUNS + """, seen AS (
   SELECT j.*, 'run-1' AS run_id, NULL::TIMESTAMP AS watermark FROM judged_rule j
   WHERE "timestamp" IS NULL OR "timestamp" < TIMESTAMP '2024-01-15'
   UNION ALL SELECT j.*, 'run-2', watermark FROM judged_rule j LEFT JOIN marks USING (source))
 , fates AS (
-  SELECT run_id, CASE WHEN error IS NOT NULL THEN 'invalid'
+  SELECT run_id, CASE WHEN source IN ('coinpaprika', 'coingecko') THEN source ELSE 'csv' END AS feed,
+    CASE WHEN error IS NOT NULL THEN 'invalid'
     WHEN watermark IS NOT NULL AND "timestamp" <= watermark THEN 'skipped'
     WHEN NOT storage_ok THEN 'failed' ELSE 'load' END AS fate
-  FROM seen)""", """
+  FROM seen)"""
+add("ingest_ledger", LEDGER, """
 SELECT run_id, 'success' AS status, count(*) FILTER (fate <> 'skipped') AS rows_processed,
   count(*) FILTER (fate = 'load') AS rows_loaded, count(*) FILTER (fate = 'skipped') AS duplicates_skipped,
   count(*) FILTER (fate IN ('invalid', 'failed')) AS errors, 3 AS batches, 1 AS schema_version
 FROM fates GROUP BY run_id""")
+add("stored_summaries", LEDGER + """, by_feed AS (
+  SELECT run_id, feed, count(*) AS n, count(*) FILTER (fate <> 'skipped') AS processed,
+    count(*) FILTER (fate = 'invalid') AS invalid, count(*) FILTER (fate = 'failed') AS failed FROM fates GROUP BY run_id, feed)""", """
+SELECT run_id, CAST(sum(n) AS BIGINT) AS total_fetched, CAST(sum(processed) AS BIGINT) AS valid_records,
+  CAST(sum(invalid) + sum(failed) AS BIGINT) AS invalid_records, CAST(sum(invalid) AS BIGINT) AS validation_errors,
+  CAST(sum(failed) AS BIGINT) AS failed_records, string_agg(feed || '=' || n, ',' ORDER BY feed) AS sources
+FROM by_feed GROUP BY run_id""")
 
 # --- monitoring -------------------------------------------------------------------------------------
 
@@ -513,6 +522,18 @@ def _histogram(value: str, bounds: list) -> str:
 HIST = "SELECT event_type, le, cumulative, sum, count FROM hist"
 add("latency_histogram", _histogram("value", RUN_LATENCY_BOUNDS_S), HIST)
 add("request_histogram", _histogram("(value * 10)", REQUEST_BOUNDS_MS), HIST)
+add("retry_histogram", EV + """, bounds AS (
+  SELECT * FROM (VALUES (0.1::DOUBLE, '0.1'), (0.5::DOUBLE, '0.5'), (1::DOUBLE, '1.0'), (2::DOUBLE, '2.0'), (5::DOUBLE, '5.0'),
+    (10::DOUBLE, '10.0'), ('Infinity'::DOUBLE, '+Inf')) b(edge, le))""", """
+SELECT event_type, le, count(*) FILTER (value / 20 <= edge) AS cumulative, round(sum(value / 20), 4) AS sum, count(*) AS count
+FROM ev CROSS JOIN bounds WHERE k % 5 = 0 GROUP BY event_type, edge, le""")
+add("errors_by_type", RUNS, """
+SELECT CASE WHEN throttle_events <> 3 THEN source END AS source,
+  CASE WHEN errors > 50 THEN 'timeout' WHEN errors > 20 THEN 'rate_limit' ELSE 'parse' END AS type,
+  CAST(coalesce(sum(errors), 0) AS BIGINT) AS total
+FROM runs WHERE status = 'failed' GROUP BY ALL""")
+add("throttles_by_source", RUNS, """
+SELECT source, CAST(coalesce(sum(throttle_events), 0) AS BIGINT) AS total FROM runs GROUP BY source""")
 add("latency_quantile", _histogram("value", RUN_LATENCY_BOUNDS_S) + """, steps AS (
   SELECT *, lag(edge, 1, 0.0::DOUBLE) OVER w AS low, lag(cumulative, 1, 0) OVER w AS below
   FROM hist WINDOW w AS (PARTITION BY event_type ORDER BY edge))""", """
