@@ -30,9 +30,9 @@ def csv_feed(spark, path, **kw):
 def alias_file(tmp_path):
     path = tmp_path / "prices.csv"
     path.write_text("ticker,usd_price,tx_volume,time,source\n"
-                    "btc,68000.45,32000000000,2025-10-13T12:00:00Z,csv\n"
-                    " eth ,\"$3,400.32\",12000000000,2025-10-13T12:00:00Z,csv\n"
-                    "TRX,0.3174,2007326794.47,2025-10-13T12:00:00Z,csv\n"
+                    "zqa,512.75,7000000,2025-10-13T12:00:00Z,csv\n"
+                    " zqb ,\"$1,234.56\",8000000,2025-10-13T12:00:00Z,csv\n"
+                    "ZQC,0.0625,9000000.5,2025-10-13T12:00:00Z,csv\n"
                     ",,1,never,csv\n")
     return path
 
@@ -41,13 +41,13 @@ def test_alias_file(spark, alias_file):
     rows = csv_feed(spark, alias_file).orderBy("arrival").collect()
     assert [(r["symbol"], r["name"], r["price_usd"], r["volume_24h"], r["market_cap"], r["percent_change_24h"],
              r["timestamp"]) for r in rows] == [
-        ("BTC", "btc", 68000.45, 32e9, 0.0, 0.0, NOON),
-        ("ETH", "eth", 3400.32, 12e9, 0.0, 0.0, NOON),
-        ("TRX", "TRX", 0.3174, 2007326794.47, 0.0, 0.0, NOON),
+        ("ZQA", "zqa", 512.75, 7e6, 0.0, 0.0, NOON),
+        ("ZQB", "zqb", 1234.56, 8e6, 0.0, 0.0, NOON),
+        ("ZQC", "ZQC", 0.0625, 9000000.5, 0.0, 0.0, NOON),
         ("UNKNOWN", "Unknown", 0.0, 1.0, 0.0, 0.0, None),
     ]
     assert json.loads(rows[1]["raw_data"]) == {
-        "ticker": " eth ", "usd_price": "$3,400.32", "tx_volume": "12000000000",
+        "ticker": " zqb ", "usd_price": "$1,234.56", "tx_volume": "8000000",
         "time": "2025-10-13T12:00:00Z", "source": "csv"}
     rejects = validate.validate_rejects(csv_feed(spark, alias_file)).collect()
     assert [r["error"] for r in rejects] == ['"price_usd" must be a positive number']
@@ -291,6 +291,58 @@ def test_repeated_run_does_not_lose_or_double_rows(spark, tmp_path):
     assert tables.outlier_tail(1).count() == tail
 
 
+def test_rows_of_a_foreign_source_are_judged_and_counted(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    both = rows(spark, [("A", 1, 0)]).unionByName(rows(spark, [("B", 1, 0), ("C", 1, 0)], "elsewhere")).unionByName(
+        rows(spark, [("D", 1, 0)], None)).withColumn("seq", F.monotonically_increasing_id())
+    record = load_run(tables, {"csv": Feed(lambda: both)}, "r1", NOW).first()
+    assert (record["rows_processed"], record["rows_loaded"], record["errors"]) == (4, 1, 3)
+    assert tables.summaries().first()["sources"] == {"csv": 4}
+
+
+def test_an_error_without_text_is_told_by_its_kind(spark, tmp_path):
+    def silent():
+        raise KeyboardInterruptError
+    class KeyboardInterruptError(Exception):
+        pass
+    record = run(Tables(spark, str(tmp_path)), [("A", 1, 0)], "r1", coingecko=Feed(silent))
+    assert [b["error"] for b in record["failed_batches"]] == ["KeyboardInterruptError"]
+
+
+def test_half_written_start_state_is_not_trusted(spark, tmp_path):
+    items = [(f"S{i % 3}", 1 + i, i) for i in range(10)]
+    for name, broken_off in (("clean", False), ("cut", True)):
+        tables = Tables(spark, str(tmp_path / name))
+        run(tables, items[:6], "r1")
+        if broken_off:  # as left behind by a driver killed while it wrote them
+            for folder in ("marks/r2", "tail_start/r2-csv.0"):
+                (tmp_path / name / folder / "_temporary" / "0").mkdir(parents=True)
+        run(tables, items, "r2")
+    clean, cut = (Tables(spark, str(tmp_path / n)) for n in ("clean", "cut"))
+    assert stored(clean).keys() == stored(cut).keys()
+    assert {k: v[:2] for k, v in stored(clean).items()} == {k: v[:2] for k, v in stored(cut).items()}
+    assert [r.asDict() for r in clean.outlier_tail(2).orderBy("seq", "field").collect()] == [
+        r.asDict() for r in cut.outlier_tail(2).orderBy("seq", "field").collect()]
+
+
+def test_forgotten_loads_leave_the_tables(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    for i in range(3):
+        run(tables, [(f"S{i}", 1, i)], f"r{i}")
+        tables.forget(f"r{i}")
+    assert {k[0] for k in stored(tables)} == {"S0", "S1", "S2"}
+    for kept in ("staged", "pending", "marks", "tail_start"):
+        assert [p.name for p in (tmp_path / kept).iterdir() if not p.name.startswith((".", "_"))] == []
+
+
+def test_progress_is_cleared_by_snapshot(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    items = [("A", 1, 0), ("B", 2, 0)]
+    run(tables, items, "r1", "monday", coingecko=Feed(broken))
+    run(tables, items, "r2", "monday", coingecko=Feed(lambda: rows(spark, [("G", 4, 0)], "coingecko")))
+    assert load.latest_progress(tables.progress()).count() == 0
+
+
 def test_headers_of_runs(spark, tmp_path):
     tables = Tables(spark, str(tmp_path))
 
@@ -398,5 +450,5 @@ def test_file_feeds_end_to_end(spark, tmp_path, alias_file):
     assert (first["status"], first["rows_processed"], first["rows_loaded"], first["errors"]) == ("success", 7, 4, 3)
     assert (second["rows_loaded"], second["duplicates_skipped"], second["errors"]) == (0, 4, 3)
     assert {(r["symbol"], r["source"]) for r in tables.normalized().collect()} == {
-        ("BTC", "coinpaprika"), ("BTC", "csv"), ("ETH", "csv"), ("TRX", "csv")}
+        ("BTC", "coinpaprika"), ("ZQA", "csv"), ("ZQB", "csv"), ("ZQC", "csv")}
     assert [(b["source"], b["rows"]) for b in first["batches"]] == [("coinpaprika", 1), ("csv", 3)]

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from tidemark.model import (
-    COLUMN_ALIASES, ERROR_STEPS, NUMERIC_FIELDS, OUTLIER_STEPS, REQUEST_BOUNDS_MS, ROW_STEPS,
-    RUN_LATENCY_BOUNDS_S, UNIFIED_FIELDS,
-)
 from tidemark.plans.bindings import HEADER_NAMES, MIDPOINT
 
+# Written out, not imported: a wrong constant of the operators must show.
+COLUMN_ALIASES = {
+    "time": "timestamp", "ticker": "symbol", "usd_price": "price_usd", "tx_volume": "volume_24h",
+    "created_at": "timestamp", "price_timestamp": "timestamp",
+}
+UNIFIED_FIELDS = [
+    "symbol", "name", "price_usd", "volume_24h", "market_cap", "percent_change_24h", "timestamp", "source",
+]
+NUMERIC_FIELDS = ["price_usd", "volume_24h", "market_cap", "percent_change_24h"]
+RUN_LATENCY_BOUNDS_S = [0.1, 0.5, 1, 2, 5, 10, 30, 60, 120, 300]
+REQUEST_BOUNDS_MS = [50, 100, 200, 500, 1000, 2000, 5000]
+ROW_STEPS = [(0, "red"), (100, "yellow"), (1000, "green")]
+ERROR_STEPS = [(0, "green"), (1, "yellow"), (10, "red")]
+OUTLIER_STEPS = [(0, "green"), (5, "yellow"), (20, "red")]
+
 ORACLES: dict[str, str] = {}
 
 # --- the bindings ---------------------------------------------------------------------------------

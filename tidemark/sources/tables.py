@@ -75,14 +75,16 @@ class Tables:
         path, files = self._file_system(f"{self.path(name)}/_SUCCESS")
         return files.exists(path)
 
-    def forget(self, load_id: str) -> None:
+    def forget(self, load_id: str, snapshot_id: str | None = None) -> None:
         """Drop what a finished load kept for being repeated: staged rows, pending days, start marks and start of
         the outlier history. A load that is not published yet keeps all of it."""
         if load_id in self.open_loads():
             raise ValueError(f"load {load_id!r} is not published yet")
-        for name in ("staged", "pending", "marks", "tail_start"):
-            path, files = self._file_system(self.path(f"{name}/{load_id}"))
-            files.delete(path, True)
+        snapshot_id = snapshot_id or load_id
+        for name in (f"staged/{load_id}", f"pending/{load_id}", f"marks/{snapshot_id}", f"tail_start/{snapshot_id}-*"):
+            path, files = self._file_system(self.path(name))
+            for found in files.globStatus(path) or []:
+                files.delete(found.getPath(), True)
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
         if not self.exists(name):
