@@ -121,7 +121,8 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     groups = keep(simhash_groups(docs, width).where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "kept")
     stays = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     stays = keep(stays, "stays")
-    named = docs.join(stays.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    # The ids grow with the documents, so they are joined by a shuffle at every size and never broadcast.
+    named = docs.join(stays.select("doc_id").hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     if stays.where("n > 1").limit(1).count():
         named = named.dropDuplicates(["doc_id"])
     if groups.where("doc_id is null").limit(1).count():
