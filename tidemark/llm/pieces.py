@@ -244,12 +244,13 @@ def _pieces(model_path: str, rate: float, seed: int) -> Pieces:
 
 def _texts(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[tuple[pa.Array, list[str]]]:
     """(doc_id column, texts) of some texts at a time, about ``size`` characters or one longer text."""
-    ids, texts, first, held = batch.column(0), batch.column(1).to_pylist(), 0, 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= size or i == len(texts) - 1:
-            yield ids.slice(first, i + 1 - first), texts[first:i + 1]
-            first, held = i + 1, 0
+    for at in range(0, batch.num_rows, 256):  # what is copied at once is a part of the batch
+        ids, texts, first, held = batch.column(0).slice(at, 256), batch.column(1).slice(at, 256).to_pylist(), 0, 0
+        for i, text in enumerate(texts):
+            held += len(text or "")
+            if held >= size or i == len(texts) - 1:
+                yield ids.slice(first, i + 1 - first), texts[first:i + 1]
+                first, held = i + 1, 0
 
 
 def encode(docs: DataFrame, model_path: str, rate: float = 0.1, seed: int = 0) -> DataFrame:

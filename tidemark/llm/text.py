@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about this many bytes, so that a task's memory follows one long text at most.
 SLICE_BYTES = 2 << 20
+_ROWS = 512
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
@@ -34,10 +35,14 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
     A slice holds whole texts: about ``SLICE_BYTES``, or one longer text.
     """
+    for at in range(0, len(column), _ROWS):  # what is copied at once is a part of the batch
+        for first, last, body, offsets in _slices(column.slice(at, _ROWS)):
+            yield at + first, at + last, body, offsets
+
+
+def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     column = pc.fill_null(column.cast(pa.large_string()), "")
     n = len(column)
-    if n == 0:
-        return
     _, offsets, data = column.buffers()
     ends = np.frombuffer(offsets, np.int64)[column.offset:column.offset + n + 1]
     body = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
@@ -97,7 +102,3 @@ def word_hash(word: str) -> int:
     """The hash that :func:`hashes` gives for one word."""
     body = fold(np.frombuffer(word.encode(), np.uint8))
     return int(hashes(body, np.array([0]), np.array([len(body)]))[0])
-
-
-def spread(column: pa.Array, rows: list[int]) -> pa.Array:
-    return column.take(pa.array(rows, pa.int64()))
