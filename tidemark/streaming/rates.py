@@ -12,34 +12,31 @@ from tidemark.session import new_scratch
 
 
 def rate_stream(
-    stream: DataFrame, labels: Sequence[str], out: str, checkpoint: str, ts: str = "timestamp",
-    span_s: int = 300, lateness: str = "10 minutes",
+    stream: DataFrame, labels: Sequence[str], out: str, checkpoint: str, ts: str = "timestamp", span_s: int = 300,
 ) -> StreamingQuery:
-    """Count per window and label. Updated windows are written per batch, so open windows are kept too;
-    the watermark bounds the state."""
-    counts = (
-        stream.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, f"{span_s} seconds").alias("_w"), *labels)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("_w.start").alias("window_start"), *labels, (F.col("n") / span_s).alias("rate"))
-    )
+    """Count per window and label, each micro-batch by itself under its own number.
+
+    The counts of a window add up over the batches, so a row counts in its window however late it comes, no state is
+    kept, and a replayed batch replaces what it wrote before.
+    """
+    window = F.window(ts, f"{span_s} seconds").alias("_w")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
+        counts = batch.groupBy(window, *labels).agg(F.count(F.lit(1)).alias("n"))
+        counts.select(F.col("_w.start").alias("window_start"), *labels, "n").write.mode("overwrite").parquet(
             f"{out}/batch-{batch_id}")
 
     return (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def current_rates(spark: SparkSession, out: str, labels: Sequence[str]) -> DataFrame:
-    """Latest state of every window."""
-    return spark.read.parquet(f"{out}/*").groupBy("window_start", *labels).agg(F.max_by("rate", "batch").alias("rate"))
+def current_rates(spark: SparkSession, out: str, labels: Sequence[str], span_s: int = 300) -> DataFrame:
+    """Rate of every window over all batches so far."""
+    return spark.read.parquet(f"{out}/*").groupBy("window_start", *labels).agg((F.sum("n") / span_s).alias("rate"))
 
 
 def run_on_events(spark: SparkSession, sf_dir: str) -> DataFrame:
