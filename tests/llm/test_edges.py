@@ -38,7 +38,7 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def labels(spark):
-    rows = [(1, 1, 0), (3, 0, 0), (4, 0, 1), (5, 1, 1), (6, 1, 0), (7, None, None), (None, 1, 1), (8, 0, 1), (8, 1, 0), (8, 0, 1)]
+    rows = [(1, 1, 0), (3, 0, 0), (4, 0, 1), (5, 1, 1), (6, 1, 0), (7, None, None), (None, 1, 1), (2, 3, -1), (8, 0, 1), (8, 1, 0), (8, 0, 1)]
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 

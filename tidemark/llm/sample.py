@@ -24,13 +24,13 @@ def thinned(rows: DataFrame, bound: int, salt: int) -> DataFrame:
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int, bound: int,
              longest: int | None = None) -> DataFrame:
-    """(doc_id, text, y) of about ``bound`` documents with a non-null label and an id that is not held out.
+    """(doc_id, text, y) of about ``bound`` documents labelled 0 or 1 whose id is not held out.
 
     A document whose labels contradict each other is left out, and with ``longest`` a text of more bytes. The
     sample of labels has about ``bound`` rows, which is why it may be broadcast.
     """
     known = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y")).where(
-        F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id"), modulus, remainder))
+        F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id"), modulus, remainder))
     known = known.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("other")).where("y = other").drop("other")
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null")
     if longest is not None:
