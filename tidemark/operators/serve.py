@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 from typing import Any, NamedTuple
@@ -88,19 +89,21 @@ def after(cursor: tuple, sort_by: str, sort_dir: str, row_id: Sequence[str] = RO
 def prune_days(df: DataFrame, size: int, sort_dir: str) -> DataFrame:
     """Keep the first days of a time order that hold ``size`` rows; the page cannot reach beyond them.
 
-    Rows per day come from the file footers, not from data; the table of days has one row per calendar day.
+    The days are known from the folders. One, two, four and so on of them are looked into until they hold enough rows,
+    so that a filter on other columns reads about twice the days the page needs, and never the whole table for a page
+    of its newest rows.
     """
     up = _ascending(sort_dir)
-    order = Window.orderBy(F.asc("day") if up else F.desc("day"))
-    enough = (
-        df.groupBy("day").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_sum", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .filter(F.col("_sum") >= size)
-        .agg((F.min if up else F.max)("day")).first()[0]
-    )
-    if enough is None:
-        return df
-    return df.filter(F.col("day") <= F.lit(enough)) if up else df.filter(F.col("day") >= F.lit(enough))
+    found = [re.search(r"/day=(\d{4}-\d{2}-\d{2})/", f) for f in df.inputFiles()]
+    days = sorted({m[1] for m in found if m}, reverse=not up)
+    wide = 1
+    while wide < len(days):
+        edge = F.lit(days[wide - 1]).cast("date")
+        part = df.filter(F.col("day") <= edge) if up else df.filter(F.col("day") >= edge)
+        if part.limit(size).count() >= size:
+            return part
+        wide *= 2
+    return df
 
 
 def page_frame(
