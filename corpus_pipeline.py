@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import latent, passages, pieces, secrets, simhash
 from tidemark.llm.queries import tokenizer_path
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import keep, small_batches
 
 #: Classifiers and the near-duplicate groups cannot be expressed in SQL; tests compare with brute force instead.
 ORACLE_SQL = None
@@ -14,16 +14,19 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more, columns unchanged."""
+    small_batches(spark)
     return passages.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest doc_id of each near-duplicate group, columns unchanged."""
+    small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item as a copy or paraphrase, columns unchanged."""
+    small_batches(spark)
     return latent.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -34,6 +37,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, ids): the piece ids of each text under merge-dropout; they decode to the very same text."""
+    small_batches(spark)
     return pieces.encode(docs, tokenizer_path("piece_bpe_32k.model"))
 
 

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import caps, idfiles, language, latent, passages, pieces, secrets, shards, simhash, toxicity
 
+from tidemark.llm.shared import small_batches
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import new_scratch
 
 
+#: Rows go to Python and back in batches of about this size, of which a worker and its executor hold several at once.
+BATCH_BYTES, BATCH_ROWS = "8m", "2000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what Python workers and executors hold of long texts; a query sets it before it runs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def keep(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read back."""
     spark = df.sparkSession
