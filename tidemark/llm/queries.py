@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import caps, idfiles, language, latent, passages, pieces, secrets, shards, simhash, toxicity
-
 from tidemark.llm.shared import small_batches
 
 
