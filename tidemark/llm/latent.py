@@ -3,6 +3,10 @@
 Documents are read as passages of two neighbouring blocks of ``BLOCK`` words. TF-IDF over the benchmark's words is
 reduced by a randomised SVD (Halko, Martinsson and Tropp, 2011) whose range finder is summed over all passages by
 Spark; passages near an item by cosine in the latent space are compared with it word by word.
+
+A cosine can miss a short item among other words, so stretches that hold enough of an item's rarest words are compared
+too. A leak has 0.6 of the item's words, thus at least ``k`` of any 0.4 n + ``k`` of them: no leak is without such a
+stretch, however short the item is and however many items there are.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ LEAST_WORDS = 5
 ITEMS_AT_ONCE = 1000
 #: A passage is matched inside stretches of this many times the item's words.
 STRETCH = 1.5
+#: One in so many of an item's words are asked for together, of its rarest ones.
+TOGETHER = 6
+#: Rare words looked at in one go; more are taken item by item.
+HITS = 1 << 22
 
 
 class Items(NamedTuple):
@@ -42,12 +50,21 @@ class Items(NamedTuple):
     answers: list[int]
 
 
+class Rare(NamedTuple):
+    """Pairs of a rare word and its item, by word; ``together`` is how many of them a leak of each item has at least."""
+
+    word: np.ndarray
+    item: np.ndarray
+    together: np.ndarray
+
+
 class Space(NamedTuple):
     """``terms`` is the weighted latent vector of each word, ``queries`` the unit vectors of the items' parts."""
 
     terms: np.ndarray
     queries: np.ndarray
     item: np.ndarray
+    rare: Rare
 
 
 def read_items(rows: Sequence[tuple]) -> Items:
@@ -154,6 +171,30 @@ def _weights(items: Items, seen: np.ndarray, blocks: int) -> np.ndarray:
     return np.where(kept, weight, 0.0)
 
 
+def least_words(n: int) -> int:
+    """The fewest of ``n`` words whose share makes a paraphrase."""
+    least = int(PARAPHRASE * n)
+    while least / n < PARAPHRASE:
+        least += 1
+    return least
+
+
+def stretch_words(n: int) -> int:
+    return int(np.ceil(STRETCH * n))
+
+
+def _rare(items: Items, seen: np.ndarray) -> Rare:
+    """The rarest words of each item, so many that a leak cannot do without ``together`` of them."""
+    together = np.array([max(1, len(ids) // TOGETHER) for ids in items.words], np.int64)
+    found = [
+        np.unique(ids[np.argsort(seen[ids], kind="stable")[:len(ids) - least_words(len(ids)) + k]])
+        for ids, k in zip(items.words, together.tolist())]
+    word = np.concatenate(found)
+    item = np.repeat(np.arange(len(found)), [len(x) for x in found]).astype(np.min_scalar_type(len(found)))
+    order = np.argsort(word, kind="stable")
+    return Rare(word[order], item[order], together)
+
+
 def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) -> Space:
     """The latent space of all passages and the items.
 
@@ -162,7 +203,8 @@ def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) ->
     the items at once, bounded by ``ITEMS_AT_ONCE`` and their length.
     """
     size = len(items.vocabulary)
-    weight = _weights(items, *_frequencies(stored, size))
+    seen, blocks = _frequencies(stored, size)
+    weight = _weights(items, seen, blocks)
     width = min(rank + EXTRA, size)
     start = np.random.default_rng(seed).standard_normal((size, width)) * weight[:, None]
 
@@ -212,7 +254,7 @@ def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) ->
     latent = own @ basis
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
     queries = (latent / np.where(norms > 0, norms, 1)).astype(np.float32)
-    return Space(np.ascontiguousarray(terms), queries, np.array([i for i, _ in parts]))
+    return Space(np.ascontiguousarray(terms), queries, np.array([i for i, _ in parts]), _rare(items, seen))
 
 
 def common_length(masks: dict[int, int], size: int, other: Sequence[int]) -> int:
@@ -242,16 +284,30 @@ class Matcher:
         self.items = items
         self.whole = [_masks(x) for x in items.words]
         self.answer = [_masks(x[a:]) for x, a in zip(items.words, items.answers)]
-
-    def overlap(self, item: int, region: list[int]) -> tuple[float, bool]:
-        """Best share of the item's words found in order within a stretch of ``region``, and whether it is a leak."""
-        own = self.items.words[item]
-        n, best, leak = len(own), 0.0, False
-        if sum(x in self.whole[item] for x in region) < PARAPHRASE * n:  # no stretch can have enough
+        self.stretch = np.array([stretch_words(len(x)) for x in items.words], np.int64)
+        self.least = [least_words(len(x)) for x in items.words]
+        self.own = [np.unique(x) for x in items.words]
+
+    def overlap(self, item: int, region: np.ndarray) -> tuple[float, bool]:
+        """Best share of the item's words found in order within a stretch of ``region``, and whether it is a leak.
+
+        Every stretch counts. It may as well begin at the first of the item's words in it, and one with fewer of them
+        than a paraphrase has is no leak.
+        """
+        n, stretch, best, leak = len(self.items.words[item]), int(self.stretch[item]), 0.0, False
+        own = self.own[item]
+        inside = own[np.minimum(np.searchsorted(own, region), len(own) - 1)] == region
+        before = np.concatenate(([0], np.cumsum(inside)))
+        starts = np.flatnonzero(inside)
+        held = before[np.minimum(starts + stretch, len(region))] - before[starts]
+        starts, held = starts[held >= self.least[item]], held[held >= self.least[item]]
+        if not len(starts):
             return best, leak
-        stretch, step = int(np.ceil(STRETCH * n)), max(1, n // 4)
-        for at in range(0, max(1, len(region) - stretch + step), step):
-            part = region[at:at + stretch]
+        words = region.tolist()
+        for k in np.argsort(-held, kind="stable").tolist():
+            if leak and held[k] / n <= best:
+                break
+            part = words[starts[k]:starts[k] + stretch]
             share = common_length(self.whole[item], n, part) / n
             hit = share >= COPY
             if not hit and share >= PARAPHRASE:
@@ -259,41 +315,94 @@ class Matcher:
                 hit = common_length(self.answer[item], size, part) >= ANSWER * size
             if (hit, share) > (leak, best):
                 leak, best = hit, share
+            if leak and best == 1.0:
+                break
         return best, leak
 
 
-def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher) -> Iterator[tuple[int, int, float]]:
-    """(text, item, overlap) of every item that a text of the slice leaks."""
-    if not len(matcher.items.words):
-        return
+def _near(ids: np.ndarray, offsets: np.ndarray, space: Space, stretch: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(item, begin, stop) around each passage near an item in the latent space."""
+    empty = np.zeros(0, np.int64)
     known = (space.terms != 0).any(1)
     at = np.flatnonzero(ids >= 0)
     at = at[known[ids[at]]]
-    block, owner, joined = _blocked(offsets, at)
     if not len(at):
-        return
+        return empty, empty, empty
+    block, owner, joined = _blocked(offsets, at)
     latent = _with_next(_sums(space.terms[ids[at]], block, len(owner)), joined)
     norms = np.linalg.norm(latent, axis=1)
     filled = np.flatnonzero(norms > 0)
     sizes = np.diff(offsets)
     base = np.cumsum(np.maximum(1, -(-sizes // BLOCK))) - np.maximum(1, -(-sizes // BLOCK))
-    found: dict[tuple[int, int], float] = {}
+    found = [(empty, empty)]
     for part in range(0, len(filled), 4096):
         rows = filled[part:part + 4096]
         cosine = (latent[rows] / norms[rows, None]) @ space.queries.T
-        for row, query in zip(*np.nonzero(cosine >= CANDIDATE)):
-            text, item = int(owner[rows[row]]), int(space.item[query])
-            if (text, item) in found:
-                continue
-            first = (int(rows[row]) - int(base[text])) * BLOCK
-            margin = len(matcher.items.words[item])
-            begin, stop = max(0, first - margin), min(int(sizes[text]), first + 2 * BLOCK + margin)
-            region = ids[offsets[text] + begin:offsets[text] + stop].tolist()
-            overlap, leak = matcher.overlap(item, region)
-            if leak:
-                found[text, item] = overlap
-    for (text, item), overlap in sorted(found.items()):
-        yield text, item, overlap
+        row, query = np.nonzero(cosine >= CANDIDATE)
+        found.append((rows[row], space.item[query]))
+    row, item = (np.concatenate(x) for x in zip(*found))
+    text = owner[row]
+    first = offsets[text] + (row - base[text]) * BLOCK
+    return (item, np.maximum(offsets[text], first - stretch[item]),
+            np.minimum(offsets[text + 1], first + 2 * BLOCK + stretch[item]))
+
+
+def _with_rare_words(ids: np.ndarray, offsets: np.ndarray, rare: Rare, stretch: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(item, begin, stop) around each stretch that holds as many of an item's rare words as a leak of it must."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    at = np.flatnonzero(ids >= 0)
+    size = int(rare.word.max()) + 1
+    at = at[ids[at] < size]
+    seen = np.bincount(ids[at], minlength=size)
+    group = np.cumsum(np.bincount(rare.item, seen[rare.word], len(stretch))).astype(np.int64) // HITS
+    for g in np.unique(group):
+        inside = group[rare.item] == g
+        item, count = rare.item[inside], np.bincount(rare.word[inside], minlength=size)
+        here = at[count[ids[at]] > 0]
+        n = count[ids[here]]
+        first = (np.cumsum(count) - count)[ids[here]] - (np.cumsum(n) - n)
+        own = item[np.repeat(first, n) + np.arange(n.sum())]
+        order = np.argsort(own, kind="stable")
+        own, place = own[order].astype(np.int64), np.repeat(here, n)[order]
+        last = np.arange(len(own)) + rare.together[own] - 1
+        fits = last < len(own)
+        own_, place_, last = own[fits], place[fits], last[fits]
+        fits = (own[last] == own_) & (place[last] - place_ < stretch[own_])
+        item, place, last = own_[fits], place_[fits], place[last[fits]]
+        text = np.searchsorted(offsets, place, "right") - 1
+        fits = last < offsets[text + 1]
+        item, place, text = item[fits], place[fits], text[fits]
+        found.append((item, np.maximum(offsets[text], place - stretch[item] + 1),
+                      np.minimum(offsets[text + 1], place + stretch[item])))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _joined(item: np.ndarray, begin: np.ndarray, stop: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The same with overlapping regions of an item joined; regions of two texts do not overlap."""
+    low, high = item * (size + 1) + begin, item * (size + 1) + stop
+    order = np.argsort(low, kind="stable")
+    item, begin, low, high = item[order], begin[order], low[order], np.maximum.accumulate(high[order])
+    fresh = np.flatnonzero(np.append(True, low[1:] >= high[:-1])[:len(low)])
+    ends = np.append(fresh[1:], len(low)) - 1
+    return item[fresh], begin[fresh], high[ends] - item[fresh] * (size + 1)
+
+
+def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher) -> Iterator[tuple[int, int, float]]:
+    """(text, item, overlap) of every item that a text of the slice leaks."""
+    if not len(matcher.items.words):
+        return
+    near, held = _near(ids, offsets, space, matcher.stretch), _with_rare_words(ids, offsets, space.rare, matcher.stretch)
+    item, begin, stop = _joined(*(np.concatenate(x) for x in zip(near, held)), len(ids))
+    found: dict[tuple[int, int], float] = {}
+    texts = np.searchsorted(offsets, begin, "right") - 1
+    for text, own, a, b in zip(texts.tolist(), item.tolist(), begin.tolist(), stop.tolist()):
+        if (text, own) in found:
+            continue
+        overlap, leak = matcher.overlap(own, ids[a:b])
+        if leak:
+            found[text, own] = overlap
+    for (text, own), overlap in sorted(found.items()):
+        yield text, own, overlap
 
 
 def _item_blocks(benchmark: DataFrame) -> Iterator[Items]:
