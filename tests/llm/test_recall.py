@@ -30,3 +30,11 @@ def test_short_items_are_all_found(spark):
     benchmark = spark.createDataFrame([(i, text(w)) for i, w in enumerate(items)], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in latent.leaks(docs, benchmark).collect()}
     assert len(planted) == 3000 and not planted - found, f"{len(planted - found)} of {len(planted)} lost"
+
+
+def test_overlap_is_the_best_of_a_document(spark):
+    item = "How many quarrelsome badgers crossed the frozen river at midnight? The answer is thirty nine badgers."
+    part = " ".join(w for i, w in enumerate(item.split()) if i not in (2, 5, 8))
+    docs = spark.createDataFrame([(1, part + " other words" * 200 + " " + item), (2, part)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r["doc_id"]: round(r["overlap"], 2) for r in latent.leaks(docs, benchmark).collect()} == {1: 1.0, 2: 0.81}

@@ -396,11 +396,11 @@ def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher)
     found: dict[tuple[int, int], float] = {}
     texts = np.searchsorted(offsets, begin, "right") - 1
     for text, own, a, b in zip(texts.tolist(), item.tolist(), begin.tolist(), stop.tolist()):
-        if (text, own) in found:
+        if found.get((text, own)) == 1.0:
             continue
         overlap, leak = matcher.overlap(own, ids[a:b])
         if leak:
-            found[text, own] = overlap
+            found[text, own] = max(overlap, found.get((text, own), 0.0))
     for (text, own), overlap in sorted(found.items()):
         yield text, own, overlap
 
@@ -433,8 +433,8 @@ def _stored(docs: DataFrame, items: Items) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, overlap) for every benchmark item a document holds as a copy or paraphrase.
 
-    ``benchmark`` has item_id and text, and may have answer. ``overlap`` is the share of the item's words found in
-    order within a stretch of 1.5 times its length: from 0.8 on a copy, from 0.6 on a paraphrase when the item's
+    ``benchmark`` has item_id and text, and may have answer. ``overlap`` is the largest share of the item's words
+    found in order within a stretch of 1.5 times its length: from 0.8 on a copy, from 0.6 on a paraphrase when the item's
     answer (its last sentence where none is given) is there too. A null text counts as empty; an empty table on
     either side gives no rows; repeated documents give repeated rows, repeated items one.
     """
