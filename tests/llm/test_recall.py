@@ -2,7 +2,10 @@
 
 import random
 
-from tidemark.llm import latent
+import numpy as np
+
+from tidemark.llm import latent, pieces
+from tidemark.llm.queries import tokenizer_path
 
 
 def test_short_items_are_all_found(spark):
@@ -38,3 +41,18 @@ def test_overlap_is_the_best_of_a_document(spark):
     docs = spark.createDataFrame([(1, part + " other words" * 200 + " " + item), (2, part)], "doc_id long, text string")
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert {r["doc_id"]: round(r["overlap"], 2) for r in latent.leaks(docs, benchmark).collect()} == {1: 1.0, 2: 0.81}
+
+
+def test_every_occurrence_drops_merges_by_itself():
+    model = pieces.Pieces(tokenizer_path("piece_bpe_32k.model"), 0.1, 3)
+    _, plain = model.encode(["", "it"], [0, 0]), pieces.Pieces(tokenizer_path("piece_bpe_32k.model"), 0.0).encode(["it"], [0])[0]
+    texts = ["it"] * 4000
+    varied = np.mean([x != plain for x in model.encode(texts, range(len(texts)))])
+    assert 0.08 < varied < 0.2  # one or two merges, each skipped at a rate of 0.1
+    long = "internationalisation of quarrelsome badgers"
+    assert len(set(model.encode([long] * 2000, range(2000)))) > 100
+    # The same as merging every occurrence anew, without what is remembered.
+    chunks = model.chunks(long)
+    for key, ids in zip(range(300), model.encode([long] * 300, range(300))):
+        variants = pieces._key(np.full(len(chunks), key, np.uint64), np.arange(len(chunks)), 3)
+        assert b"".join(model.segment(chunks, variants)) == ids

@@ -1,7 +1,9 @@
 """SentencePiece BPE with seeded merge-dropout: varied segmentations that decode to the very same text.
 
 A text is a line of characters behind a space; neighbours are merged by the model's merges, best score first, leftmost
-first among equals. A candidate merge that comes up is skipped for good when its keyed hash falls below the rate. No
+first among equals. A candidate merge that comes up is skipped for good when its hash, keyed by the document and the
+place of its chunk, falls below the rate. Until the first skip a chunk merges as it does without dropout, so those
+merges are remembered and only occurrences that skip one of them are merged anew. No
 piece of the model joins characters across a line feed or from a word to the space after it, so texts are encoded in
 chunks, each a run of spaces with the word behind it.
 """
@@ -13,7 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.text import mix
 
 SPACE = "▁"
-#: Segmentations a chunk can have under one seed; which one it gets depends on the document and its place in it.
-VARIANTS = 4
-#: Chunks whose ids a worker remembers, over all variants.
-CACHE = 600_000
+#: Chunks whose ids and merges without dropout a worker remembers.
+CACHE = 400_000
+#: Occurrences that are looked at, and merged, in one go.
+AT_ONCE = 1 << 16
 #: Longer chunks are merged one by one with a heap, which takes n log n steps however long they are.
 TOGETHER = 64
 _CHUNK = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
@@ -41,6 +43,20 @@ def _key(*parts: np.ndarray | int) -> np.ndarray:
     return total
 
 
+class _Column:
+    """A growing array of unsigned 64-bit numbers."""
+
+    def __init__(self) -> None:
+        self.data, self.size = np.zeros(1024, np.uint64), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate((self.data[:self.size], np.zeros(max(end, 2 * self.size) - self.size, np.uint64)))
+        self.data[self.size:end] = values
+        self.size = end
+
+
 class Pieces:
     """A BPE model with byte fallback: :meth:`encode` and :meth:`decode`."""
 
@@ -70,9 +86,13 @@ class Pieces:
         self.ranks = np.array([x[1] for x in pairs], np.int32)
         self.merged = np.array([x[2] for x in pairs], np.int32)
         self.seed, self.limit = seed, np.uint64(min(int(rate * 2**64), 2**64 - 1))
-        self.cache, self.held = cache, 0
-        self.known: list[dict] = [{} for _ in range(VARIANTS)]
-        self.literal = np.array([self.bytes[b] for b in SPACE.encode()], "<u2").tobytes()
+        self.cache = cache
+        # By number of a known chunk: ids without dropout, hash of its characters, where its merges end in the last one.
+        self.known: dict[str | None, int] = {None: 0}
+        self.plain = [np.array([self.bytes[b] for b in SPACE.encode()], "<u2").tobytes()]
+        self.sums, self.ends, self.merges = _Column(), _Column(), _Column()
+        self.sums.extend(np.zeros(1, np.uint64))
+        self.ends.extend(np.zeros(1, np.uint64))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of merging each pair, or ``_NONE``, and its row in the table of pairs."""
@@ -82,10 +102,17 @@ class Pieces:
         return np.where(fits, self.ranks[at], _NONE), at
 
     def _skipped(self, word: np.ndarray, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return _key(word, left, right, place) < self.limit
+        return self._below(word, _key(left, right, place))
 
-    def _together(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge rows of symbols, padded with -1, all at once; with the first character of each symbol left."""
+    def _below(self, word: np.ndarray, merge: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix(word + merge) < self.limit
+
+    def _together(self, symbols: np.ndarray, word: np.ndarray, log: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Merge rows of symbols, padded with -1, all at once; with the first character of each symbol left.
+
+        With a ``log`` nothing is skipped, and it gets the rows and the hashes of their merges.
+        """
         n, width = symbols.shape
         place = np.tile(np.arange(width, dtype=np.int16), (n, 1))
         rank = self._rank(symbols[:, :-1], symbols[:, 1:])[0]
@@ -95,7 +122,11 @@ class Pieces:
             open_ = rank[rows, best] < _NONE
             rows, best = rows[open_], best[open_]
             left, right = symbols[rows, best], symbols[rows, best + 1]
-            skip = self._skipped(word[rows], left, right, place[rows, best])
+            if log is None:
+                skip = self._skipped(word[rows], left, right, place[rows, best])
+            else:
+                skip = np.zeros(len(rows), bool)
+                log.append((rows, _key(left, right, place[rows, best])))
             rank[rows[skip], best[skip]] = _NONE
             a, b = rows[~skip], best[~skip]
             if not len(a):
@@ -146,16 +177,42 @@ class Pieces:
         place = np.flatnonzero(np.array(ids) != -1)
         return np.array(ids, np.int32)[place], place
 
-    def segment(self, chunks: Sequence[str], variants: Sequence[int]) -> list[bytes]:
-        """Ids (unsigned 16-bit, little endian) of chunks, each under the variant given with it."""
+    @staticmethod
+    def _hashed(chunks: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code points of all chunks, where each chunk starts, its size, and the hash of its characters."""
         points = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
-        symbols = self.chars[points]
         sizes = np.array([len(c) for c in chunks], np.int64)
         starts = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(chunks)), sizes)
-        parts = _key(points, np.arange(len(points)) - starts[owner])
+        parts = _key(points, np.arange(len(points)) - np.repeat(starts, sizes))
         with np.errstate(over="ignore"):
-            word = _key(np.add.reduceat(parts, starts), np.asarray(variants, np.uint64), self.seed % 2**64)
+            return points, starts, sizes, np.add.reduceat(parts, starts)
+
+    def _word(self, sums: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        return _key(sums, variants, self.seed % 2**64)
+
+    def segment(self, chunks: Sequence[str], variants: Sequence[int]) -> list[bytes]:
+        """Ids (unsigned 16-bit, little endian) of chunks, each under the variant given with it."""
+        points, starts, sizes, sums = self._hashed(chunks)
+        return self._merged(chunks, self.chars[points], starts, sizes, self._word(sums, np.asarray(variants, np.uint64)))
+
+    def _learn(self, chunks: Sequence[str]) -> None:
+        """Append chunks of up to ``TOGETHER`` characters to what is known by number."""
+        points, starts, sizes, sums = self._hashed(chunks)
+        log: list[tuple[np.ndarray, np.ndarray]] = []
+        self.plain += self._merged(chunks, self.chars[points], starts, sizes, sums, log)
+        owner, merges = (np.concatenate(x) for x in zip(*log)) if log else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        self.ends.extend(self.merges.size + np.cumsum(np.bincount(owner, minlength=len(chunks))))
+        self.merges.extend(merges[np.argsort(owner, kind="stable")])
+        self.sums.extend(sums)
+
+    def _forget(self, n: int) -> None:
+        """Keep the first ``n`` known chunks only."""
+        del self.plain[n:]
+        self.sums.size = self.ends.size = n
+        self.merges.size = int(self.ends.data[n - 1])
+
+    def _merged(self, chunks: Sequence[str], symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, word: np.ndarray,
+                log: list | None = None) -> list[bytes]:
         out: list = [b""] * len(chunks)
         low = 0
         for high in (4, 8, 12, 16, 32, TOGETHER):
@@ -166,7 +223,10 @@ class Pieces:
             at = starts[own][:, None] + np.arange(high)
             inside = np.arange(high) < sizes[own][:, None]
             rows = np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], -1).astype(np.int32)
-            merged, place = self._together(rows, word[own])
+            steps = None if log is None else []
+            merged, place = self._together(rows, word[own], steps)
+            if log is not None:
+                log += [(own[r], merge) for r, merge in steps]
             used = merged != -1
             ends = np.cumsum(used.sum(1)).tolist()
             flat = merged[used].astype("<u2").tobytes()
@@ -210,27 +270,44 @@ class Pieces:
         owner = np.repeat(np.arange(len(split)), counts)
         number = np.arange(len(flat)) - starts[owner]
         key = np.array([k or 0 for k in keys], np.int64).view(np.uint64)
-        chosen = (_key(key[owner], number, self.seed % 2**64) & np.uint64(VARIANTS - 1)).tolist()
-        get = [d.get for d in self.known]
-        found = [get[v](c) for c, v in zip(flat, chosen)]
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            wanted = {(flat[i], chosen[i]): b"" for i in missing}
-            plain = [w for w in wanted if w[0] is not None]
-            if plain:
-                wanted.update(zip(plain, self.segment([w[0] for w in plain], [w[1] for w in plain])))
-            for v in range(VARIANTS):
-                if (None, v) in wanted:
-                    wanted[None, v] = self.literal
-            for i in missing:
-                found[i] = wanted[flat[i], chosen[i]]
-            if self.held < self.cache:
-                for (chunk, v), ids in wanted.items():
-                    self.known[v][chunk] = ids
-                self.held += len(wanted)
+        variants = _key(key[owner], number, self.seed % 2**64)
+        place = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        kept, missing = len(self.plain), np.flatnonzero(place < 0).tolist()
+        fresh = list(dict.fromkeys(flat[i] for i in missing if len(flat[i]) <= TOGETHER))
+        if fresh:
+            self._learn(fresh)
+            new = dict(zip(fresh, range(kept, kept + len(fresh))))
+            place[missing] = [new.get(flat[i], -1) for i in missing]
+            if kept < self.cache:
+                self.known.update(new)
+                kept += len(fresh)
+        found = [self.plain[p] for p in place.tolist()]  # what stands for -1 is replaced
+        varied = [np.zeros(0, np.int64)]
+        for at in range(0, len(flat), AT_ONCE):
+            varied.append(at + np.flatnonzero(self._varied(place[at:at + AT_ONCE], variants[at:at + AT_ONCE])))
+        self._forget(kept)
+        again = np.concatenate(varied)
+        for at in range(0, len(again), AT_ONCE):
+            part = again[at:at + AT_ONCE]
+            own = part.tolist()
+            for i, ids in zip(own, self.segment([flat[i] for i in own], variants[part])):
+                found[i] = ids
         ends = (starts + counts).tolist()
         return [b"".join(found[a:b]) for a, b in zip(starts.tolist(), ends)]
 
+    def _varied(self, place: np.ndarray, variants: np.ndarray) -> np.ndarray:
+        """Which occurrences of known chunks skip one of their merges; true for those of chunks not known (-1)."""
+        out = place < 0
+        ends = self.ends.data.view(np.int64)
+        known = np.flatnonzero(~out)
+        chunk = place[known]
+        first = np.where(chunk > 0, ends[chunk - 1], 0)
+        n = ends[chunk] - first
+        word = self._word(self.sums.data[chunk], variants[known])
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[np.repeat(known, n)[self._below(np.repeat(word, n), self.merges.data[at])]] = True
+        return out
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 bytes of a text."""
         return b"".join(map(self.text.__getitem__, ids.tolist()))[1:]
