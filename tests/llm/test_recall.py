@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tidemark.llm import latent, pieces
+from tidemark.llm import latent, pieces, secrets
 from tidemark.llm.queries import tokenizer_path
 
 
@@ -56,3 +56,17 @@ def test_every_occurrence_drops_merges_by_itself():
     for key, ids in zip(range(300), model.encode([long] * 300, range(300))):
         variants = pieces._key(np.full(len(chunks), key, np.uint64), np.arange(len(chunks)), 3)
         assert b"".join(model.segment(chunks, variants)) == ids
+
+
+def test_random_letters_without_digits_are_secrets(spark):
+    rng = random.Random(4)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tokens = ["".join(rng.choice(own) for _ in range(n)) for own in (lower, upper, lower + upper) for n in range(20, 60)]
+    plain = ["internationalisation", "Geschwindigkeitsbegrenzung", "counterrevolutionaries", "Rechtsschutzversicherung",
+             "anticonstitutionnellement", "electroencefalografista", "uncharacteristically", "einlichheitenpfpfver",
+             "chapter-of-the-long-history", "usr/share/documentation/index", "-" * 40, "_" * 25, "iertionieroupamenteux"]
+    rows = spark.createDataFrame(list(enumerate([f"see {t} here" for t in tokens + plain])), "doc_id long, text string")
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(rows).collect()}
+    hit = sum(out[i] == f"random:4:{4 + len(t)}" for i, t in enumerate(tokens))
+    false = [t for i, t in enumerate(plain) if out[len(tokens) + i]]
+    assert hit >= 0.9 * len(tokens) and not false, (hit, false)
