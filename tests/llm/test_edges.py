@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -74,6 +75,16 @@ def test_no_labels_still_score(spark, docs, labels, name):
     assert len(out) == len(ROWS) and all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_texts_without_any_candidate(spark):
+    """A slice whose texts share no word with any item, or common ones only, has no region to compare."""
+    empty = np.zeros(0, np.int64)
+    assert [len(x) for x in latent._joined(empty, empty, empty, 10)] == [0, 0, 0]
+    docs = spark.createDataFrame([(i, f"zebra{i} quagga{i} okapi{i}") for i in range(20)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, ITEM)], BENCHMARK)
+    assert latent.leaks(docs, benchmark).count() == 0
+    assert latent.without_leaks(docs, benchmark).count() == 20
+
+
 @pytest.mark.parametrize("stage", [f for n, f in corpus_pipeline.STAGES[:-1]])
 def test_stages_keep_the_columns(spark, docs, labels, stage, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")

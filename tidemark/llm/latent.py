@@ -379,6 +379,8 @@ def _with_rare_words(ids: np.ndarray, offsets: np.ndarray, rare: Rare, stretch:
 
 def _joined(item: np.ndarray, begin: np.ndarray, stop: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """The same with overlapping regions of an item joined; regions of two texts do not overlap."""
+    if not len(item):
+        return item, begin, stop
     low, high = item * (size + 1) + begin, item * (size + 1) + stop
     order = np.argsort(low, kind="stable")
     item, begin, low, high = item[order], begin[order], low[order], np.maximum.accumulate(high[order])
