@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import caps, idfiles, language, latent, passages, pieces, secrets, shards, simhash, toxicity
+from tidemark.llm import caps, idfiles, language, latent, passages, pieces, repair, rules, runs, secrets, shards, simhash, toxicity
+from tidemark.llm.rules_sql import RULES
 from tidemark.llm.shared import small_batches
 
 
@@ -60,9 +61,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(_table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(_table(spark, sf_dir, "documents"), damage=True))
+
+
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("ratio_millionths")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_caps, op2_decontamination, op3_pieces, op4_secrets, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality)}
+    op1_caps, op2_decontamination, op3_pieces, op4_secrets, op5_language, op6_id_files, op7_shards, op8_simhash, op9_toxicity, op10_quality,
+    op11_repair, op12_runs, op13_rules)}
 ORACLES: dict[str, str] = {
+    "op13_rules": RULES,
     "op1_caps": """
 WITH RECURSIVE v AS (
     SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
