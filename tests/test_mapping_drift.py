@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import drift_name
 from tidemark.operators import drift, mapping
 
 
@@ -77,13 +80,46 @@ def test_type_change_is_drift_without_mappings(spark):
     assert not drift.schema_changed(old, header(spark, ["b", "a"], types={"a": "number"})).first()["changed"]
 
 
-def test_wide_headers_are_matched_across_blocks(spark, monkeypatch):
-    old = header(spark, ["alpha_one", "beta"])
-    new = header(spark, [f"column{i}" for i in range(40)] + ["alpha_onf", "betas"])
-    want = {(r["from"], r["to"], r["confidence"]) for r in drift.drift_mappings(old, new).collect()}
-    monkeypatch.setattr(drift, "BLOCK", 7)
-    got = {(r["from"], r["to"], r["confidence"]) for r in drift.drift_mappings(old, new).collect()}
-    assert got == want == {("alpha_one", "alpha_onf", 0.875), ("beta", "betas", 0.9)}
+def random_headers(seed):
+    rnd = random.Random(seed)
+
+    def name():
+        kind = rnd.random()
+        if kind < 0.1:
+            return rnd.choice(["symbol", "ticker", "price_usd", "usd_price", "timestamp", "created_at", "time", "_", "__", "a", "b-", ""])
+        if kind < 0.4:
+            return f"col_{rnd.randint(0, 400)}"
+        return "".join(rnd.choice("abcde_") for _ in range(rnd.randint(0, 12)))
+
+    old, new = [], []
+    for f in range(3):
+        base = sorted({name() for _ in range(50)})
+        for side in (old, new):
+            cut = lambda b: b[:rnd.randint(0, len(b))] + name()[:2] + b[rnd.randint(0, len(b)):]
+            columns = list(dict.fromkeys([b if rnd.random() < 0.3 else cut(b) for b in base] + [name() for _ in range(20)]))
+            rnd.shuffle(columns)
+            side += [(f"f{f}", c, "string", i) for i, c in enumerate(columns)]
+    return old, new
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_wide_headers_equal_all_pairs(spark, seed):
+    schema = "feed string, column string, type string, pos long"
+    old, new = (spark.createDataFrame(x, schema) for x in random_headers(seed))
+    want = sorted(map(tuple, drift.drift_mappings(old, new, narrow=10**9).collect()))
+    assert len(want) > 100 and sorted(map(tuple, drift.drift_mappings(old, new, narrow=16).collect())) == want
+
+
+def test_no_row_or_task_holds_a_wide_feed(spark):
+    """Renamed columns, none of them alike: every list is bounded, and close names come out of the index alone."""
+    rnd = random.Random(3)
+    names = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(8, 14))) for _ in range(3000)]
+    old, new = header(spark, names), header(spark, [f"{n}x" if i % 2 else n[:4] + "_" + n[5:] for i, n in enumerate(names)])
+    got = {r["from"]: r["to"] for r in drift.drift_mappings(old, new).collect()}
+    assert sum(got[n] == (f"{n}x" if i % 2 else n[:4] + "_" + n[5:]) for i, n in enumerate(names)) > 2990
+    added = new.select("feed", F.inline(F.array(F.struct("pos", drift_name(F.col("column")).alias("name")))))
+    lists = added.groupBy(F.pmod(F.xxhash64("name.name"), F.lit(-(-3000 // drift.NARROW)))).count()
+    assert lists.agg(F.max("count")).first()[0] <= 2 * drift.NARROW
 
 
 def test_first_added_wins_ties_and_may_serve_twice(spark):

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.names import confidence_class, drift_name, drift_score
+from tidemark.functions.names import confidence_class, drift_name
 from tidemark.model import REGISTRY
+from tidemark.operators import wide
 from tidemark.operators.skew import join_small
 
 
-
 def js_type(sql_type: str) -> str:
     """Type name used in the registry: number, string, boolean or object."""
     if sql_type in ("tinyint", "smallint", "int", "bigint", "float", "double") or sql_type.startswith("decimal"):
@@ -88,28 +88,34 @@ def added_columns(old: DataFrame, new: DataFrame) -> DataFrame:
         "feed", "column", F.col("new_pos").alias("pos"))
 
 
-def drift_mappings(old: DataFrame, new: DataFrame) -> DataFrame:
+#: Feeds with more removed or added columns than this are matched through an index.
+NARROW = 256
+
+
+def drift_mappings(old: DataFrame, new: DataFrame, narrow: int = NARROW) -> DataFrame:
     """Closest added column for every removed one: ``feed, from, to, confidence`` (3 decimals).
 
-    The two headers are compared once. A feed's removed and added names are two arrays of one row, and every removed
-    name is scored against the added ones inside it. Of equal scores the earlier added column wins; a score of 0 is
-    no match.
+    Of equal scores the earlier added column wins; a score of 0 is no match. While every feed has few of them, a feed's
+    removed and added names are two arrays of one row; beyond ``narrow`` names go through :func:`wide.closest`, which
+    gives the same without a row or task that holds all names of a feed.
     """
     name = drift_name(F.col("column"))
-    lists = compare_headers(old, new).groupBy("feed").agg(
-        F.collect_list(F.when(F.col("new_pos").isNull(), name)).alias("_removed"),
-        F.collect_list(F.when(F.col("old_pos").isNull(), F.struct(F.col("new_pos").alias("pos"), name.alias("name")))).alias("_added"))
-
-    def best(removed: Column) -> Column:
-        return F.array_max(F.transform("_added", lambda a: F.struct(
-            drift_score(removed, a["name"]).alias("score"), (-a["pos"]).alias("rank"), a["name"]["name"].alias("to"))))
-
-    found = F.transform("_removed", lambda r: F.struct(r["name"].alias("from"), best(r).alias("best")))
-    return (
-        lists.select("feed", F.inline(found))
-        .filter(F.col("best.score") > 0)
-        .select("feed", "from", F.col("best.to").alias("to"), F.round("best.score", 3).alias("confidence"))
-    )
+    headers = compare_headers(old, new)
+    gone, come = F.col("new_pos").isNull(), F.col("old_pos").isNull()
+    added_name = F.struct(F.col("new_pos").alias("pos"), name.alias("name"))
+    sizes = headers.groupBy("feed").agg(F.count_if(gone).alias("gone"), F.count_if(come).alias("come")).agg(
+        F.max(F.greatest("gone", "come")), F.max("come")).first()
+    if (sizes[0] or 0) > narrow:
+        removed = headers.filter(gone).select("feed", name.alias("name"))
+        added = headers.filter(come).select("feed", F.inline(F.array(added_name)))
+        rows = wide.closest(removed, added, -(-max(sizes[1], 1) // narrow))
+    else:
+        lists = headers.groupBy("feed").agg(
+            F.collect_list(F.when(gone, name)).alias("_removed"), F.collect_list(F.when(come, added_name)).alias("_added"))
+        found = F.transform("_removed", lambda r: F.struct(r["name"].alias("from"), wide.best_of(r, F.col("_added")).alias("best")))
+        rows = lists.select("feed", F.inline(found))
+    return rows.filter(F.col("best.score") > 0).select(
+        "feed", "from", F.col("best.to").alias("to"), F.round("best.score", 3).alias("confidence"))
 
 
 def classify_drift(mappings: DataFrame) -> DataFrame:

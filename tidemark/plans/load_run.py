@@ -13,7 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from tidemark.model import LOAD_BATCH, REGISTRY, SOURCE_REPORT, SOURCES
+from tidemark.model import LOAD_BATCH, SOURCE_REPORT, SOURCES
 from tidemark.operators import drift, ledger, load, outliers
 from tidemark.sources.tables import Tables
 
@@ -41,7 +41,7 @@ def _check_header(tables: Tables, header: DataFrame, run_id: str, source: str) -
     known = drift.current_headers(registry).filter(F.col("feed").isin([source]))
     mapped = drift.classify_drift(drift.drift_mappings(known, header.filter(F.col("feed") == source)))
     rows = mapped.orderBy("from").collect() if not known.isEmpty() else []
-    tables.append("schema_registry", drift.register(registry, header), REGISTRY, f"{run_id}-{source}")
+    tables.append("schema_registry", drift.register(registry, header), f"{run_id}-{source}")
     version = tables.registry().filter(F.col("feed") == source).agg(F.max("version")).first()[0]
     return {
         "schema_version": version or 1,
@@ -74,7 +74,7 @@ def _detect(tables: Tables, staged: DataFrame, counts: list[Row], run_id: str, l
     History runs through the feeds in turn, so each feed's row numbers are moved behind those of the last one.
     """
     generation = tables.tail_generation(load_id)
-    tail = tables.outlier_tail(generation)
+    tail = tables.outlier_tail(generation, outliers.explode_fields(staged, "row_index"))
     base = tail.agg(F.coalesce(F.max("seq") + 1, F.lit(0))).first()[0]
     start = F.lit(None).cast("long")
     for r in counts:
@@ -114,13 +114,14 @@ def load_run(
     snapshot_id: str | None = None,
     sources: Sequence[str] = SOURCES,
     batch_size: int = LOAD_BATCH,
+    forget: bool = False,
 ) -> DataFrame:
     """Run all feeds; one that cannot be read becomes a failed batch of the ledger row and spares the others.
 
     Feeds are staged one by one, because each may fail, and from there on handled together. ``snapshot_id``
     names the feed contents. Progress is kept under it, so a later run over the same snapshot takes up where
     an incomplete one stopped. Returns the ledger row as stored; a run that fails as a whole is logged and
-    raises.
+    raises. With ``forget`` a run without failures drops what it kept for being repeated.
     """
     spark, stamp = tables.spark, F.lit(now).cast("timestamp")
     snapshot_id = snapshot_id or run_id
@@ -175,4 +176,6 @@ def load_run(
         raise
     if not failures:
         tables.clear_progress(run_id, batch_ids)
+        if forget:
+            tables.forget(run_id, snapshot_id)
     return tables.runs().filter(F.col("run_id") == run_id)

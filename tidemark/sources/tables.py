@@ -4,23 +4,24 @@ Both data tables are partitioned by source and day, so filters on source and tim
 rewrites only the days it touches. An upsert is written in two steps: the merged days go to a ``pending``
 folder of the load first, and only then replace the same days of the tables. Either step can simply be run
 again: the second one reads nothing but ``pending``, and ``recover`` does so for loads that were cut short.
+
+High-water marks are carried forward: a load that is published logs the newest time of what it wrote, and the mark of a
+source is the largest of those. No load reads the tables to learn them.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructType, TimestampType
+from pyspark.sql.types import DateType, LongType, StringType, StructType, TimestampType
 
 from tidemark.model import NORMALIZED, PROGRESS, RAW, REGISTRY, RUNS, SUMMARIES
 from tidemark.operators.load import latest_progress, list_progress, source_watermarks, upsert
-from tidemark.operators.outliers import history_tail
+from tidemark.sources.log import COMPACT_AFTER, Log, drop_paths, file_system
+from tidemark.sources.series import SeriesState
 
 PARTITIONS = ["source", "day"]
-TAIL = (
-    StructType().add("seq", LongType()).add("symbol", StringType()).add("field", StringType())
-    .add("value", DoubleType()).add("generation", LongType())
-)
 LOADS = StructType().add("load_id", StringType()).add("state", StringType())
 MARKS = StructType().add("source", StringType()).add("watermark", TimestampType())
 # An upsert touching more partitions than this looks them up by join rather than by a literal list.
@@ -47,32 +48,51 @@ def write_data(df: DataFrame, path: str, mode: str = "append", overwrite: str =
     )
 
 
+def unfinished_loads(rows: DataFrame) -> DataFrame:
+    """Log rows of loads that were merged but not published."""
+    done = rows.filter("state = 'done'").select("load_id").distinct()
+    return rows.join(done, "load_id", "left_anti")
+
+
+def newest_progress(rows: DataFrame) -> DataFrame:
+    """Log rows with the current progress of a (batch id, source); cleared progress goes."""
+    body = [c for c in rows.columns if c not in ("batch_id", "source")]
+    newest = F.max_by(F.struct(*body), F.struct("updated_at", "last_index"))
+    return rows.groupBy("batch_id", "source").agg(newest.alias("_row")).select(
+        "batch_id", "source", "_row.*").filter("last_index is not null")
+
+
+def largest_marks(rows: DataFrame) -> DataFrame:
+    """One mark per source; marks only rise, so none has to be replaced later."""
+    return rows.groupBy("source").agg(F.max("watermark").alias("watermark")).withColumn("part", F.lit("all"))
+
+
+#: Logs of the warehouse with their columns and what of them is kept for good.
+LOGS = {
+    "runs": (RUNS, None), "run_summaries": (SUMMARIES, None), "schema_registry": (REGISTRY, None),
+    "loads": (LOADS, unfinished_loads), "batch_progress": (PROGRESS, newest_progress), "mark_log": (MARKS, largest_marks),
+}
+
+
 class Tables:
     """All tables of one warehouse folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_after: int = COMPACT_AFTER):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.series = SeriesState(spark, self.path("outlier_tail"))
+        self.logs = {n: Log(spark, self.path(n), schema, fold, compact_after) for n, (schema, fold) in LOGS.items()}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.schema("_any string").parquet(self.path(name))
-            return True
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-
-    def _file_system(self, path: str):
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        path, files = file_system(self.spark, self.path(name))
+        return files.exists(path)
 
     def complete(self, name: str) -> bool:
         """Whether the last write to the folder was committed; a killed one leaves the folder without its mark."""
-        path, files = self._file_system(f"{self.path(name)}/_SUCCESS")
+        path, files = file_system(self.spark, f"{self.path(name)}/_SUCCESS")
         return files.exists(path)
 
     def forget(self, load_id: str, snapshot_id: str | None = None) -> None:
@@ -82,9 +102,7 @@ class Tables:
             raise ValueError(f"load {load_id!r} is not published yet")
         snapshot_id = snapshot_id or load_id
         for name in (f"staged/{load_id}", f"pending/{load_id}", f"marks/{snapshot_id}", f"tail_start/{snapshot_id}-*"):
-            path, files = self._file_system(self.path(name))
-            for found in files.globStatus(path) or []:
-                files.delete(found.getPath(), True)
+            drop_paths(self.spark, self.path(name))
 
     def _read(self, name: str, schema: StructType) -> DataFrame:
         if not self.exists(name):
@@ -105,8 +123,17 @@ class Tables:
         return self._read_data("normalized", NORMALIZED)
 
     def watermarks(self) -> DataFrame:
-        """Newest timestamp per source. It lies in the newest day of the source, and the days are known from the
-        folders, so only those days' timestamps are read."""
+        """Newest timestamp per source, from the log of published loads alone.
+
+        A warehouse that was filled before there was a log is looked through once.
+        """
+        if self.logs["mark_log"].read().isEmpty() and self.exists("normalized"):
+            self._move_marks(self._marks_of_newest_days(), "found")
+        return largest_marks(self.logs["mark_log"].read()).drop("part")
+
+    def _marks_of_newest_days(self) -> DataFrame:
+        """Newest timestamp per source of the stored rows: it lies in the newest day of the source, and the days are
+        known from the folders, so only those days' timestamps are read."""
         stored = self.served()
         newest = stored.groupBy("source").agg(F.max("day").alias("day")).limit(MAX_LISTED + 1).collect()
         if len(newest) <= MAX_LISTED:
@@ -116,17 +143,20 @@ class Tables:
             stored = stored.filter(condition)
         return source_watermarks(stored)
 
+    def _move_marks(self, marks: DataFrame, part: str) -> None:
+        self.logs["mark_log"].append(marks, part)
+
     def runs(self) -> DataFrame:
-        return self._read("runs", RUNS)
+        return self.logs["runs"].read()
 
     def summaries(self) -> DataFrame:
-        return self._read("run_summaries", SUMMARIES)
+        return self.logs["run_summaries"].read()
 
     def progress(self) -> DataFrame:
-        return self._read("batch_progress", PROGRESS)
+        return self.logs["batch_progress"].read()
 
     def registry(self) -> DataFrame:
-        return self._read("schema_registry", REGISTRY)
+        return self.logs["schema_registry"].read()
 
     # --- writes ------------------------------------------------------------------------------
 
@@ -135,22 +165,23 @@ class Tables:
         write_data(gather_days(df.select(*RAW.names)), self.path("raw"))
 
     def write_normalized(self, df: DataFrame) -> None:
-        """Append rows without their payload."""
+        """Append rows without their payload; ``df`` is read a second time for their marks."""
+        marks = self.watermarks()  # of what is there already, should there be no log yet
         write_data(gather_days(df.select(*NORMALIZED.names)), self.path("normalized"))
+        self._move_marks(largest_marks(marks.unionByName(source_watermarks(df))).drop("part"), f"plain-{uuid.uuid4().hex}")
 
-    def append(self, name: str, df: DataFrame, schema: StructType, part: str) -> None:
-        """Append to a small table under ``part``; running the same part again replaces it."""
-        df.select(*schema.names).withColumn("part", F.lit(part)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("part").parquet(self.path(name))
+    def append(self, name: str, df: DataFrame, part: str) -> None:
+        """Append to one of the logs under ``part``; running the same part again replaces it."""
+        self.logs[name].append(df, part)
 
     def write_run(self, record: DataFrame, run_id: str) -> None:
-        self.append("runs", record, RUNS, run_id)
+        self.append("runs", record, run_id)
 
     def write_summary(self, summary: DataFrame, run_id: str) -> None:
-        self.append("run_summaries", summary, SUMMARIES, run_id)
+        self.append("run_summaries", summary, run_id)
 
     def save_progress(self, progress: DataFrame, part: str) -> None:
-        self.append("batch_progress", progress, PROGRESS, part)
+        self.append("batch_progress", progress, part)
 
     def clear_progress(self, run_id: str, batch_ids: list[str] | None = None) -> None:
         """Forget the progress of a finished run, or all progress under ``batch_ids`` whichever run made it, by
@@ -202,22 +233,21 @@ class Tables:
     def publish(self, load_id: str) -> None:
         """Replace the touched days of both tables with the load's pending rows; safe to repeat.
 
-        The pending files already lie by source and day, so these writes need no shuffle.
+        The pending files already lie by source and day, so these writes need no shuffle. Marks rise last, before the
+        load is done: whoever comes in between repeats this first.
         """
         merged = self._read_data(f"pending/{load_id}", RAW)
         write_data(merged.select(*RAW.names, "day"), self.path("raw"), "overwrite")
         write_data(merged.select(*NORMALIZED.names, "day"), self.path("normalized"), "overwrite")
+        self._move_marks(source_watermarks(merged), load_id)
         self._log_load(load_id, "done")
 
     def _log_load(self, load_id: str, state: str) -> None:
-        row = self.spark.createDataFrame([(load_id, state)], LOADS)
-        self.append("loads", row, LOADS, f"{load_id}-{state}")
+        self.append("loads", self.spark.createDataFrame([(load_id, state)], LOADS), f"{load_id}-{state}")
 
     def open_loads(self) -> list[str]:
         """Loads that were merged but not finished publishing."""
-        loads = self._read("loads", LOADS)
-        ready, done = (loads.filter(F.col("state") == s).select("load_id") for s in ("ready", "done"))
-        return [r[0] for r in ready.join(done, "load_id", "left_anti").orderBy("load_id").collect()]
+        return sorted(r[0] for r in unfinished_loads(self.logs["loads"].read()).select("load_id").distinct().collect())
 
     def recover(self) -> list[str]:
         """Publish again what a killed run had merged but not finished publishing."""
@@ -230,21 +260,18 @@ class Tables:
 
     def tail_generation(self, load_id: str) -> int:
         """Generation of the saved history a load starts from; a repeat of the load starts from the same one."""
-        name = f"tail_start/{load_id}"
+        name, schema = f"tail_start/{load_id}", StructType().add("g", LongType())
         if not self.complete(name):
-            newest = self._read("outlier_tail", TAIL).agg(F.coalesce(F.max("generation"), F.lit(0)).alias("g"))
-            newest.write.mode("overwrite").parquet(self.path(name))
-        return self._read(name, StructType().add("g", LongType())).first()[0]
+            self.spark.createDataFrame([(self.series.newest(),)], schema).write.mode("overwrite").parquet(self.path(name))
+        return self._read(name, schema).first()[0]
 
-    def outlier_tail(self, generation: int) -> DataFrame:
-        """Saved history: the last values per series as of one generation."""
-        return self._read("outlier_tail", TAIL).filter(F.col("generation") == generation).drop("generation")
+    def outlier_tail(self, generation: int, touched: DataFrame | None = None) -> DataFrame:
+        """Saved history as of one generation: the last values of the series in ``touched``, or of all."""
+        return self.series.tail(generation, touched)
 
     def advance_tail(self, long: DataFrame, tail: DataFrame, generation: int) -> None:
-        """Save the history after ``long`` as ``generation``; the older ones stay untouched."""
-        kept = history_tail(long.select("seq", "symbol", "field", "value").unionByName(tail))
-        kept.withColumn("generation", F.lit(generation).cast("long")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("generation").parquet(self.path("outlier_tail"))
+        """Save the history after ``long`` as ``generation``; only the series of ``long`` are written."""
+        self.series.advance(long, tail, generation)
 
     def write_outliers(self, found: DataFrame, run_id: str) -> None:
         found.write.mode("overwrite").parquet(self.path(f"outliers/{run_id}"))

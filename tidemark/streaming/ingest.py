@@ -27,9 +27,13 @@ def load_batch(
     tables: Tables, batch: DataFrame, batch_id: int, now: Column, sources: Sequence[str] = SOURCES,
     name: str = "batch",
 ) -> None:
-    """Stage, judge and merge one micro-batch. Everything is keyed by the batch id, so a replay is harmless."""
+    """Stage, judge and merge one micro-batch. Everything is keyed by the batch id, so a replay is harmless.
+
+    What the batch before kept for its replay is dropped: a batch starts once the one before it is committed.
+    """
     load_id = f"{name}-{batch_id}"
     tables.recover()
+    tables.forget(f"{name}-{batch_id - 1}")
     path = tables.path(f"staged/{load_id}")
     load.judge_rows(batch, tables.marks(load_id), sources).write.mode("overwrite").parquet(path)
     staged = tables.spark.read.parquet(path)

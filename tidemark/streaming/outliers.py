@@ -8,17 +8,23 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.outliers import detect_outliers, explode_fields
 from tidemark.plans import bindings
 from tidemark.session import new_scratch
+from tidemark.sources.log import drop_paths
 from tidemark.sources.tables import Tables
 
 
 def detect_batch(tables: Tables, batch: DataFrame, batch_id: int) -> None:
-    """State generation ``n`` is what stood before batch ``n``; a replayed batch reads it again."""
+    """State generation ``n`` is what stood before batch ``n``; a replayed batch reads it again.
+
+    Read and written are the series of the batch alone. Of the rows that arrived, those of the batch before go.
+    """
     path = tables.path(f"arrived/batch-{batch_id}")
     batch.write.mode("overwrite").parquet(path)
     arrived = tables.spark.read.parquet(path)
-    tail = tables.outlier_tail(batch_id)
+    long = explode_fields(arrived)
+    tail = tables.outlier_tail(batch_id, long)
     tables.write_outliers(detect_outliers(arrived, tail=tail), f"batch-{batch_id}")
-    tables.advance_tail(explode_fields(arrived), tail, batch_id + 1)
+    tables.advance_tail(long, tail, batch_id + 1)
+    drop_paths(tables.spark, tables.path(f"arrived/batch-{batch_id - 1}"))
 
 
 def outlier_stream(stream: DataFrame, tables: Tables, checkpoint: str) -> StreamingQuery:
