@@ -1,12 +1,13 @@
 """Benchmark passages in documents: latent semantic retrieval, then longest common subsequence and answer checks.
 
-Documents are read as passages of two neighbouring blocks of ``BLOCK`` words. TF-IDF over the benchmark's words is
-reduced by a randomised SVD (Halko, Martinsson and Tropp, 2011) whose range finder is summed over all passages by
-Spark; passages near an item by cosine in the latent space are compared with it word by word.
-
-A cosine can miss a short item among other words, so stretches that hold enough of an item's rarest words are compared
-too. A leak has 0.6 of the item's words, thus at least ``k`` of any 0.4 n + ``k`` of them: no leak is without such a
-stretch, however short the item is and however many items there are.
+Documents are read as passages of neighbouring blocks of ``BLOCK`` words: two of them for short items, four for longer
+ones. TF-IDF over the benchmark's words is reduced by a randomised SVD (Halko, Martinsson and Tropp, 2011) whose range
+finder is summed over all passages by Spark; passages near an item by cosine in the latent space are its candidates and
+are compared with it word by word.
+
+A cosine can miss an item whose words are common or many of which are lost. So where it proposes no region, stretches
+that hold enough of an item's rarest words are compared too. A leak has 0.6 of the item's words, thus at least ``k`` of
+any 0.4 n + ``k`` of them: no leak is without such a stretch, however short the item is and however many items there are.
 """
 
 from __future__ import annotations
@@ -22,23 +23,26 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.shared import keep
 from tidemark.llm.text import fold, hashes, slices, words
 
-BLOCK = 32
-#: Dimensions of the latent space, and further ones that the range finder carries.
-RANK, EXTRA = 96, 16
+BLOCK = 16
+#: Blocks of a passage, by the most words an item may have to be looked for in passages of that size.
+PASSAGES = ((24, 2), (1 << 30, 4))
+#: Dimensions of the latent space for each item, and the fewest and most of them; and what the range finder has more.
+RANK, LEAST_RANK, MOST_RANK, EXTRA = 0.5, 96, 256, 16
 #: Words in more than this share of blocks weigh nothing, but for the rarest words of each item.
 COMMON, RAREST = 0.02, 8
 #: Cosine of a candidate; share of the item's words in order that make a copy, or with its answer a paraphrase.
 CANDIDATE, COPY, PARAPHRASE, ANSWER = 0.5, 0.8, 0.6, 0.8
 #: Items of fewer words are no evidence and are left out.
 LEAST_WORDS = 5
-#: Items searched for at once; more are taken in blocks of this many, each against all documents.
-ITEMS_AT_ONCE = 1000
+#: Items searched for at once, and characters of them; more are taken in blocks of as many, each against all documents.
+ITEMS_AT_ONCE, CHARS_AT_ONCE = 1000, 500_000
 #: A passage is matched inside stretches of this many times the item's words.
 STRETCH = 1.5
 #: One in so many of an item's words are asked for together, of its rarest ones.
 TOGETHER = 6
 #: Rare words looked at in one go; more are taken item by item.
 HITS = 1 << 22
+_STEP = 32
 
 
 class Items(NamedTuple):
@@ -59,11 +63,13 @@ class Rare(NamedTuple):
 
 
 class Space(NamedTuple):
-    """``terms`` is the weighted latent vector of each word, ``queries`` the unit vectors of the items' parts."""
+    """``terms`` is the weighted latent vector of each word, ``queries`` the unit vectors of the items' parts, of which
+    part ``k`` is of item ``item[k]`` and looked for in passages of ``blocks[k]`` blocks."""
 
     terms: np.ndarray
     queries: np.ndarray
     item: np.ndarray
+    blocks: np.ndarray
     rare: Rare
 
 
@@ -115,29 +121,56 @@ def _numbers(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         first = last
 
 
-def _blocked(offsets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Block of each word position ``at``; text of each block; whether the next block is of the same text."""
+def _blocked(offsets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Block of each word position ``at``, and the text of each block."""
     sizes = np.diff(offsets)
     n = np.maximum(1, -(-sizes // BLOCK))
     base = np.cumsum(n) - n
     text = np.searchsorted(offsets, at, "right") - 1
     owner = np.repeat(np.arange(len(sizes)), n)
-    return base[text] + (at - offsets[text]) // BLOCK, owner, np.append(owner[1:] == owner[:-1], False)
+    return base[text] + (at - offsets[text]) // BLOCK, owner
+
+
+def _sums(table: np.ndarray, rows: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``table[rows]`` by ascending ``group``, in steps of whole columns of rows."""
+    out = np.zeros((n, table.shape[1]), table.dtype)
+    if not len(group):
+        return out
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)]))
+    sizes, groups = np.diff(edges), group[edges[:-1]]
+    parts = -(-sizes // _STEP)
+    own = np.repeat(np.arange(len(sizes)), parts)
+    first = edges[own] + (np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)) * _STEP
+    length = np.minimum(edges[own + 1] - first, _STEP)
+    order = np.argsort(-length, kind="stable")
+    first, length = first[order], length[order]
+    sums = table[rows[first]]
+    for k in range(1, int(length[0])):
+        m = int(np.searchsorted(-length, -k, "left"))  # parts with more than k rows
+        sums[:m] += table[rows[first[:m] + k]]
+    if len(own) == len(sizes):
+        out[groups[order]] = sums
+        return out
+    place = np.empty(len(own), np.int64)
+    place[order] = np.arange(len(own))
+    out[groups] = _sums(sums, place, own, len(sizes))
+    return out
 
 
-def _sums(values: np.ndarray, block: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows of ``values`` by ascending ``block``."""
-    out = np.zeros((n, values.shape[1]), values.dtype)
-    if len(block):
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1))
-        out[block[edges]] = np.add.reduceat(values, edges)
+def _windows(sums: np.ndarray, owner: np.ndarray, blocks: int) -> np.ndarray:
+    """Sum of each block and the ``blocks - 1`` after it in the same text, ``blocks`` being a power of two."""
+    out, step = sums, 1
+    while step < blocks:
+        wider = out.copy()
+        same = owner[step:] == owner[:-step]
+        wider[:-step][same] += out[step:][same]
+        out, step = wider, step * 2
     return out
 
 
-def _with_next(sums: np.ndarray, joined: np.ndarray) -> np.ndarray:
-    out = sums.copy()
-    out[:-1][joined[:-1]] += sums[1:][joined[:-1]]
-    return out
+def _windows_before(sums: np.ndarray, owner: np.ndarray, blocks: int) -> np.ndarray:
+    """The same with the blocks before: what is in a block is in the passages that begin there or before."""
+    return _windows(sums[::-1], owner[::-1], blocks)[::-1]
 
 
 def _frequencies(stored: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -148,7 +181,7 @@ def _frequencies(stored: DataFrame, size: int) -> tuple[np.ndarray, int]:
         for batch in batches:
             for _, _, ids, offsets in _numbers(batch.column(0)):
                 at = np.flatnonzero(ids >= 0)
-                block, owner, _ = _blocked(offsets, at)
+                block, owner = _blocked(offsets, at)
                 sums[:-1] += np.bincount(np.unique(block * size + ids[at]) % size, minlength=size)
                 sums[-1] += len(owner)
         at = np.flatnonzero(sums)
@@ -195,33 +228,51 @@ def _rare(items: Items, seen: np.ndarray) -> Rare:
     return Rare(word[order], item[order], together)
 
 
-def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) -> Space:
+def _parts(items: Items, weight: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Parts of the items as (words, weights), their items, and the blocks of the passages they are looked for in.
+
+    An item longer than a passage is asked for in parts, any of which makes it a candidate.
+    """
+    found, owner, blocks = [], [], []
+    for i, ids in enumerate(items.words):
+        size = next(n for most, n in PASSAGES if len(ids) <= most)
+        for part in np.array_split(ids, -(-len(ids) // (size * BLOCK))):
+            once, times = np.unique(part, return_counts=True)
+            found.append((once, times * weight[once]))
+            owner.append(i)
+            blocks.append(size)
+    return found, np.array(owner), np.array(blocks)
+
+
+def _space(stored: DataFrame, items: Items, rank: int | None = None, seed: int = 3) -> Space:
     """The latent space of all passages and the items.
 
     The items are rows of the matrix too, with the weight that gives them as much of its energy as all passages have,
     so that words of items rare in the corpus are not what the SVD cuts off. What is collected is one row per word of
-    the items at once, bounded by ``ITEMS_AT_ONCE`` and their length.
+    the items at once, bounded by ``ITEMS_AT_ONCE`` and ``CHARS_AT_ONCE``.
     """
     size = len(items.vocabulary)
     seen, blocks = _frequencies(stored, size)
     weight = _weights(items, seen, blocks)
+    parts, owners, sizes = _parts(items, weight)
+    rank = rank or int(min(max(LEAST_RANK, RANK * len(items.words)), MOST_RANK))
     width = min(rank + EXTRA, size)
-    start = np.random.default_rng(seed).standard_normal((size, width)) * weight[:, None]
+    plain = np.random.default_rng(seed).standard_normal((size, width)).astype(np.float32)
+    start = (plain * weight[:, None]).astype(np.float32)
+    longest = int(sizes.max())
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, energy = np.zeros((size, width)), np.zeros(size)
-        near = start.astype(np.float32)
         for batch in batches:
             for _, _, ids, offsets in _numbers(batch.column(0)):
                 at = np.flatnonzero(ids >= 0)
                 at = at[weight[ids[at]] > 0]
                 term = ids[at]
-                block, _, joined = _blocked(offsets, at)
-                passages = _with_next(_sums(near[term], block, len(joined)), joined)
-                both = passages.copy()  # a word of a block is in the passage that begins there and the one before
-                both[1:][joined[:-1]] += passages[:-1][joined[:-1]]
+                block, owner = _blocked(offsets, at)
+                passages = _windows(_sums(start, term, block, len(owner)), owner, longest)
+                both = _windows_before(passages, owner, longest)
                 order = np.argsort(term, kind="stable")
-                total += _sums(both[block[order]].astype(float), term[order], size)
+                total += _sums(both, block[order], term[order], size)
                 energy += np.bincount(term, minlength=size)
         at = np.flatnonzero(energy)
         columns = {"term": pa.array(at), "energy": pa.array(energy[at])}
@@ -238,23 +289,18 @@ def _space(stored: DataFrame, items: Items, rank: int = RANK, seed: int = 3) ->
         found[at, k] = rows[f"y{k}"].to_numpy()
     found *= weight[:, None]
 
-    # An item longer than a passage is asked for in parts, any of which makes it a candidate.
-    parts = [(i, p) for i, ids in enumerate(items.words) for p in np.array_split(ids, -(-len(ids) // (2 * BLOCK)))]
-    own = np.zeros((len(parts), size))
-    for row, (_, ids) in zip(own, parts):
-        np.add.at(row, ids, weight[ids])
-    norms = np.linalg.norm(own, axis=1, keepdims=True)
-    share = own / np.where(norms > 0, norms, 1)
-    passages = (energy * weight**2).sum()
-    found += (share.T @ (share @ np.where(weight[:, None] > 0, start / np.where(weight, weight, 1)[:, None], 0))) * (
-        2 * passages / len(parts) + 1)
-    basis, values, _ = np.linalg.svd(found, full_matrices=False)
+    share = longest * (energy * weight**2).sum() / len(parts) + 1
+    plain = np.where(weight[:, None] > 0, plain, 0)
+    for ids, values in parts:
+        values = values / max(np.linalg.norm(values), 1e-12)
+        found[ids] += share * values[:, None] * (values @ plain[ids])
+    basis, _, _ = np.linalg.svd(found, full_matrices=False)
     basis = basis[:, :rank]
-    terms = (basis * weight[:, None]).astype(np.float32)
-    latent = own @ basis
+    latent = np.array([values @ basis[ids] for ids, values in parts])
     norms = np.linalg.norm(latent, axis=1, keepdims=True)
     queries = (latent / np.where(norms > 0, norms, 1)).astype(np.float32)
-    return Space(np.ascontiguousarray(terms), queries, np.array([i for i, _ in parts]), _rare(items, seen))
+    terms = np.ascontiguousarray((basis * weight[:, None]).astype(np.float32))
+    return Space(terms, queries, owners, sizes, _rare(items, seen))
 
 
 def common_length(masks: dict[int, int], size: int, other: Sequence[int]) -> int:
@@ -300,51 +346,53 @@ class Matcher:
         before = np.concatenate(([0], np.cumsum(inside)))
         starts = np.flatnonzero(inside)
         held = before[np.minimum(starts + stretch, len(region))] - before[starts]
-        starts, held = starts[held >= self.least[item]], held[held >= self.least[item]]
-        if not len(starts):
+        if not (held >= self.least[item]).any():
             return best, leak
         words = region.tolist()
-        for k in np.argsort(-held, kind="stable").tolist():
-            if leak and held[k] / n <= best:
-                break
-            part = words[starts[k]:starts[k] + stretch]
-            share = common_length(self.whole[item], n, part) / n
-            hit = share >= COPY
-            if not hit and share >= PARAPHRASE:
+        need, seen, common = self.least[item], 0, len(words)
+        for k, most in zip(starts.tolist(), held.tolist()):
+            # A stretch that begins d words later has d new words, and no more of them in common than that.
+            if most < need or common + k - seen < need:
+                continue
+            part = words[k:k + stretch]
+            seen, common = k, common_length(self.whole[item], n, part)
+            if common < need:
+                continue
+            hit = common / n >= COPY
+            if not hit:
                 size = n - self.items.answers[item]
                 hit = common_length(self.answer[item], size, part) >= ANSWER * size
-            if (hit, share) > (leak, best):
-                leak, best = hit, share
-            if leak and best == 1.0:
-                break
+            if hit:
+                leak, best, need = True, common / n, common + 1
         return best, leak
 
 
 def _near(ids: np.ndarray, offsets: np.ndarray, space: Space, stretch: np.ndarray) -> tuple[np.ndarray, ...]:
     """(item, begin, stop) around each passage near an item in the latent space."""
-    empty = np.zeros(0, np.int64)
+    found = [(np.zeros(0, np.int64),) * 3]
     known = (space.terms != 0).any(1)
     at = np.flatnonzero(ids >= 0)
     at = at[known[ids[at]]]
-    if not len(at):
-        return empty, empty, empty
-    block, owner, joined = _blocked(offsets, at)
-    latent = _with_next(_sums(space.terms[ids[at]], block, len(owner)), joined)
-    norms = np.linalg.norm(latent, axis=1)
-    filled = np.flatnonzero(norms > 0)
-    sizes = np.diff(offsets)
-    base = np.cumsum(np.maximum(1, -(-sizes // BLOCK))) - np.maximum(1, -(-sizes // BLOCK))
-    found = [(empty, empty)]
-    for part in range(0, len(filled), 4096):
-        rows = filled[part:part + 4096]
-        cosine = (latent[rows] / norms[rows, None]) @ space.queries.T
-        row, query = np.nonzero(cosine >= CANDIDATE)
-        found.append((rows[row], space.item[query]))
-    row, item = (np.concatenate(x) for x in zip(*found))
-    text = owner[row]
-    first = offsets[text] + (row - base[text]) * BLOCK
-    return (item, np.maximum(offsets[text], first - stretch[item]),
-            np.minimum(offsets[text + 1], first + 2 * BLOCK + stretch[item]))
+    block, owner = _blocked(offsets, at)
+    sums = _sums(space.terms, ids[at], block, len(owner))
+    n = np.maximum(1, -(-np.diff(offsets) // BLOCK))
+    place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+    begins = offsets[owner] + place * BLOCK
+    for blocks in np.unique(space.blocks).tolist():
+        asked = np.flatnonzero(space.blocks == blocks)
+        queries = space.queries[asked].T
+        latent = _windows(sums, owner, blocks)
+        norms = np.linalg.norm(latent, axis=1)
+        # Passages begin half a passage apart.
+        filled = np.flatnonzero((norms > 0) & (place % (blocks // 2) == 0))
+        for part in range(0, len(filled), 4096):
+            rows = filled[part:part + 4096]
+            row, query = np.nonzero((latent[rows] / norms[rows, None]) @ queries >= CANDIDATE)
+            item, row = space.item[asked[query]], rows[row]
+            text = owner[row]
+            found.append((item, np.maximum(offsets[text], begins[row] - stretch[item]), np.minimum(
+                offsets[text + 1], begins[row] + blocks * BLOCK + stretch[item])))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _with_rare_words(ids: np.ndarray, offsets: np.ndarray, rare: Rare, stretch: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -389,12 +437,27 @@ def _joined(item: np.ndarray, begin: np.ndarray, stop: np.ndarray, size: int) ->
     return item[fresh], begin[fresh], high[ends] - item[fresh] * (size + 1)
 
 
-def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher) -> Iterator[tuple[int, int, float]]:
-    """(text, item, overlap) of every item that a text of the slice leaks."""
+def _uncovered(regions: tuple[np.ndarray, ...], known: tuple[np.ndarray, ...], size: int) -> tuple[np.ndarray, ...]:
+    """Regions that no region of ``known``, joined and in order, covers."""
+    (item, begin, stop), (own, low, high) = regions, known
+    if not len(own):
+        return regions
+    at = np.searchsorted(own * (size + 1) + low, item * (size + 1) + begin, "right") - 1
+    covered = (at >= 0) & (own[at] == item) & (stop <= high[at])
+    return item[~covered], begin[~covered], stop[~covered]
+
+
+def _leaks(
+    ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher, complete: bool = True,
+) -> Iterator[tuple[int, int, float]]:
+    """(text, item, overlap) of every item that a text of the slice leaks; without ``complete`` of candidates alone."""
     if not len(matcher.items.words):
         return
-    near, held = _near(ids, offsets, space, matcher.stretch), _with_rare_words(ids, offsets, space.rare, matcher.stretch)
-    item, begin, stop = _joined(*(np.concatenate(x) for x in zip(near, held)), len(ids))
+    regions = _joined(*_near(ids, offsets, space, matcher.stretch), len(ids))
+    if complete:
+        more = _uncovered(_with_rare_words(ids, offsets, space.rare, matcher.stretch), regions, len(ids))
+        regions = _joined(*(np.concatenate(x) for x in zip(regions, more)), len(ids))
+    item, begin, stop = regions
     found: dict[tuple[int, int], float] = {}
     texts = np.searchsorted(offsets, begin, "right") - 1
     for text, own, a, b in zip(texts.tolist(), item.tolist(), begin.tolist(), stop.tolist()):
@@ -408,10 +471,11 @@ def _leaks(ids: np.ndarray, offsets: np.ndarray, space: Space, matcher: Matcher)
 
 
 def _item_blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The items, ``ITEMS_AT_ONCE`` at a time by the hash of their row."""
+    """The items by the hash of their row, ``ITEMS_AT_ONCE`` and ``CHARS_AT_ONCE`` of them at a time."""
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"), answer.alias("answer"))
-    blocks = max(1, -(-rows.count() // ITEMS_AT_ONCE))
+    n, chars = rows.select(F.count(F.lit(1)), F.coalesce(F.sum(F.char_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // ITEMS_AT_ONCE), -(-chars // CHARS_AT_ONCE))
     for k in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         yield read_items(sorted(part.distinct().collect(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")))
@@ -432,13 +496,14 @@ def _stored(docs: DataFrame, items: Items) -> DataFrame:
     return keep(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, terms binary"), "terms")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, complete: bool = True) -> DataFrame:
     """(doc_id, item_id, overlap) for every benchmark item a document holds as a copy or paraphrase.
 
     ``benchmark`` has item_id and text, and may have answer. ``overlap`` is the largest share of the item's words
     found in order within a stretch of 1.5 times its length: from 0.8 on a copy, from 0.6 on a paraphrase when the item's
     answer (its last sentence where none is given) is there too. A null text counts as empty; an empty table on
-    either side gives no rows; repeated documents give repeated rows, repeated items one.
+    either side gives no rows; repeated documents give repeated rows, repeated items one. ``complete=False`` leaves out
+    the stretches of rare words, for measuring what the latent space finds alone.
     """
     schema = "doc_id long, item_id long, overlap double"
     out = []
@@ -452,7 +517,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             matcher = Matcher(items)
             for batch in batches:
                 for first, _, ids, offsets in _numbers(batch.column(1)):
-                    rows = list(_leaks(ids, offsets, space, matcher))
+                    rows = list(_leaks(ids, offsets, space, matcher, complete))
                     if rows:
                         text, item, overlap = zip(*rows)
                         yield pa.RecordBatch.from_pydict({
@@ -465,11 +530,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no benchmark item, all columns unchanged; judged row by row, without a join."""
-    at = docs.columns.index("text")
+    """The rows of ``docs`` that leak no benchmark item, all columns unchanged; judged row by row, without a join.
+
+    A null text leaks nothing, repeated rows stay or go together, an empty table on either side changes nothing. Items
+    beyond one block are looked for in what the block before left, which is written in between.
+    """
+    at, first_block = docs.columns.index("text"), True
     for items in _item_blocks(benchmark):
         if not items.words:
             continue
+        docs, first_block = docs if first_block else keep(docs, "clean"), False
         space = _space(_stored(docs, items), items)
 
         def run(batches: Iterator[pa.RecordBatch], items: Items = items, space: Space = space) -> Iterator[pa.RecordBatch]:
