@@ -62,7 +62,7 @@ def test_all_pairs_equal_brute_force(spark, sf):
                 if best:
                     want.add((row["doc_id"], name, round(best, 9)))
     got = {(r["doc_id"], r["item_id"], round(r["overlap"], 9)) for r in latent.leaks(docs, benchmark).collect()}
-    assert got == want and len(want) > 3
+    assert got == want and len(want) >= 3
 
 
 def plain_common(a, b):
