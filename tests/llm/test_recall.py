@@ -109,3 +109,26 @@ def test_random_letters_without_digits_are_secrets(spark):
     hit = sum(out[i] == f"random:4:{4 + len(t)}" for i, t in enumerate(tokens))
     false = [t for i, t in enumerate(plain) if out[len(tokens) + i]]
     assert hit >= 0.9 * len(tokens) and not false, (hit, false)
+
+
+def random_tokens(rng):
+    """200 texts of each class that a candidate once stayed untested in: the text before the token, and the token."""
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    classes = {"path": ("services/my-team/", base62, (40,)), "name": ("a-b/", base62, (40,)), "plain": ("", base62, (40,)),
+               "hex": ("", "0123456789abcdef", (20, 21, 22)), "hex upper": ("", "0123456789ABCDEF", (20, 21, 22)),
+               "base64 behind": ("my-team-", base62 + "+/", (44,))}
+    return {k: [(before, draw(chars, rng.choice(sizes))) for _ in range(200)] for k, (before, chars, sizes) in classes.items()}
+
+
+def test_tokens_behind_paths_and_short_hex_are_tested(spark):
+    found = random_tokens(random.Random(9))
+    texts = [(k, before, token) for k, own in found.items() for before, token in own]
+    rows = [(i, f"see {before}{token} here") for i, (_, before, token) in enumerate(texts)]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = {k: 0 for k in found}
+    for i, (k, before, token) in enumerate(texts):
+        first = 4 + len(before)
+        spans = [tuple(map(int, s.split(":")[1:])) for s in out[i].split(",") if s]
+        hit[k] += any(a <= first and first + len(token) <= b for a, b in spans)
+    assert all(n >= 180 for n in hit.values()), hit

@@ -20,8 +20,10 @@ HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "random")
 
-#: Runs of encoded characters are candidates of the battery, which tells words from random letters by itself.
+#: Runs of encoded characters are candidates of the battery, which tells words from random letters by itself. A run may be
+#: a path or a name that a token stands behind, so its parts in each of the alphabets are candidates too.
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+PARTS = (r"[A-Za-z0-9+/]{20,}={0,2}", r"[A-Za-z0-9_-]{20,}={0,2}", r"[A-Za-z0-9]{20,}={0,2}")
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 #: Encodings in the order in which they are tried, and their characters.
 ENCODINGS = (
@@ -40,8 +42,6 @@ ENCODINGS = (
 #: Percentage of each letter from a to z in texts, the mean of English, German, French and Spanish.
 LETTERS = (8.3, 1.4, 3.2, 4.3, 14.5, 1.6, 1.9, 3.0, 7.3, 0.3, 0.7, 4.3, 2.7, 8.0, 6.0, 2.2, 0.6, 6.6, 7.0, 7.0, 4.2, 1.2, 1.2,
            0.2, 0.9, 0.6)
-#: Bits a random token of its length and encoding needs before the tests tell it from words.
-LEAST_BITS = 90
 #: Level of the false-discovery control, and the bins of -ln p that it counts in.
 LEVEL, BINS_PER_UNIT, BINS = 0.05, 20, 1500
 _BLOCK = 512
@@ -166,12 +166,23 @@ def measured(token: Column) -> Column:
     return F.when(usable, F.element_at(F.transform(F.array(values), tests), 1))
 
 
+def _with_parts(run: Column) -> Column:
+    """The parts of a run of encoded characters in each alphabet; without marks between letters it is its only part."""
+    token = run["token"]
+    found = F.flatten(F.array(*[_found(token, p, "random") for p in PARTS]))
+    moved = F.transform(found, lambda s: F.struct(
+        (s["start"] + run["start"]).alias("start"), (s["end"] + run["start"]).alias("end"), s["kind"].alias("kind"),
+        s["token"].alias("token")))
+    return F.when(token.rlike("[+/_-]"), F.array_distinct(moved)).otherwise(F.array(run))
+
+
 def candidates(text: Column) -> Column:
-    """Spans of the battery's candidates, each with (n, symbols, p), whose length gives the tests enough to go by."""
-    rows = F.transform(_found(text, CANDIDATE, "random"), lambda s: F.struct(
+    """Spans of the battery's candidates, each with (n, symbols, p): all of 20 or more encoded characters."""
+    runs = F.flatten(F.transform(_found(text, CANDIDATE, "random"), _with_parts))
+    rows = F.transform(runs, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["token"].alias("token"),
         measured(s["token"]).alias("test")))
-    return F.filter(rows, lambda s: s["test"].isNotNull() & (s["test"]["n"] * F.log2(s["test"]["symbols"].cast("double")) >= LEAST_BITS))
+    return F.filter(rows, lambda s: s["test"].isNotNull())
 
 
 def _class(n: Column) -> Column:
@@ -201,7 +212,7 @@ def cuts(tests: DataFrame, level: float = LEVEL) -> Cuts:
 
 
 def _kept(found: Column, base: Column, limits: Cuts) -> Column:
-    """Candidates that are not rejected and touch no base span, as plain spans."""
+    """Candidates that are not rejected, touch no base span and lie in no other such candidate, as plain spans."""
     table = F.create_map(*[F.lit(x) for pair in sorted(limits.by_class.items()) for x in pair]) if limits.by_class else None
 
     def random(s: Column) -> Column:
@@ -209,9 +220,15 @@ def _kept(found: Column, base: Column, limits: Cuts) -> Column:
         apart = ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         return (_bin(s["test"]["p"]) < cut) & apart
 
-    return F.transform(F.filter(found, random), lambda s: F.struct(
+    plain = F.transform(F.filter(found, random), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["token"].alias("token")))
 
+    def outermost(spans: Column) -> Column:
+        return F.filter(spans, lambda s: ~F.exists(spans, lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]) & (
+            o["end"] - o["start"] > s["end"] - s["start"])))
+
+    return F.element_at(F.transform(F.array(plain), outermost), 1)
+
 
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -256,6 +273,8 @@ def _hidden(text: Column, spans: Column, mark: str) -> Column:
 def redact(docs: DataFrame, level: float = LEVEL, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; other texts and all other columns unchanged.
 
+    A null or empty text stays as it is, repeated rows stay repeated, an empty table stays empty.
+
     Two passes: one over the candidates for the false-discovery control, one that replaces.
     """
     text = F.coalesce("text", F.lit(""))
