@@ -14,9 +14,19 @@ from tidemark.llm.shared import keep
 from tidemark.llm.text import fold, hashes, slices, words
 
 BUCKETS = 1 << 20
-#: Labelled documents the model is fitted on, at most about, and the terms it keeps.
-TRAINING_ROWS, TERMS = 20_000, 2048
-FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 12, 256, 0.02, 1e-4
+#: Labelled documents the model is fitted on, at most about, and bytes of the longest of them. Every term has a weight
+#: and factors, whether it tells something by itself or not, but those of fewer than ``LEAST_DOCS`` of these documents.
+TRAINING_ROWS, TRAINING_BYTES, LEAST_DOCS = 20_000, 64 << 10, 3
+FACTORS, BATCH, DECAY = 8, 256, 1e-4
+#: Passes over the sample, the first ``ALONE`` of them for the weights only: pairs learn what single terms leave.
+EPOCHS, ALONE = 7, 3
+#: Adam's rate and floor of the weights and of the factors. Floors that are large beside the gradient of a term in one
+#: document of a batch keep rare terms from moving as far as telling ones.
+RATES, FLOORS = (0.1, 0.1), (3e-2, 3e-2)
+#: Size of the first factors; deviations from 0 that a term's log odds need for its weight to start from them.
+SPREAD, SURE = 0.02, 3.0
+#: Terms of a document beyond which its pairs count less.
+USUAL = 256
 _PREFIXES = (4, 5)
 
 
@@ -42,35 +52,24 @@ class Model(NamedTuple):
     factors: np.ndarray
 
 
-def _chosen(sample: DataFrame, n_terms: int) -> np.ndarray:
-    """The buckets most telling by chi-squared of presence against label; ties go to the smaller bucket."""
+def _chosen(sample: DataFrame, least: int) -> np.ndarray:
+    """The buckets that ``least`` documents of the sample hold, but for those that all hold; at most ``BUCKETS``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, BUCKETS + 1), np.int64)
+        sums = np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
-            y = batch.column(1).to_numpy()
             for first, last, body, offsets in slices(batch.column(0)):
                 bucket, text = terms(body, offsets)
-                once = np.unique(text * BUCKETS + bucket)
-                of = y[first + once // BUCKETS]
-                for k in (0, 1):
-                    sums[k, :-1] += np.bincount(once[of == k] % BUCKETS, minlength=BUCKETS)
-                sums[:, -1] += np.bincount(y[first:last], minlength=2)[:2]
-        at = np.flatnonzero(sums.sum(0))
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at), "n0": pa.array(sums[0, at]), "n1": pa.array(sums[1, at])})
-
-    sums = keep(sample.select("text", "y").mapInArrow(count, "bucket long, n0 long, n1 long").groupBy("bucket").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "term_counts")
-    total = sums.where(F.col("bucket") == BUCKETS).first()
-    if total is None or not total["n0"] or not total["n1"]:
-        return np.zeros(0, np.int64)
-    n0, n1 = float(total["n0"]), float(total["n1"])
-    a, b = F.col("n1"), F.col("n0")
-    score = (n0 + n1) * (a * (n0 - b) - b * (n1 - a)) ** 2 / (n1 * n0 * (a + b) * (n0 + n1 - a - b))
-    rare = (a + b >= 3) & (a + b < n0 + n1)
-    best = sums.where((F.col("bucket") < BUCKETS) & rare).select("bucket", score.alias("score"))
-    rows = best.orderBy(F.desc("score"), "bucket").limit(n_terms).collect()
-    return np.array(sorted(r["bucket"] for r in rows), np.int64)
+                sums[:-1] += np.bincount(np.unique(text * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
+                sums[-1] += last - first
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at), "n": pa.array(sums[at])})
+
+    sums = sample.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("bucket") == BUCKETS)).toArrow()
+    bucket, n = sums["bucket"].to_numpy(), sums["n"].to_numpy()
+    total = int(n[bucket == BUCKETS].sum())
+    return np.sort(bucket[(bucket < BUCKETS) & (n < total)])
 
 
 def _reduced(text: pa.Array, place: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -84,42 +83,79 @@ def _reduced(text: pa.Array, place: np.ndarray) -> Iterator[tuple[int, int, np.n
         yield first, last, once // max(n, 1), once % max(n, 1)
 
 
+def pair_scale(sizes: np.ndarray) -> np.ndarray:
+    """What the pairs of a document count by: its number of pairs grows with the square of its terms, so those of long
+    documents count less, and the chance products among thousands of terms do not drown what single terms tell."""
+    return np.minimum(1.0, USUAL / np.maximum(sizes, 1))
+
+
+def _log_odds(docs: list[np.ndarray], y: np.ndarray, n_terms: int) -> np.ndarray:
+    """Weights to start from: log odds of a term's presence where they are ``SURE`` deviations from 0, else 0."""
+    sizes = np.array([len(d) for d in docs])
+    flat = np.concatenate(docs).astype(np.int64)
+    n1 = np.bincount(flat, np.repeat(y, sizes), n_terms)
+    n0 = np.bincount(flat, minlength=n_terms) - n1
+    all1, all0 = y.sum(), len(y) - y.sum()
+    odds = np.log((n1 + 0.5) / (all1 - n1 + 0.5)) - np.log((n0 + 0.5) / (all0 - n0 + 0.5))
+    error = np.sqrt(1 / (n1 + 0.5) + 1 / (all1 - n1 + 0.5) + 1 / (n0 + 0.5) + 1 / (all0 - n0 + 0.5))
+    return np.where(np.abs(odds) > SURE * error, odds, 0.0)
+
+
 def fit(docs: list[np.ndarray], y: np.ndarray, n_terms: int, seed: int = 11) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and factors that minimise the log loss, by Adam over shuffled batches."""
+    """Bias, weights and factors that minimise the log loss, by Adam over shuffled batches.
+
+    A step touches the terms of its batch only: rows are lists of terms, and sums run by document and by term.
+    """
     rng = np.random.default_rng(seed)
     rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
-    params = [np.array([np.log(rate / (1 - rate))]), np.zeros(n_terms), rng.normal(0, 0.01, (n_terms, FACTORS))]
-    first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(EPOCHS):
+    bias = np.log(rate / (1 - rate))
+    # Column 0 is the weight, the others are the factors; both moments of Adam lie beside them.
+    params = np.zeros((n_terms, 1 + FACTORS))
+    params[:, 0] = _log_odds(docs, y, n_terms)
+    params[:, 1:] = rng.normal(0, SPREAD, (n_terms, FACTORS))
+    first, second = np.zeros_like(params), np.zeros_like(params)
+    bias_first, bias_second, step = 0.0, 0.0, 0
+    each = lambda pair: np.array([pair[0]] + [pair[1]] * FACTORS)
+    rates, floors = each(RATES), each(FLOORS)
+    sizes = np.array([len(d) for d in docs])
+    for epoch in range(EPOCHS):
+        moving = rates if epoch >= ALONE else rates * each((1, 0))
         order = rng.permutation(len(docs))
         for at in range(0, len(order), BATCH):
             rows = order[at:at + BATCH]
-            x = np.zeros((len(rows), n_terms))
-            for i, r in enumerate(rows):
-                x[i, docs[r]] = 1
-            bias, w, v = params
-            s = x @ v
-            raw = bias + x @ w + 0.5 * ((s * s).sum(1) - x @ (v * v).sum(1))
+            owner = np.repeat(np.arange(len(rows)), sizes[rows])
+            touched, place = np.unique(np.concatenate([docs[r] for r in rows]), return_inverse=True)
+            own = params[touched]
+            values = own[place]
+            by_row = np.stack([np.bincount(owner, values[:, k], len(rows)) for k in range(1 + FACTORS)], axis=1)
+            squares = np.bincount(owner, (values[:, 1:] ** 2).sum(1), len(rows))
+            scale = pair_scale(sizes[rows])
+            raw = bias + by_row[:, 0] + 0.5 * scale * ((by_row[:, 1:] ** 2).sum(1) - squares)
             g = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - y[rows]) / len(rows)
-            back = x.T @ g
-            grads = [np.array([g.sum()]), back + DECAY * w, x.T @ (g[:, None] * s) - back[:, None] * v + DECAY * v]
+            back = by_row[owner] - values
+            back *= (scale * g)[owner][:, None]
+            back[:, 0] = g[owner]
+            grad = np.stack([np.bincount(place, back[:, k], len(touched)) for k in range(1 + FACTORS)], axis=1) + DECAY * own
             step += 1
-            for k, grad in enumerate(grads):
-                first[k] = 0.9 * first[k] + 0.1 * grad
-                second[k] = 0.999 * second[k] + 0.001 * grad * grad
-                params[k] -= RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return float(params[0][0]), params[1], params[2]
+            a, b = 1 - 0.9**step, 1 - 0.999**step
+            first[touched] = m = 0.9 * first[touched] + 0.1 * grad
+            second[touched] = v = 0.999 * second[touched] + 0.001 * grad * grad
+            params[touched] = own - moving * (m / a) / (np.sqrt(v / b) + floors)
+            bias_first = 0.9 * bias_first + 0.1 * g.sum()
+            bias_second = 0.999 * bias_second + 0.001 * g.sum() ** 2
+            bias -= RATES[0] * (bias_first / a) / (np.sqrt(bias_second / b) + FLOORS[0])
+    return float(bias), params[:, 0], params[:, 1:]
 
 
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int = 1, sample_rows: int = TRAINING_ROWS,
-          n_terms: int = TERMS) -> Model:
+          least_docs: int = LEAST_DOCS) -> Model:
     """A machine fitted on about ``sample_rows`` labelled documents that are not held out.
 
-    What reaches the driver is ``n_terms`` buckets, then for each sampled document those of them it holds: bounded by
-    both parameters, however long the texts are. With labels of one kind only, the score is their share.
+    What reaches the driver is for each sampled document the terms it holds, bounded by its ``TRAINING_BYTES``, and at
+    most ``BUCKETS`` terms. With labels of one kind only, the score is their share.
     """
-    sample = keep(labelled(docs, labels, "toxic", modulus, remainder, sample_rows), "toxic_sample")
-    chosen = _chosen(sample, n_terms)
+    sample = keep(labelled(docs, labels, "toxic", modulus, remainder, sample_rows, TRAINING_BYTES), "toxic_sample")
+    chosen = _chosen(sample, least_docs)
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
 
@@ -136,7 +172,13 @@ def learn(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: int =
     y = np.clip(rows["y"].to_numpy(), 0, 1).astype(float)
     if not len(y):
         return Model(place, 0.0, np.zeros(0), np.zeros((0, FACTORS)))
-    return Model(place, *fit([np.array(x, np.int64) for x in rows["terms"].to_pylist()], y, len(chosen)))
+    lists = rows["terms"].combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(rows["terms"].chunks)
+    found = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+    if not 0 < y.sum() < len(y):
+        found = [x[:0] for x in found]
+    bias, weights, factors = fit(found, y, len(chosen))
+    return Model(place, bias, weights.astype(np.float32), factors.astype(np.float32))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -149,9 +191,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = []
             for first, last, owner, term in _reduced(batch.column(1), place):
                 n = last - first
-                raw = bias + np.bincount(owner, weights[term], n) - 0.5 * np.bincount(owner, squares[term], n)
+                pairs = -np.bincount(owner, squares[term], n)
                 for k in range(FACTORS):
-                    raw += 0.5 * np.bincount(owner, factors[term, k], n) ** 2
+                    pairs += np.bincount(owner, factors[term, k], n) ** 2
+                raw = bias + np.bincount(owner, weights[term], n) + 0.5 * pair_scale(np.bincount(owner, minlength=n)) * pairs
                 scores.append(1 / (1 + np.exp(-np.clip(raw, -500, 500))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["doc_id", "score"])
@@ -163,7 +206,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, remainder: in
              sample_rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
-    Repeated rows give repeated results, a null ``doc_id`` is not held out, an empty table gives no rows.
+    Repeated rows give repeated results, a null ``doc_id`` is not held out, an empty table gives no rows. A score equal
+    to the threshold is predicted toxic.
     """
     model = learn(docs, labels, modulus, remainder, sample_rows)
     return score(docs, model).select(
