@@ -12,6 +12,7 @@ from tidemark.model import (
     ERROR_STEPS, OUTLIER_STEPS, REQUEST_BOUNDS_MS, RETRY_BOUNDS_S, ROW_STEPS, RUN_LATENCY_BOUNDS_S, SOURCES,
 )
 from tidemark.operators import drift, feeds, ledger, load, mapping, monitor, outliers, serve, validate
+from tidemark.operators.skew import join_keys
 from tidemark.plans import bindings as b
 from tidemark.plans.load_run import Feed, load_run
 from tidemark.session import new_scratch
@@ -499,19 +500,18 @@ def failed_ids(spark, sf):
 def stored_tables(spark, sf):
     """Two loads into partitioned tables, read back: both tables must hold the same rows."""
     tables = Tables(spark, new_scratch(spark, "stored"))
-    t = b.ticks(spark, sf)
-    tables.upsert(t.filter(F.col("timestamp") < at("2024-01-20")), "run-1",
-                  at("2024-01-20"))
+    t, stamp = b.ticks(spark, sf), F.col("timestamp")
+    tables.upsert(t.filter(stamp.isNull() | (stamp < at("2024-01-20"))), "run-1", at("2024-01-20"))
     late = t.filter(F.col("timestamp") >= at("2024-01-10"))
     tables.upsert(late.withColumn("price_usd", F.col("price_usd") + 1), "run-2", F.lit(NOW).cast("timestamp"))
     raw = tables.raw().select("symbol", "timestamp", "source", F.get_json_object("raw_data", "$.k").alias("k"))
-    return tables.normalized().join(raw, ["symbol", "timestamp", "source"])
+    return join_keys(tables.normalized(), raw, ["symbol", "timestamp", "source"], "inner")
 
 
-def _event_feeds(spark, sf, upto: str) -> dict[str, Feed]:
-    """Everything that had arrived by a date, rows without a readable time included."""
-    stamp = F.col("timestamp")
-    rows = b.dirty_ticks(spark, sf).filter(stamp.isNull() | (stamp < at(upto)))
+def _event_feeds(spark, sf, upto: str | None) -> dict[str, Feed]:
+    """Everything that had arrived by a date, rows without a readable time included; without a date everything."""
+    stamp, rows = F.col("timestamp"), b.dirty_ticks(spark, sf)
+    rows = rows if upto is None else rows.filter(stamp.isNull() | (stamp < at(upto)))
     # What names no accepted source, or none, is delivered by the file feed.
     feed = F.when(F.col("source").isin(*SOURCES), F.col("source")).otherwise("csv")
     return {s: Feed(lambda s=s: rows.filter(feed == s)) for s in SOURCES}
@@ -520,7 +520,7 @@ def _event_feeds(spark, sf, upto: str) -> dict[str, Feed]:
 def _two_runs(spark, sf) -> Tables:
     tables = Tables(spark, new_scratch(spark, "ingest"))
     load_run(tables, _event_feeds(spark, sf, "2024-01-15"), "run-1", datetime(2024, 1, 15, tzinfo=timezone.utc))
-    load_run(tables, _event_feeds(spark, sf, "2024-03-01"), "run-2", NOW)
+    load_run(tables, _event_feeds(spark, sf, None), "run-2", NOW)
     return tables
 
 
@@ -748,8 +748,8 @@ def request_histogram(spark, sf):
 
 @query
 def retry_histogram(spark, sf):
-    """Waits before a repeated request, by source."""
-    waits = b.events(spark, sf).filter(F.col("k") % 5 == 0).withColumn("wait", F.col("value") / 20)
+    """Waits before requests, by source."""
+    waits = b.events(spark, sf).withColumn("wait", F.col("value") / 20)
     return _bucket_label(monitor.bucket_histogram(waits, "wait", RETRY_BOUNDS_S, ["event_type"]))
 
 
@@ -836,6 +836,18 @@ def stream_load_reports(spark, sf):
     return spark.read.parquet(tables.path("load_reports/*"))
 
 
+@query
+def stream_corrections(spark, sf):
+    """The table that deliveries leave in which half of the records come twice, the second time corrected."""
+    return stream_ingest.run_on_deliveries(spark, sf, corrected=True).normalized()
+
+
+@query
+def stored_history(spark, sf):
+    """Count, latest value and mean of every series, from the state that the outlier stream keeps."""
+    return stream_outliers.tables_of_events(spark, sf).series.stats().withColumn("mean", F.round("mean", 6))
+
+
 @query
 def outlier_stream(spark, sf):
     return stream_outliers.run_on_events(spark, sf).withColumn("actual", F.round("actual", 6))

@@ -389,7 +389,7 @@ add("stored_tables", TICKS, """
 SELECT symbol, name, CASE WHEN "timestamp" >= TIMESTAMP '2024-01-10' THEN price_usd + 1 ELSE price_usd END AS price_usd,
   volume_24h, market_cap, percent_change_24h, "timestamp", source,
   CASE WHEN "timestamp" >= TIMESTAMP '2024-01-10' THEN 'run-2' ELSE 'run-1' END AS run_id,
-  CASE WHEN "timestamp" < TIMESTAMP '2024-01-20' THEN TIMESTAMP '2024-01-20' ELSE TIMESTAMP '2024-02-01' END AS created_at,
+  CASE WHEN "timestamp" >= TIMESTAMP '2024-01-20' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-20' END AS created_at,
   CAST(CAST(volume_24h AS BIGINT) AS VARCHAR) AS k
 FROM ticks""")
 BODY = 'symbol, name, price_usd, volume_24h, market_cap, percent_change_24h, "timestamp", source'
@@ -401,22 +401,31 @@ WHERE watermark IS NULL OR "timestamp" > watermark""")
 add("ingest_stream", TWO_RUNS, f"""
 SELECT {BODY}, 'batch-0' AS run_id, TIMESTAMP '2024-02-01' AS created_at FROM ok""")
 
-add("stream_load_reports", DIRTY + """, parts AS (
-  SELECT * FROM (VALUES (0, TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-12'),
-    (1, TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-20'), (2, TIMESTAMP '2024-01-16', TIMESTAMP '2024-03-01')) p(part, lo, hi))
+PARTS = DIRTY + """, parts AS (
+  SELECT * FROM (VALUES (0, NULL, TIMESTAMP '2024-01-12'), (1, TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-20'),
+    (2, TIMESTAMP '2024-01-16', NULL)) p(part, lo, hi))
 , arrived AS (
-  SELECT part, j.* FROM judged_rule j JOIN ev ON ev.event_id = j.seq JOIN parts ON ev.ts >= lo AND ev.ts < hi)
+  SELECT part, j.* FROM judged_rule j JOIN ev ON ev.event_id = j.seq
+  JOIN parts ON (lo IS NULL OR ev.ts >= lo) AND (hi IS NULL OR ev.ts < hi OR (ev.ts IS NULL AND lo IS NULL)))
 , fates AS (
   SELECT part, source, CASE WHEN error IS NOT NULL THEN 'invalid'
     WHEN "timestamp" <= (SELECT max(b."timestamp") FROM arrived b
       WHERE b.part < a.part AND b.source = a.source AND b.error IS NULL AND b.storage_ok) THEN 'skipped'
     WHEN NOT storage_ok THEN 'failed' ELSE 'load' END AS fate
-  FROM arrived a)""", """
+  FROM arrived a)"""
+add("stream_load_reports", PARTS, """
 SELECT 'batch-' || part AS load_id, source, count(*) AS fetched,
   count(*) FILTER (fate = 'skipped') AS skipped_by_watermark, count(*) FILTER (fate <> 'skipped') AS processed,
   count(*) FILTER (fate = 'invalid') AS validation_errors, count(*) FILTER (fate = 'failed') AS failed_records,
   count(*) FILTER (fate = 'load') AS loaded
 FROM fates GROUP BY part, source""")
+# A corrected value is 1 higher, and so are the fields made of it.
+add("stream_corrections", PARTS.replace("SELECT part, source, CASE", "SELECT a.*, CASE"), """
+SELECT f.symbol, f.name, CASE WHEN e.k >= 50 THEN e.value + 1 + CAST(0.01 AS DOUBLE) ELSE f.price_usd END AS price_usd, f.volume_24h,
+  CASE WHEN e.k >= 50 THEN (e.value + 1) * e.k ELSE f.market_cap END AS market_cap,
+  CASE WHEN e.k >= 50 THEN e.value + 1 - e.k ELSE f.percent_change_24h END AS percent_change_24h,
+  f."timestamp", f.source, 'batch-' || f.part AS run_id, TIMESTAMP '2024-02-01' AS created_at
+FROM fates f JOIN ev e ON e.event_id = f.seq WHERE fate = 'load'""")
 
 # --- outliers ---------------------------------------------------------------------------------------
 
@@ -431,7 +440,8 @@ add("detect_outliers_cut", STATS, FOUND)
 add("outlier_counts", STATS, "SELECT field, type, symbol, count(*) AS outliers FROM found GROUP BY ALL")
 add("outliers_per_source", STATS, """
 SELECT source, count(*) AS outliers FROM found JOIN ticks USING (seq) GROUP BY source""")
-add("history_stats", LONG, """
+for _name in ("history_stats", "stored_history"):
+    add(_name, LONG, """
 SELECT symbol, field, count(*) AS count, arg_max(value, seq) AS latest, round(avg(value), 6) AS mean
 FROM (SELECT * FROM long QUALIFY row_number() OVER (PARTITION BY symbol, field ORDER BY seq DESC) <= 20)
 GROUP BY symbol, field""")
@@ -537,7 +547,7 @@ add("retry_histogram", EV + """, bounds AS (
   SELECT * FROM (VALUES (0.1::DOUBLE, '0.1'), (0.5::DOUBLE, '0.5'), (1::DOUBLE, '1.0'), (2::DOUBLE, '2.0'), (5::DOUBLE, '5.0'),
     (10::DOUBLE, '10.0'), ('Infinity'::DOUBLE, '+Inf')) b(edge, le))""", """
 SELECT event_type, le, count(*) FILTER (value / 20 <= edge) AS cumulative, round(sum(value / 20), 4) AS sum, count(*) AS count
-FROM ev CROSS JOIN bounds WHERE k % 5 = 0 GROUP BY event_type, edge, le""")
+FROM ev CROSS JOIN bounds WHERE value IS NOT NULL GROUP BY event_type, edge, le""")
 add("errors_by_type", RUNS, """
 SELECT CASE WHEN throttle_events <> 3 THEN source END AS source,
   CASE WHEN errors > 50 THEN 'timeout' WHEN errors > 20 THEN 'rate_limit' ELSE 'parse' END AS type,

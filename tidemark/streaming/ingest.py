@@ -68,17 +68,37 @@ def run_on_events(spark: SparkSession, sf_dir: str) -> Tables:
     return tables
 
 
-# Event times of three deliveries; each repeats some of the one before, and what it repeats is late.
-DELIVERIES = (("2024-01-01", "2024-01-12"), ("2024-01-08", "2024-01-20"), ("2024-01-16", "2024-03-01"))
+# Event times of three deliveries, open at both ends; each repeats some of the one before, and what it repeats is late.
+# Events without a time come with the first.
+DELIVERIES = ((None, "2024-01-12"), ("2024-01-08", "2024-01-20"), ("2024-01-16", None))
+# Numbers of corrected records lie above those of the events.
+CORRECTED = 1_000_000_000
 
 
-def run_on_deliveries(spark: SparkSession, sf_dir: str) -> Tables:
-    """Events arriving in three overlapping deliveries, every one a micro-batch taken up from the checkpoint."""
+def delivery(whole: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    ts, inside = F.col("ts"), F.lit(True)
+    if start is not None:
+        inside = inside & (ts >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        inside = inside & (ts < F.lit(end).cast("timestamp"))
+    return whole.filter(inside if start is not None else F.coalesce(inside, F.lit(True)))
+
+
+def run_on_deliveries(spark: SparkSession, sf_dir: str, corrected: bool = False) -> Tables:
+    """Events arriving in three overlapping deliveries, every one a micro-batch taken up from the checkpoint.
+
+    With ``corrected`` an event whose payload number is 50 or more comes a second time in the same delivery, under the
+    same key with its value raised by 1.
+    """
     tables, folder = Tables(spark, new_scratch(spark, "ingest-deliveries")), new_scratch(spark, "deliveries")
     whole = bindings.table(spark, sf_dir, "events")
     for start, end in DELIVERIES:
-        whole.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))).write.mode(
-            "append").parquet(folder)
+        part = delivery(whole, start, end)
+        if corrected:
+            again = part.filter(F.get_json_object("props", "$.k").cast("int") >= 50).withColumns({
+                "event_id": (F.col("event_id") + CORRECTED).cast(whole.schema["event_id"].dataType), "value": F.col("value") + 1})
+            part = part.unionByName(again)
+        part.write.mode("append").parquet(folder)
         stream = bindings.with_number(spark.readStream.schema(whole.schema).parquet(folder))
         incremental_ingest_stream(
             bindings.dirty_of(stream), tables, tables.path("checkpoint"), lambda: F.lit("2024-02-01").cast("timestamp"),

@@ -42,8 +42,13 @@ def found(tables: Tables) -> DataFrame:
     return tables.spark.read.parquet(tables.path("outliers/*"))
 
 
-def run_on_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tables_of_events(spark: SparkSession, sf_dir: str) -> Tables:
     tables = Tables(spark, new_scratch(spark, "outlier-stream"))
     records = bindings.ticks_of(bindings.event_stream(spark, sf_dir))
     outlier_stream(records, tables, tables.path("checkpoint")).awaitTermination()
-    return found(tables).select("seq", "symbol", "field", "value", "type", "threshold", F.col("actual"))
+    return tables
+
+
+def run_on_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return found(tables_of_events(spark, sf_dir)).select(
+        "seq", "symbol", "field", "value", "type", "threshold", F.col("actual"))
