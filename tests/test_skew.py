@@ -135,3 +135,41 @@ def test_join_small_beyond_its_bound(spark):
     small, big = (join_small(left, side, ["id"], "left", n) for n in (100, 10))
     assert as_set(small) == as_set(big)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("identical", [False, True])
+def test_a_hot_key_of_one_order_value_is_cut(spark, identical):
+    n = F.lit(0).cast("long") if identical else F.col("id")
+    df = spark.range(20_000).select(F.lit("K").alias("symbol"), F.lit(1).alias("seq"), n.alias("n"))
+    split, is_split = split_hot_keys(df, ["symbol"], "seq", 1000)
+    sizes = [r["count"] for r in split.groupBy(CHUNK).count().collect()]
+    assert is_split and sum(sizes) == 20_000 and len(sizes) > 10 and max(sizes) <= 2000
+    whole, cut = (row_index(df, ["symbol"], "seq", "i", m) for m in (10**9, 1000))
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+    assert [r["i"] for r in cut.select("i").orderBy("i").collect()] == list(range(20_000))
+
+
+def test_tied_rows_cut_and_uncut(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 2, 2, 3]), rnd.choice(["H", "H", "H", "S"]), rnd.choice(["failed", "failed", "success"]),
+             float(rnd.randint(1, 60)), i % 900) for i in range(2500)]
+    df = spark.createDataFrame(rows, "seq long, symbol string, status string, price_usd double, n long").withColumns({
+        c: F.lit(1.0) for c in ("volume_24h", "market_cap", "percent_change_24h")})
+    for function in (lambda m: monitor.failure_streaks(df, ["symbol"], max_rows=m),
+                     lambda m: outliers.detect_outliers(df, keep=("n",), max_rows=m),
+                     lambda m: assign_batches(df.withColumnRenamed("symbol", "source"), 7, max_rows=m)):
+        whole, cut = (sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in function(m).collect()), key=repr)
+                      for m in (10**9, 100))
+        assert whole == cut and len(whole) > 100
+
+
+def test_a_whole_file_is_numbered_in_parts(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "one.txt.gz", "wt") as f:
+        f.write("\n".join(str(i) for i in range(5000)))
+    lines = arrival(spark.read.text(str(tmp_path))).withColumn("source", F.lit("s"))
+    got = arrival_index(lines, ["source"], "i", max_rows=300)
+    assert {(int(r["value"]), r["i"]) for r in got.collect()} == {(i, i) for i in range(5000)}
+    parts = lines.groupBy(F.floor(F.col("arrival.row") / 300)).count()
+    assert parts.agg(F.max("count")).first()[0] <= 300

@@ -88,7 +88,7 @@ def test_marks_are_carried_without_reading_the_tables(spark, tmp_path, monkeypat
         assert marks(tables) == {r["source"]: r["watermark"] for r in load.source_watermarks(tables.normalized()).collect()}
     assert not read
     plan = tables.watermarks()._jdf.queryExecution().toString()
-    assert "normalized" not in plan and "mark_log" in plan
+    assert "/normalized" not in plan and "/mark_log" in plan
     assert sorted(p.name for p in (tmp_path / "staged").iterdir()) == ["batch-4"]
     before = marks(tables)
     ingest.load_batch(tables, rows(spark, [("A", 1, 120), ("B", 2, 7)], "coingecko"), 4, F.lit(NOON))  # replayed
@@ -162,3 +162,45 @@ def test_a_state_that_is_gone_is_an_error(spark, tmp_path):
         state.advance(long, state.tail(g, long), g + 1)
     with pytest.raises(ValueError):
         state.tail(1)
+
+
+def test_key_lookups_leave_the_target_where_it_is(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.upsert(rows(spark, [("A", 1, 0), ("B", 2, 30), ("C", 3, 60)]), "r1", F.lit(NOON))
+    staged = rows(spark, [("A", 5, 0), ("B", 6, 31), ("B", 7, 31), ("D", 8, 0)])
+    seen, fresh = tables.already_processed(staged), tables.insert_if_absent(staged)
+    assert [r["symbol"] for r in seen.collect()] == ["A"]
+    assert sorted((r["symbol"], r["price_usd"]) for r in fresh.collect()) == [("B", 6.0), ("D", 8.0)]
+    for max_rows in (100_000, 1):  # looked up by broadcast keys, or by a shuffled join beyond the bound
+        target = tables.normalized()
+        assert load.already_processed(staged, target, max_rows=max_rows).count() == 1
+        assert load.insert_if_absent(staged, target, max_rows=max_rows).count() == 2
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_rates_are_read_from_a_bounded_number_of_files(spark, tmp_path):
+    from tidemark.streaming import rates
+
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    whole = spark.range(90).select(
+        (F.lit(1_700_000_000) + F.col("id") * 40).cast("timestamp").alias("timestamp"),
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    for i in range(9):
+        part = whole.filter(F.pmod(F.unix_timestamp("timestamp"), F.lit(9)) == i)  # every batch has rows of every time
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(whole.schema).parquet(landing)
+        rates.rate_stream(stream, ["source"], out, f"{tmp_path}/checkpoint", compact_after=3).awaitTermination()
+    got = {(r["window_start"], r["source"]): round(r["rate"], 9) for r in rates.current_rates(spark, out, ["source"]).collect()}
+    want = whole.groupBy(F.window("timestamp", "300 seconds"), "source").count().collect()
+    assert got == {(r["window"]["start"], r["source"]): round(r["count"] / 300, 9) for r in want}
+    assert len(matching(spark, f"{out}.v*")) <= 2
+    log = Log(spark, out, spark.read.parquet(matching(spark, f"{out}.v*/base")[0]).drop("part").schema, rates._summed, 3)
+    added_up = lambda: sorted(tuple(r) for r in rates._summed(log.rows()).drop("part").collect())
+    before = added_up()
+    newest = matching(spark, f"{log._tail(log.generation())}/part=*")[-1].rsplit("part=", 1)[1]
+    again = spark.createDataFrame(log.rows().filter(F.col("part") == newest).collect(), log.stored)
+    log.append(again, newest)  # a batch replayed after its counts were written
+    log.compact(newest)
+    log.append(again, newest)  # and once more after a compaction that left it out
+    assert added_up() == before

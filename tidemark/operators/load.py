@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.model import KEY, LOAD_BATCH, SOURCES
-from tidemark.operators.skew import MAX_ROWS, arrival_index, join_small, row_index
+from tidemark.operators.skew import MAX_ROWS, SMALL_ROWS, arrival_index, join_small, row_index, small_copy
 from tidemark.operators.validate import storage_ok, with_reason
 
 
@@ -32,9 +32,24 @@ def incremental_filter(staged: DataFrame, watermarks: DataFrame) -> DataFrame:
     return with_watermark(staged, watermarks).filter(is_new()).drop("watermark")
 
 
-def already_processed(staged: DataFrame, target: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+def _held(staged: DataFrame, target: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
+    """Keys of ``target`` that ``staged`` may have, broadcast while the staged keys are few.
+
+    A load is small beside what is stored: its keys go to the target's tasks, and what comes back is no more than they
+    are, so the target is neither shuffled nor sorted. Beyond ``max_rows`` keys the caller's join shuffles both sides.
+    """
+    own = small_copy(staged.select(*keys).distinct(), max_rows)
+    if own is None:
+        return target.select(*keys)
+    found = small_copy(target.select(*keys).join(F.broadcast(own), list(keys), "left_semi"), max_rows)
+    return target.select(*keys) if found is None else F.broadcast(found)
+
+
+def already_processed(
+    staged: DataFrame, target: DataFrame, keys: Sequence[str] = KEY, max_rows: int = SMALL_ROWS,
+) -> DataFrame:
     """Staged rows whose key the target already holds."""
-    return staged.join(target.select(*keys), list(keys), "left_semi")
+    return staged.join(_held(staged, target, keys, max_rows), list(keys), "left_semi")
 
 
 def first_per_key(df: DataFrame, seq: str = "seq", keys: Sequence[str] = KEY) -> DataFrame:
@@ -52,9 +67,11 @@ def _one_per_key(df: DataFrame, order: Column, keys: Sequence[str]) -> DataFrame
     return df.withColumn("_rank", rank).filter(F.col("_rank") <= 1).drop("_rank")
 
 
-def insert_if_absent(staged: DataFrame, target: DataFrame, seq: str = "seq", keys: Sequence[str] = KEY) -> DataFrame:
+def insert_if_absent(
+    staged: DataFrame, target: DataFrame, seq: str = "seq", keys: Sequence[str] = KEY, max_rows: int = SMALL_ROWS,
+) -> DataFrame:
     """Rows to insert: one per new key, the earliest; keys already loaded are skipped silently."""
-    return first_per_key(staged, seq, keys).join(target.select(*keys), list(keys), "left_anti")
+    return first_per_key(staged, seq, keys).join(_held(staged, target, keys, max_rows), list(keys), "left_anti")
 
 
 def upsert(
@@ -92,7 +109,7 @@ def assign_batches(
     ``seq`` is a number, or the ``arrival`` key of rows read from files.
     """
     if isinstance(df.schema[seq].dataType, StructType):
-        indexed = arrival_index(df, [by], "row_index", seq)
+        indexed = arrival_index(df, [by], "row_index", seq, max_rows)
     else:
         indexed = row_index(df, [by], seq, "row_index", max_rows)
     return indexed.withColumn("batch", F.floor(F.col("row_index") / size))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.model import ALERT_EVERY, REQUEST_QUOTAS
-from tidemark.operators.skew import CHUNK, MAX_ROWS, join_keys, split_hot_keys
+from tidemark.operators.skew import CHUNK, MAX_ROWS, TIES, join_keys, row_hash, split_hot_keys
 
 INF = float("inf")
 
@@ -123,7 +123,8 @@ def failure_streaks(
     keys = list(keys)
     failed = F.col("status") == "failed"
     split, is_split = split_hot_keys(runs, keys, seq, max_rows)
-    order = Window.partitionBy(*keys, *([CHUNK] if is_split else [])).orderBy(seq)
+    ties = TIES if is_split else [row_hash(runs)]
+    order = Window.partitionBy(*keys, *([CHUNK] if is_split else [])).orderBy(seq, *ties)
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     at = F.row_number().over(order).cast("long")
     placed = split.withColumn("_at", at).withColumn(
@@ -134,7 +135,7 @@ def failure_streaks(
     return (
         placed.filter(failed)
         .withColumn("alert", F.col("streak") % every == 0)
-        .drop("_at", "_last_ok", CHUNK)
+        .drop("_at", "_last_ok", CHUNK, *TIES)
     )
 
 

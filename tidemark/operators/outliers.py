@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.model import HISTORY, JUMP_LIMIT, MIN_HISTORY, NUMERIC_FIELDS, Z_LIMIT
-from tidemark.operators.skew import CHUNK, MAX_ROWS, split_hot_keys
+from tidemark.operators.skew import CHUNK, COPY, MAX_ROWS, TIE, TIES, split_hot_keys, with_tie
 
 SERIES = ["symbol", "field"]
 
@@ -40,7 +40,8 @@ def _stats(order: Window, size: int) -> dict:
 def trailing_stats(long: DataFrame, seq: str = "seq", size: int = HISTORY, max_rows: int = MAX_ROWS) -> DataFrame:
     """Statistics of the previous ``size`` accepted values of the same series, current row excluded.
 
-    A hot series is cut into chunks along ``seq`` (unless the frame brings its chunks along). Only the first
+    Rows of one ``seq`` follow each other by their hash. A hot series is cut into chunks along that order (unless the
+    frame brings its chunks along). Only the first
     ``size`` rows of a chunk look back across a cut; all they need are the last ``size`` rows of the chunks
     before. Those edge rows of the hot series alone go through a second window, so its largest group is 40
     rows per chunk, and rows marked as history join it.
@@ -50,9 +51,9 @@ def trailing_stats(long: DataFrame, seq: str = "seq", size: int = HISTORY, max_r
     else:
         chunked, is_split = split_hot_keys(long, SERIES, seq, max_rows)
         if not is_split:
-            return long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size))
+            return with_tie(long).withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq, TIE), size)).drop(TIE)
 
-    order = Window.partitionBy(*SERIES, CHUNK).orderBy(seq)
+    order = Window.partitionBy(*SERIES, CHUNK).orderBy(seq, *TIES)
     inner = chunked.withColumns(_stats(order, size)).filter((F.col(CHUNK) == 0) | (F.col("n") >= size))
     edges = (
         chunked.filter(F.col(CHUNK) > 0)
@@ -65,8 +66,8 @@ def trailing_stats(long: DataFrame, seq: str = "seq", size: int = HISTORY, max_r
     if "_new" in long.columns:
         seeds = chunked.filter((F.col(CHUNK) == 0) & ~F.col("_new"))
         edges = edges.unionByName(seeds.withColumn("_head", F.lit(False)))
-    edges = edges.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), size)).filter("_head").drop("_head")
-    return inner.unionByName(edges).drop(CHUNK)
+    edges = edges.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq, *TIES), size)).filter("_head").drop("_head")
+    return inner.unionByName(edges).drop(CHUNK, *TIES)
 
 
 def flag(stats: DataFrame) -> DataFrame:
@@ -100,17 +101,19 @@ def detect_outliers(
 
     Hot symbols are found and cut on the records, before each of them becomes four values.
     """
-    split, is_split = split_hot_keys(_named(df), ["symbol"], seq, max_rows)
-    long = explode_fields(split, seq, (*keep, CHUNK) if is_split else keep)
+    records = with_tie(_named(df))
+    split, is_split = split_hot_keys(records, ["symbol"], seq, max_rows)
+    long = explode_fields(split, seq, (*keep, TIE, COPY, CHUNK) if is_split else (*keep, TIE))
     if tail is not None:
-        seeds = tail.select(seq, *SERIES, "value").withColumn("_new", F.lit(False))
+        none = F.lit(0).cast("long")
+        seeds = tail.select(seq, *SERIES, "value").withColumns({"_new": F.lit(False), TIE: none})
         if is_split:
-            seeds = seeds.withColumn(CHUNK, F.lit(0).cast("long"))
+            seeds = seeds.withColumns({CHUNK: none, COPY: none})
         long = long.withColumn("_new", F.lit(True)).unionByName(seeds, allowMissingColumns=True)
     if is_split:
         stats = trailing_stats(long, seq)
     else:
-        stats = long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq), HISTORY))
+        stats = long.withColumns(_stats(Window.partitionBy(*SERIES).orderBy(seq, TIE), HISTORY)).drop(TIE)
     found = flag(stats)
     return found if tail is None else found.filter("_new").drop("_new")
 

@@ -11,9 +11,12 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK = "_chunk"
+# Rows of equal order value are ordered by the hash of the whole row, and identical ones by a number.
+TIE, COPY = "_tie", "_copy"
+TIES = [TIE, COPY]
 # A key with more rows than this is cut, into chunks of about this many rows.
 MAX_ROWS = 1_000_000
 # Rows of the sample that stand for one chunk, and cut values compared at once when a row looks up its chunk.
@@ -23,7 +26,8 @@ SMALL_ROWS, SMALL_BYTES = 100_000, 32 * 1024 * 1024
 
 
 class Split(NamedTuple):
-    """When ``is_split``, ``df`` has a ``_chunk`` column: 0 for keys left whole, counting from 1 in a cut key."""
+    """When ``is_split``, ``df`` has a ``_chunk`` column: 0 for keys left whole, counting from 1 in a cut key. It also has
+    the columns ``TIES``, by which rows of one order value follow each other, within chunks and from one to the next."""
 
     df: DataFrame
     is_split: bool
@@ -44,7 +48,8 @@ def join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "l
     """Join on all of ``keys``, a null key meeting a null key; the keys come out once."""
     other = {k: f"_side_{k}" for k in keys}
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
-    return df.join(side.withColumnsRenamed(other), same, how).drop(*other.values())
+    joined = df.join(side.withColumnsRenamed(other), same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*other.values())
 
 
 def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -52,92 +57,133 @@ def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str
     return join_keys(df, side if local is None else F.broadcast(local), keys, how)
 
 
+def _comparable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and grouped by."""
+    def plain(kind) -> bool:
+        name = kind.simpleString()
+        return "map<" not in name and "variant" not in name
+
+    return [f.name for f in df.schema.fields if plain(f.dataType)]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row, as an order among rows that have no other."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in _comparable(df)])
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    """``df`` with the hash of each row, unless it brings one along."""
+    return df if TIE in df.columns else df.withColumn(TIE, row_hash(df))
+
+
+def _numbered_copies(rows: DataFrame) -> DataFrame:
+    """Identical rows counted, before they are shuffled, and put out again with a number each."""
+    names = rows.columns
+    if len(_comparable(rows)) < len(names):
+        return rows.withColumn(COPY, F.lit(0).cast("long"))
+    counted = rows.groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.count(F.lit(1)).alias("_times"))
+    return counted.withColumn(COPY, F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_times")
+
+
+def _place(seq: str) -> Column:
+    """Where a row stands in its key; a total order but for what cannot be told apart. Nulls come first."""
+    return F.struct(F.col(seq).alias("seq"), F.col(TIE).alias("tie"), F.col(COPY).alias("copy"))
+
+
 def _cuts(hot_rows: DataFrame, keys: list[str], seq: str, max_rows: int) -> DataFrame:
-    """Per key the ascending values of ``seq`` at which its chunks begin, and every 64th of them.
+    """Per key the ascending places at which its chunks begin, and every 64th of them.
 
-    The values are quantiles of a sample by the hash of ``seq``, some 32 rows for each chunk, so the spacing of
-    ``seq`` does not matter. Rows of equal ``seq`` have no order to cut along and stay together.
+    They are quantiles of a sample by the hash of the place, some 32 rows for each chunk, so the spacing of ``seq`` does
+    not matter, and neither does how many rows have one ``seq``.
     """
     step = min(SAMPLED, max_rows)
-    drawn = F.pmod(F.xxhash64(seq), F.lit(1 << 30)) < int(step / max_rows * (1 << 30))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(seq))
+    drawn = F.pmod(F.xxhash64(F.col(seq), F.col(TIE), F.col(COPY)), F.lit(1 << 30)) < int(step / max_rows * (1 << 30))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
     cuts = (
-        hot_rows.filter(drawn & F.col(seq).isNotNull()).select(*keys, seq).withColumn("_rank", rank)
+        hot_rows.filter(drawn).select(*keys, _place(seq).alias("_place")).withColumn("_rank", rank)
         .filter(F.col("_rank") % step == 0)
-        .groupBy(*keys).agg(F.sort_array(F.collect_set(seq)).alias("_cuts"))
+        .groupBy(*keys).agg(F.sort_array(F.collect_set("_place")).alias("_cuts"))
     )
     coarse = F.transform(F.sequence(F.lit(1), F.size("_cuts"), F.lit(STEP)), lambda i: F.element_at("_cuts", i))
     return cuts.withColumn("_coarse", coarse)
 
 
-def _chunk_of(seq: str):
-    """How many cuts lie at or below ``seq``, in two short scans; rows without ``seq`` come first."""
-    block = F.size(F.filter("_coarse", lambda c: c <= F.col(seq)))
-    within = F.filter(F.slice("_cuts", (block - 1) * STEP + 1, STEP), lambda c: c <= F.col(seq))
+def _chunk_of(seq: str) -> Column:
+    """How many cuts lie at or below a row's place, in two short scans."""
+    block = F.size(F.filter("_coarse", lambda c: c <= _place(seq)))
+    within = F.filter(F.slice("_cuts", (block - 1) * STEP + 1, STEP), lambda c: c <= _place(seq))
     return F.when(block > 0, (block - 1) * STEP + F.size(within)).otherwise(0) + 1
 
 
 def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
-    """Cut every key holding more than ``max_rows`` rows into chunks of about as many along the column ``seq``.
+    """Cut every key holding more than ``max_rows`` rows into chunks of about as many along a total order.
 
-    One aggregation over the key columns (combined map-side) decides whether any key is hot; when none is, the
-    frame comes back untouched. A null key is a key like any other. The tables of hot keys and of cuts have about
-    one entry per ``max_rows`` rows; they are broadcast only while that is little.
+    The order is the column ``seq``, then the hash of the row, then a number among identical rows, so a key whose rows
+    all have one ``seq``, or none, is cut as well. One aggregation over the key columns (combined map-side) decides whether
+    any key is hot; when none is, the frame comes back untouched. A null key is a key like any other. The tables of hot
+    keys and of cuts have about one entry per ``max_rows`` rows; they are broadcast only while that is little.
     """
     keys = list(keys)
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
     local = small_copy(hot)
     if local is not None and local.isEmpty():
         return Split(df, False)
-    hot_rows = join_keys(df, hot if local is None else F.broadcast(local), keys, "inner")
-    hot_cuts = _cuts(hot_rows, keys, seq, max_rows)
-    placed = _join_bounded(df, hot_cuts, keys)
-    # A hot key whose rows all have one ``seq``, or none, has no cut.
+    side = hot if local is None else F.broadcast(local)
+    df = with_tie(df)
+    hot_rows = _numbered_copies(join_keys(df, side, keys, "left_semi"))
+    placed = _join_bounded(hot_rows, _cuts(hot_rows, keys, seq, max_rows), keys)
     chunk = F.when(F.col("_cuts").isNotNull(), _chunk_of(seq)).otherwise(0).cast("long")
-    return Split(placed.withColumn(CHUNK, chunk).drop("_cuts", "_coarse"), True)
+    cold = join_keys(df, side, keys, "left_anti").withColumns({COPY: F.lit(0).cast("long"), CHUNK: F.lit(0).cast("long")})
+    return Split(placed.withColumn(CHUNK, chunk).drop("_cuts", "_coarse").unionByName(cold), True)
 
 
 def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = MAX_ROWS) -> DataFrame:
-    """0-based position of each row within its key by ``seq``, without a whole key in one task."""
+    """0-based position of each row within its key by ``seq``, without a whole key in one task. Rows of one ``seq`` are
+    numbered by their hash, the same whether the key was cut or not."""
     keys = list(keys)
     split, is_split = split_hot_keys(df, keys, seq, max_rows)
     if not is_split:
-        return df.withColumn(
-            name, (F.row_number().over(Window.partitionBy(*keys).orderBy(seq)) - 1).cast("long"))
+        order = Window.partitionBy(*keys).orderBy(seq, row_hash(df))
+        return df.withColumn(name, (F.row_number().over(order) - 1).cast("long"))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         split.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_m"))
         .select(*keys, CHUNK, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
     )
-    local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(seq)) - 1
+    local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(seq, *TIES)) - 1
     return (
         split.withColumn("_local", local)
         .transform(join_keys, offsets, [*keys, CHUNK])
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop(CHUNK, "_local", "_offset")
+        .drop(CHUNK, "_local", "_offset", *TIES)
     )
 
 
-def arrival_index(df: DataFrame, keys: Sequence[str], name: str, arrival: str = "arrival") -> DataFrame:
+def arrival_index(
+    df: DataFrame, keys: Sequence[str], name: str, arrival: str = "arrival", max_rows: int = MAX_ROWS,
+) -> DataFrame:
     """As :func:`row_index` for rows ordered by their place in the files they were read from.
 
-    The file blocks are the chunks: their size is bounded by the reader, and the one table summed up in order
-    has a row per block.
+    The chunks are stretches of ``max_rows`` running numbers within a file block, so that a file that one task reads
+    whole (compressed, or with values over several lines) is no chunk of its own. They are counted in a first pass and
+    summed up; the one table summed in order has a row per stretch.
     """
     keys = list(keys)
-    placed = df.withColumns({"_file": F.col(arrival)["file"], "_block": F.col(arrival)["block"]})
-    block = [*keys, "_file", "_block"]
-    before = Window.partitionBy(*keys).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = df.withColumns({
+        "_file": F.col(arrival)["file"], "_block": F.col(arrival)["block"],
+        "_part": F.floor(F.col(arrival)["row"] / max_rows)})
+    chunk = [*keys, "_file", "_block", "_part"]
+    before = Window.partitionBy(*keys).orderBy("_file", "_block", "_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_m"))
-        .select(*block, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
+        placed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_m"))
+        .select(*chunk, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
     )
-    local = F.row_number().over(Window.partitionBy(*block).orderBy(F.col(arrival)["row"])) - 1
+    local = F.row_number().over(Window.partitionBy(*chunk).orderBy(F.col(arrival)["row"])) - 1
     return (
         placed.withColumn("_local", local)
-        .transform(join_keys, offsets, block)
+        .transform(join_keys, offsets, chunk)
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_local", "_offset", "_file", "_block")
+        .drop("_local", "_offset", "_file", "_block", "_part")
     )
 
 

@@ -81,17 +81,18 @@ class Log:
     def append(self, df: DataFrame, part: str) -> None:
         generation = self.generation()
         if len(matching(self.spark, f"{self._tail(generation)}/part=*")) >= self.compact_after:
-            generation = self.compact()
+            generation = self.compact(part)
         df.select(*self.schema.names).withColumn("part", F.lit(part)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("part").parquet(self._tail(generation))
 
-    def compact(self) -> int:
-        """Write the current rows as the next generation's snapshot. The generation before it stays on disk for whoever
-        is still reading, older ones go."""
+    def compact(self, without: str | None = None) -> int:
+        """Write the current rows as the next generation's snapshot, but for a part that is about to be written again.
+        The generation before it stays on disk for whoever is still reading, older ones go."""
         old = self.generation()
         target = f"{self.path}.v{old + 1}/base"
         # A rebalance makes files of the advised size, so a small log is one file and a large one many.
-        self.fold(self.rows()).select(*self.stored.names).hint("rebalance").write.mode("overwrite").parquet(target)
+        rows = self.rows() if without is None else self.rows().filter(F.col("part") != without)
+        self.fold(rows).select(*self.stored.names).hint("rebalance").write.mode("overwrite").parquet(target)
         if old == 1:
             drop_paths(self.spark, f"{self.path}/part=*")
         elif old > 1:

@@ -63,7 +63,7 @@ class SeriesState:
     def _as_of(self, generation: int) -> DataFrame:
         """All rows that a state as of ``generation`` is made of; folds them first when there are many deltas."""
         bases = [b for b in self._bases() if b <= generation]
-        if not bases and self._bases():
+        if not bases and len(self._bases()) > 1:  # with one base, the deltas from the first on are all there
             raise ValueError(f"the state as of generation {generation} is no longer kept")
         base = max(bases, default=0)
         deltas = [k for k in self._deltas() if base < k <= generation]

@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructType, TimestampType
 
 from tidemark.model import NORMALIZED, PROGRESS, RAW, REGISTRY, RUNS, SUMMARIES
-from tidemark.operators.load import latest_progress, list_progress, source_watermarks, upsert
+from tidemark.operators.load import (
+    already_processed, insert_if_absent, latest_progress, list_progress, source_watermarks, upsert,
+)
 from tidemark.sources.log import COMPACT_AFTER, Log, drop_paths, file_system
 from tidemark.sources.series import SeriesState
 
@@ -220,6 +222,14 @@ class Tables:
             touched = stored.filter(condition)
         return touched.select(*schema.names)
 
+    def already_processed(self, staged: DataFrame) -> DataFrame:
+        """Staged rows whose key is stored; looked for in the (source, day) folders of the staged rows only."""
+        return already_processed(staged, self.affected_days("normalized", NORMALIZED, staged))
+
+    def insert_if_absent(self, staged: DataFrame, seq: str = "seq") -> DataFrame:
+        """Staged rows of new keys, one for each; looked for in the (source, day) folders of the staged rows only."""
+        return insert_if_absent(staged, self.affected_days("normalized", NORMALIZED, staged), seq)
+
     def upsert(
         self, staged: DataFrame, load_id: str, now: Column, seq: str | None = "seq", run_id: str | None = None,
     ) -> None:
