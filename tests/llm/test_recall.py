@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import latent, pieces, secrets
+from tidemark.llm import caps, latent, pieces, secrets
 from tidemark.llm.queries import tokenizer_path
 
 
@@ -132,3 +132,14 @@ def test_tokens_behind_paths_and_short_hex_are_tested(spark):
         spans = [tuple(map(int, s.split(":")[1:])) for s in out[i].split(",") if s]
         hit[k] += any(a <= first and first + len(token) <= b for a, b in spans)
     assert all(n >= 180 for n in hit.values()), hit
+
+
+def test_pairs_at_the_very_threshold_share_a_filter():
+    rng = np.random.default_rng(1)
+    x, e = rng.standard_normal((2, 1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    e -= (e * x).sum(1, keepdims=True) * x
+    y = 0.9301 * x + np.sqrt(1 - 0.9301 ** 2) * e / np.linalg.norm(e, axis=1, keepdims=True)
+    one, two = caps.decode(x, 224), caps.decode(y, 224)  # as for a label of 100,000 vectors
+    assert min(map(len, one)) >= caps.LEAST
+    assert sum(len(np.intersect1d(a, b)) > 0 for a, b in zip(one, two)) >= 0.99 * len(x)

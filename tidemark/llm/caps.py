@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.components import components
 from tidemark.llm.shared import keep
 
-#: Filters a uniformly random vector exceeds on average, and what every vector gets at least.
-FILTERS, LEAST = 32, 12
+#: Filters a uniformly random vector exceeds on average, and what every vector gets at least. What pairs are missed is up
+#: to the least: twice the average finds no more of the pairs at a cosine of 0.93, and costs twice the copies.
+FILTERS, LEAST = 16, 16
 #: Vectors of a label that share a random filter on average; sets the number of directions.
 OCCUPANCY = 32
 #: A filter's vectors are compared in chunks of about this many.
@@ -136,7 +137,8 @@ def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, filters: l
 
 
 def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by ``bucket``: (bucket, filter, own, one, two, label, rep, copies, filters, embedding)."""
+    """Rows sorted by ``bucket``: (bucket, filter, own, one, two, label, rep, copies, earlier, embedding), where
+    ``earlier`` are the vector's filters before ``filter``."""
 
     def checked(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         # The bucket is a hash; where two buckets share one, they are told apart here.
@@ -149,7 +151,7 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
                 continue
             part = (rows if len(parts) == 1 else rows.take(at)).combine_chunks()
             column = {n: part[n].combine_chunks() if part[n].num_chunks != 1 else part[n].chunk(0) for n in part.column_names}
-            lists = column["filters"]
+            lists = column["earlier"]
             edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             yield compare(
                 column["rep"].to_numpy(), column["copies"].to_numpy(), _matrix(column["embedding"]),
@@ -208,6 +210,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, filters: int = FILTERS
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
     largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     directions = max(8, int(np.ceil(np.sqrt(filters * largest / occupancy))))
+    number, lists_of = (T.IntegerType(), pa.list_(pa.int32())) if directions ** 2 < 1 << 31 else (
+        T.LongType(), pa.list_(pa.int64()))
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,10 +224,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, filters: int = FILTERS
                     for i, found in zip(own, decode(_unit(_matrix(part.column(1).take(pa.array(own)))), directions, filters)):
                         lists[i] = found
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(lists, pa.list_(pa.int64()))], names=[*part.schema.names, "filters"])
+                    [*part.columns, pa.array(lists, lists_of)], names=[*part.schema.names, "filters"])
 
-    coded = keep(reps.mapInArrow(decoded, T.StructType([*reps.schema.fields, T.StructField("filters", T.ArrayType(T.LongType()))])), "coded")
-    each = coded.select("label", "rep", "copies", "embedding", "filters", F.explode("filters").alias("filter"))
+    coded = keep(reps.mapInArrow(decoded, T.StructType([*reps.schema.fields, T.StructField("filters", T.ArrayType(number))])), "coded")
+    # A copy in a filter carries the filters before it, which is all that tells whether a pair has met already.
+    each = coded.select("label", "rep", "copies", "embedding", "filters", F.posexplode("filters").alias("nth", "filter"))
+    each = each.withColumn("earlier", F.slice("filters", F.lit(1), F.col("nth"))).drop("filters", "nth")
     full = keep(
         coded.select("label", F.explode("filters").alias("filter")).groupBy("label", "filter").count()
         .where(F.col("count") > chunk).select("label", "filter", F.ceil(F.col("count") / chunk).alias("chunks")), "full")
@@ -234,7 +240,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, filters: int = FILTERS
     placed = placed.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     placed = placed.withColumns({"one": F.least("own", "met"), "two": F.greatest("own", "met")})
     placed = placed.withColumn("bucket", F.xxhash64("label", "filter", "one", "two")).select(
-        "bucket", "filter", "own", "one", "two", "label", "rep", "copies", "filters", "embedding")
+        "bucket", "filter", "own", "one", "two", "label", "rep", "copies", "earlier", "embedding")
     found = keep(
         placed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             lambda batches: _verified(batches, least), "rep long, links long, low long"), "found")
