@@ -86,16 +86,19 @@ def after(cursor: tuple, sort_by: str, sort_dir: str, row_id: Sequence[str] = RO
     return condition
 
 
-def prune_days(df: DataFrame, size: int, sort_dir: str) -> DataFrame:
+def prune_days(df: DataFrame, size: int, sort_dir: str, days: Sequence[str] | None = None) -> DataFrame:
     """Keep the first days of a time order that hold ``size`` rows; the page cannot reach beyond them.
 
-    The days are known from the folders. One, two, four and so on of them are looked into until they hold enough rows,
+    ``days`` are those of the table's folders (``Tables.days``, one listing of folders); without them they are taken
+    from the names of all its files. One, two, four and so on of them are looked into until they hold enough rows,
     so that a filter on other columns reads about twice the days the page needs, and never the whole table for a page
     of its newest rows.
     """
     up = _ascending(sort_dir)
-    found = [re.search(r"/day=(\d{4}-\d{2}-\d{2})/", f) for f in df.inputFiles()]
-    days = sorted({m[1] for m in found if m}, reverse=not up)
+    if days is None:
+        found = [re.search(r"/day=(\d{4}-\d{2}-\d{2})/", f) for f in df.inputFiles()]
+        days = {m[1] for m in found if m}
+    days = sorted(days, reverse=not up)
     wide = 1
     while wide < len(days):
         edge = F.lit(days[wide - 1]).cast("date")
@@ -108,18 +111,21 @@ def prune_days(df: DataFrame, size: int, sort_dir: str) -> DataFrame:
 
 def page_frame(
     df: DataFrame, limit: int, sort_by: str = "timestamp", sort_dir: str = "desc",
-    cursor: tuple | None = None, row_id: Sequence[str] = ROW_ID,
+    cursor: tuple | None = None, row_id: Sequence[str] = ROW_ID, days: Sequence[str] | None = None,
 ) -> DataFrame:
     """The page's rows in order: keyset predicate, then a top-k that never sorts the whole table."""
     if "day" in df.columns and sort_by == "timestamp":
         if cursor is not None and cursor[0] is not None:
             edge = F.to_date(F.lit(cursor[0]).cast("timestamp"))
+            if days is not None:
+                own = df.sparkSession.range(1).select(edge.cast("string")).first()[0]
+                days = [d for d in days if (d >= own if _ascending(sort_dir) else d <= own)]
             df = df.filter(F.col("day") >= edge if _ascending(sort_dir) else F.col("day") <= edge)
             # The cursor's own day may be used up to any point, so it cannot count towards the page.
-            rest = prune_days(df.filter(F.col("day") != edge), limit, sort_dir)
+            rest = prune_days(df.filter(F.col("day") != edge), limit, sort_dir, days)
             df = rest.unionByName(df.filter(F.col("day") == edge))
         elif cursor is None:
-            df = prune_days(df, limit, sort_dir)
+            df = prune_days(df, limit, sort_dir, days)
     if cursor is not None:
         df = df.filter(after(cursor, sort_by, sort_dir, row_id))
     return sort_data(df, sort_by, sort_dir, row_id).limit(limit)
@@ -127,12 +133,12 @@ def page_frame(
 
 def page_data(
     df: DataFrame, limit: Any = None, sort_by: str = "timestamp", sort_dir: str = "desc",
-    cursor: tuple | None = None, row_id: Sequence[str] = ROW_ID,
+    cursor: tuple | None = None, row_id: Sequence[str] = ROW_ID, days: Sequence[str] | None = None,
 ) -> Page:
     """One page: asks for one row more than the page holds to learn whether another page follows."""
     size = limit_clamp(limit)
     names = [sort_by, *[c for c in row_id if c != sort_by]]
-    found = page_frame(df, size + 1, sort_by, sort_dir, cursor, row_id).collect()
+    found = page_frame(df, size + 1, sort_by, sort_dir, cursor, row_id, days).collect()
     page = df.sparkSession.createDataFrame(found[:size], df.schema)
     if len(found) <= size:
         return Page(page, False, None)

@@ -496,14 +496,22 @@ def failed_ids(spark, sf):
     return load.failed_ids(_judged(spark, sf))
 
 
-@query
-def stored_tables(spark, sf):
-    """Two loads into partitioned tables, read back: both tables must hold the same rows."""
+def _two_loads(spark, sf, ordered: str | None = None, zone_rows: int = 1) -> Tables:
+    """Two loads, the second of which replaces days of the first; between them a copy ordered by a column."""
     tables = Tables(spark, new_scratch(spark, "stored"))
     t, stamp = b.ticks(spark, sf), F.col("timestamp")
     tables.upsert(t.filter(stamp.isNull() | (stamp < at("2024-01-20"))), "run-1", at("2024-01-20"))
+    if ordered:
+        tables.ordered(ordered).refresh(zone_rows)
     late = t.filter(F.col("timestamp") >= at("2024-01-10"))
     tables.upsert(late.withColumn("price_usd", F.col("price_usd") + 1), "run-2", F.lit(NOW).cast("timestamp"))
+    return tables
+
+
+@query
+def stored_tables(spark, sf):
+    """Two loads into partitioned tables, read back: both tables must hold the same rows."""
+    tables = _two_loads(spark, sf)
     raw = tables.raw().select("symbol", "timestamp", "source", F.get_json_object("raw_data", "$.k").alias("k"))
     return join_keys(tables.normalized(), raw, ["symbol", "timestamp", "source"], "inner")
 
@@ -606,6 +614,13 @@ def data_page2(spark, sf):
     return _page(spark, sf, 2)
 
 
+@query
+def stored_page2(spark, sf):
+    """As data_page2 over the stored tables, through a copy ordered by volume that a later load left behind in part."""
+    copy = _two_loads(spark, sf, "volume_24h", 5_000).ordered("volume_24h")
+    return copy.page_frame(400, "desc", copy.page(400).cursor)
+
+
 @query
 def latest_run(spark, sf):
     return serve.latest_run(b.runs(spark, sf))

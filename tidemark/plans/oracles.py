@@ -385,13 +385,13 @@ SELECT source, count(*) AS fetched, count(*) FILTER (fate = 'skipped') AS skippe
   count(*) FILTER (fate = 'failed') AS failed_records, count(*) FILTER (fate = 'load') AS loaded
 FROM judged GROUP BY source""")
 add("failed_ids", JUDGED, """SELECT source, symbol, "timestamp" FROM judged WHERE fate = 'failed'""")
-add("stored_tables", TICKS, """
+STORED = """
 SELECT symbol, name, CASE WHEN "timestamp" >= TIMESTAMP '2024-01-10' THEN price_usd + 1 ELSE price_usd END AS price_usd,
   volume_24h, market_cap, percent_change_24h, "timestamp", source,
   CASE WHEN "timestamp" >= TIMESTAMP '2024-01-10' THEN 'run-2' ELSE 'run-1' END AS run_id,
-  CASE WHEN "timestamp" >= TIMESTAMP '2024-01-20' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-20' END AS created_at,
-  CAST(CAST(volume_24h AS BIGINT) AS VARCHAR) AS k
-FROM ticks""")
+  CASE WHEN "timestamp" >= TIMESTAMP '2024-01-20' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-01-20' END AS created_at{}
+FROM ticks"""
+add("stored_tables", TICKS, STORED.format(", CAST(CAST(volume_24h AS BIGINT) AS VARCHAR) AS k"))
 BODY = 'symbol, name, price_usd, volume_24h, market_cap, percent_change_24h, "timestamp", source'
 add("ingest_runs", TWO_RUNS, f"""
 SELECT {BODY}, 'run-1' AS run_id, TIMESTAMP '2024-01-15' AS created_at FROM first_run
@@ -457,6 +457,7 @@ SELECT * FROM ticks ORDER BY volume_24h ASC NULLS FIRST, symbol, "timestamp", so
 PAGE = 'SELECT * FROM ticks ORDER BY volume_24h DESC NULLS LAST, symbol, "timestamp", source LIMIT 400'
 add("data_page1", TICKS, PAGE)
 add("data_page2", TICKS, PAGE + " OFFSET 400")
+add("stored_page2", TICKS, STORED.format(', CAST("timestamp" AS DATE) AS day') + PAGE.partition("ticks")[2] + " OFFSET 400")
 NEWEST = RUNS + ", newest AS (SELECT * FROM runs ORDER BY end_time DESC NULLS LAST, run_id DESC LIMIT {})"
 add("latest_run", NEWEST.format(1), """
 SELECT run_id, status, end_time, coalesce(errors, 0) AS errors, coalesce(rows_processed, 0) AS rows_processed,

@@ -20,7 +20,9 @@ from tidemark.model import NORMALIZED, PROGRESS, RAW, REGISTRY, RUNS, SUMMARIES
 from tidemark.operators.load import (
     already_processed, insert_if_absent, latest_progress, list_progress, source_watermarks, upsert,
 )
-from tidemark.sources.log import COMPACT_AFTER, Log, drop_paths, file_system
+from tidemark.operators.skew import join_keys
+from tidemark.sources.log import COMPACT_AFTER, Log, drop_paths, file_system, matching
+from tidemark.sources.ordered import OrderedCopy, touched_days
 from tidemark.sources.series import SeriesState
 
 PARTITIONS = ["source", "day"]
@@ -82,6 +84,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str, compact_after: int = COMPACT_AFTER):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.compact_after = compact_after
         self.series = SeriesState(spark, self.path("outlier_tail"))
         self.logs = {n: Log(spark, self.path(n), schema, fold, compact_after) for n, (schema, fold) in LOGS.items()}
 
@@ -124,6 +127,11 @@ class Tables:
         """Normalized rows with their ``day``, so that the serving queries can prune folders."""
         return self._read_data("normalized", NORMALIZED)
 
+    def days(self) -> list[str]:
+        """Days that have a folder, by listing folders alone."""
+        found = matching(self.spark, f"{self.path('normalized')}/source=*/day=*")
+        return sorted({f.rsplit("day=", 1)[1] for f in found} - {"__HIVE_DEFAULT_PARTITION__"})
+
     def watermarks(self) -> DataFrame:
         """Newest timestamp per source, from the log of published loads alone.
 
@@ -169,8 +177,10 @@ class Tables:
     def write_normalized(self, df: DataFrame) -> None:
         """Append rows without their payload; ``df`` is read a second time for their marks."""
         marks = self.watermarks()  # of what is there already, should there be no log yet
+        part = f"plain-{uuid.uuid4().hex}"
+        self._touch(touched_days(df), part)
         write_data(gather_days(df.select(*NORMALIZED.names)), self.path("normalized"))
-        self._move_marks(largest_marks(marks.unionByName(source_watermarks(df))).drop("part"), f"plain-{uuid.uuid4().hex}")
+        self._move_marks(largest_marks(marks.unionByName(source_watermarks(df))).drop("part"), part)
 
     def append(self, name: str, df: DataFrame, part: str) -> None:
         """Append to one of the logs under ``part``; running the same part again replaces it."""
@@ -207,20 +217,32 @@ class Tables:
 
     def affected_days(self, name: str, schema: StructType, staged: DataFrame) -> DataFrame:
         """The stored rows of the (source, day) folders that ``staged`` touches, by partition pruning."""
-        stored = self._read_data(name, schema)
-        days = staged.select("source", F.to_date("timestamp").alias("day")).distinct()
+        return self._of_days(self._read_data(name, schema), touched_days(staged)).select(*schema.names)
+
+    def _of_days(self, stored: DataFrame, days: DataFrame) -> DataFrame:
         listed = days.limit(MAX_LISTED + 1).collect()
         if len(listed) > MAX_LISTED:
-            touched = stored.join(days, PARTITIONS, "left_semi")
-        else:
-            by_source: dict[str, list] = {}
-            for source, day in listed:
-                by_source.setdefault(source, []).append(day)
-            condition = F.lit(False)
-            for source, when in sorted(by_source.items()):
-                condition = condition | ((F.col("source") == source) & F.col("day").isin(*when))
-            touched = stored.filter(condition)
-        return touched.select(*schema.names)
+            return join_keys(stored, days, PARTITIONS, "left_semi")
+        by_source: dict[str | None, list] = {}
+        for source, day in listed:
+            by_source.setdefault(source, []).append(day)
+        condition = F.lit(False)
+        for source, when in by_source.items():
+            dated = F.col("day").isin(*[d for d in when if d is not None])
+            if None in when:
+                dated = dated | F.col("day").isNull()
+            condition = condition | (F.col("source").eqNullSafe(source) & dated)
+        return stored.filter(condition)
+
+    def ordered(self, by: str) -> OrderedCopy:
+        """The copy of the served rows in the order of ``by``; there is one after its first ``refresh``."""
+        return OrderedCopy(
+            self.spark, self.path("ordered"), by, self.served, lambda days: self._of_days(self.served(), days),
+            compact_after=self.compact_after)
+
+    def _touch(self, days: DataFrame, part: str) -> None:
+        for path in matching(self.spark, f"{self.path('ordered')}/*"):
+            self.ordered(path.rsplit("/", 1)[1]).touch(days, part)
 
     def already_processed(self, staged: DataFrame) -> DataFrame:
         """Staged rows whose key is stored; looked for in the (source, day) folders of the staged rows only."""
@@ -247,6 +269,7 @@ class Tables:
         load is done: whoever comes in between repeats this first.
         """
         merged = self._read_data(f"pending/{load_id}", RAW)
+        self._touch(touched_days(merged), load_id)
         write_data(merged.select(*RAW.names, "day"), self.path("raw"), "overwrite")
         write_data(merged.select(*NORMALIZED.names, "day"), self.path("normalized"), "overwrite")
         self._move_marks(source_watermarks(merged), load_id)
