@@ -20,11 +20,12 @@ from tidemark.llm.shared import keep
 
 #: Filters a uniformly random vector exceeds on average, and what every vector gets at least. What pairs are missed is up
 #: to the least: twice the average finds no more of the pairs at a cosine of 0.93, and costs twice the copies.
-FILTERS, LEAST = 16, 16
-#: Vectors of a label that share a random filter on average; sets the number of directions.
-OCCUPANCY = 32
+FILTERS, LEAST = 10, 10
+#: Vectors of a label that share a random filter on average; sets the number of directions. Wider filters hold more of a
+#: vector's neighbours, so fewer of them do, at the price of more comparisons inside tasks.
+OCCUPANCY = 256
 #: A filter's vectors are compared in chunks of about this many.
-CHUNK = 512
+CHUNK = 1024
 #: A table of more rows than this is joined by a shuffle instead of a broadcast.
 SMALL_ROWS = 100_000
 
