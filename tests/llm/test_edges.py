@@ -97,6 +97,18 @@ def test_stages_keep_the_columns(spark, docs, labels, stage, tmp_path):
     assert empty.columns == docs.columns and empty.count() == 0
 
 
+@pytest.mark.parametrize("stage", [f for n, f in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_with_dots_and_backticks(spark, docs, labels, stage, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, ITEM)], BENCHMARK).write.parquet(f"{tmp_path}/benchmark.parquet")
+    named = docs.withColumn("a.b", F.lit(1)).withColumn("c`d", F.lit(None).cast("string")).withColumn("a", F.lit("x"))
+    out = stage(spark, named, str(tmp_path))
+    assert out.columns == named.columns and out.dtypes == named.dtypes
+    plain = stage(spark, docs, str(tmp_path))
+    found = lambda df: sorted((repr(r["doc_id"]), repr(r["text"])) for r in df.collect())
+    assert found(out) == found(plain)
+
+
 def test_whole_pipeline_on_awkward_rows(spark, docs, labels, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")

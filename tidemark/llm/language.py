@@ -141,7 +141,7 @@ def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2, sample_rows:
     """(doc_id, held_out, lang_pred, score), learned from the documents that are not held out.
 
     A null ``doc_id`` is neither held out nor learned from. An empty table gives no rows, repeated rows repeated
-    results.
+    results. Of languages that are equally likely the first one by name is predicted.
     """
     out = held_out(F.col("doc_id"), modulus, remainder)
     langs, model = learn(docs.select(F.col("doc_id").cast("long"), "text", "lang").where(

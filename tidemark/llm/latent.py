@@ -18,9 +18,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import keep, map_rows
 from tidemark.llm.text import fold, hashes, slices, words
 
 BLOCK = 16
@@ -551,5 +551,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         clean[first + text] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, T.StructType(docs.schema.fields))
+        docs = map_rows(docs, run)
     return docs

@@ -11,10 +11,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.sample import held_out, labelled
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import keep, map_rows
 from tidemark.llm.text import hashes, slices
 
 #: Bytes of a passage; passages worked on at once.
@@ -215,7 +215,8 @@ def quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int
             sample_rows: int = TRAINING_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
-    Repeated rows give repeated results, a null ``doc_id`` is not held out, an empty table gives no rows.
+    Repeated rows give repeated results and equal texts equal scores, a null ``doc_id`` is not held out, an empty table
+    gives no rows. A score of exactly the threshold is predicted 1.
     """
     model = learn(docs, labels, modulus, remainder, sample_rows)
     return score(docs, model).select(
@@ -224,7 +225,12 @@ def quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, remainder: int
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = TRAINING_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose text scores at least ``threshold``, all columns unchanged; one pass, no shuffle."""
+    """The rows of ``docs`` whose text scores at least ``threshold``, all columns unchanged; one pass, no shuffle.
+
+    A score depends on the text alone, so repeated rows and equal texts stay or go together; one of exactly ``threshold``
+    stays. A null text is scored as an empty one; null ids and other columns do not matter. Without labels every score is
+    the same one half. An empty table stays empty.
+    """
     model = learn(docs, labels, sample_rows=sample_rows)
     at = docs.columns.index("text")
 
@@ -232,4 +238,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample
         for batch in batches:
             yield batch.filter(pa.array(_scores(batch.column(at), model) >= threshold))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return map_rows(docs, run)

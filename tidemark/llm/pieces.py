@@ -367,6 +367,9 @@ def round_trip(docs: DataFrame, model_path: str, rate: float = 0.1, seed: int =
     """(doc_id, n_tokens, ids_crc32, text_crc32, lossless): digests of the ids of every text and of what they decode to.
 
     ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers, ``text_crc32`` over the decoded bytes.
+    A null text counts as empty and gives no ids. Skips are keyed by ``doc_id`` and place, so repeated rows give repeated
+    results, and rows without an id are keyed alike. Merges of equal rank go from left to right. An empty table gives no
+    rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

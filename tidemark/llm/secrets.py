@@ -11,7 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import keep, quoted
 
 # Fixed patterns, and the characters that a match, or its second group, needs at least.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -284,5 +284,4 @@ def redact(docs: DataFrame, level: float = LEVEL, mark: str = "[SECRET]") -> Dat
     marked = marked.withColumn("secrets*", F.array_sort(F.concat(
         F.col("`secrets*`"), _kept(candidates(text), F.col("`secrets*`"), limits))))
     return marked.withColumn("text", F.when(
-        F.size("`secrets*`") > 0, _hidden(text, F.col("`secrets*`"), mark)).otherwise(F.col("text"))).select(*[
-            F.col(f"`{c}`") for c in docs.columns])
+        F.size("`secrets*`") > 0, _hidden(text, F.col("`secrets*`"), mark)).otherwise(F.col("text"))).select(*quoted(docs))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.session import new_scratch
 
@@ -23,3 +25,17 @@ def keep(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     path = new_scratch(spark, label)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def quoted(df: DataFrame) -> list[str]:
+    """The names of all columns as they have to be selected; a name may hold a dot or a backtick."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+
+
+def map_rows(df: DataFrame, run: Callable, *more: T.StructField) -> DataFrame:
+    """``df.mapInArrow(run)`` with the columns of ``df`` and ``more``, whatever they are called: ``run`` sees and returns
+    them by position, since Spark looks the columns up by names that must not hold dots."""
+    fields = [*df.schema.fields, *more]
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+    plain = df.toDF(*schema.names[:len(df.columns)])
+    return plain.mapInArrow(run, schema).toDF(*[f.name for f in fields])

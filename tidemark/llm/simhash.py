@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import keep
+from tidemark.llm.shared import keep, map_rows, quoted
 
 #: A block with more distinct fingerprints than this is linked through midpoints instead of pairs.
 BLOCK_LIMIT = 32
@@ -122,7 +122,7 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
     stays = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     stays = keep(stays, "stays")
     # The ids grow with the documents, so they are joined by a shuffle at every size and never broadcast.
-    named = docs.join(stays.select("doc_id").hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    named = docs.join(stays.select("doc_id").hint("merge"), "doc_id", "left_semi").select(*quoted(docs))
     if stays.where("n > 1").limit(1).count():
         named = named.dropDuplicates(["doc_id"])
     if groups.where("doc_id is null").limit(1).count():
@@ -132,14 +132,13 @@ def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
 
 
 def _rows_without_id(docs: DataFrame, groups: DataFrame, width: int) -> DataFrame:
-    prints = groups.where("doc_id is null").select("fp").distinct()
+    prints, at = groups.where("doc_id is null").select("fp").distinct(), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.names.index("text"))
-            found = np.array([fingerprint(t.as_py(), width) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "fp*"])
+            found = np.array([fingerprint(t.as_py(), width) for t in batch.column(at)], np.uint64).view(np.int64)
+            names = [*batch.schema.names, f"c{batch.num_columns}"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=names)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("fp*", T.LongType())])
-    marked = docs.where("doc_id is null").mapInArrow(run, schema)
-    return marked.join(prints, marked["`fp*`"] == prints["fp"], "left_semi").select(*docs.columns)
+    marked = map_rows(docs.where("doc_id is null"), run, T.StructField("fp*", T.LongType()))
+    return marked.join(prints, marked["`fp*`"] == prints["fp"], "left_semi").select(*quoted(docs))
