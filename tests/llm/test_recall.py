@@ -140,6 +140,7 @@ def test_pairs_at_the_very_threshold_share_a_filter():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     e -= (e * x).sum(1, keepdims=True) * x
     y = 0.9301 * x + np.sqrt(1 - 0.9301 ** 2) * e / np.linalg.norm(e, axis=1, keepdims=True)
-    one, two = caps.decode(x, 224), caps.decode(y, 224)  # as for a label of 100,000 vectors
+    directions = int(np.ceil(np.sqrt(caps.FILTERS * 100_000 / caps.OCCUPANCY)))  # as for a label of 100,000 vectors
+    one, two = caps.decode(x, directions), caps.decode(y, directions)
     assert min(map(len, one)) >= caps.LEAST
     assert sum(len(np.intersect1d(a, b)) > 0 for a, b in zip(one, two)) >= 0.99 * len(x)
