@@ -52,6 +52,16 @@ def test_whole_table(spark, sf):
     assert sorted(map(tuple, got)) == sorted(plain([(r["doc_id"], r["text"]) for r in docs.collect()], trusted))
 
 
+@pytest.mark.parametrize("bound", [1, 1_000])
+def test_all_trusted_documents_count(spark, bound):
+    """The target is counted over every trusted document, whether their ids are broadcast or shuffled."""
+    rnd = random.Random(5)
+    rows = [(i // 2 if i % 9 else None, " ".join(f"w{rnd.randint(0, 30) + 20 * (i % 3)}" for _ in range(60))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(40)] + [(1, 1, 0), (None, 1, 0)], LABELS)
+    got = rules.quality_rules(spark.createDataFrame(rows, DOCS), labels, bound=bound).drop("ratio_millionths").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(plain(rows, {i for i in range(40) if i % 3}), key=repr)
+
+
 def test_awkward_rows(spark):
     rnd = random.Random(2)
     prose = [" ".join(rnd.choice("alpha beta gamma delta epsilon zeta".split()) + str(rnd.randint(0, 40)) for _ in range(80)) for _ in range(6)]
