@@ -108,6 +108,19 @@ def test_failure_streaks(skewed, max_rows):
     assert as_set(got) == want
 
 
+def test_many_chunks_cost_a_row_nothing(spark):
+    """Chunks are never larger than asked for, and no row looks itself up in a list of cuts as long as the key has chunks."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, "H").alias("symbol"), (F.col("id") * 7919 % 30_011).alias("seq"))
+    split, is_split = split_hot_keys(df, ["symbol"], "seq", 40)
+    sizes = split.groupBy("symbol", CHUNK).agg(F.count("*").alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high"))
+    found = sorted(map(tuple, sizes.collect()), key=lambda r: (r[0] is None, r[1]))
+    assert is_split and sum(r[2] for r in found) == 30_000 and max(r[2] for r in found) <= 40
+    assert all(a[4] < b[3] for a, b in zip(found, found[1:]) if a[0] == b[0])
+    assert "array" not in split._jdf.queryExecution().optimizedPlan().toString()
+    cut, whole = (row_index(df, ["symbol"], "seq", "i", n) for n in (40, 10**6))
+    assert as_set(cut) == as_set(whole)
+
+
 def test_long_streak_crosses_many_chunks(spark):
     rows = [(i, "j", "success" if i in (3, 500) else "failed") for i in range(600)]
     df = spark.createDataFrame(rows, "seq long, job string, status string")

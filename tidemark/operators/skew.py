@@ -13,20 +13,20 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import new_scratch
+
 CHUNK = "_chunk"
 # Rows of equal order value are ordered by the hash of the whole row, and identical ones by a number.
 TIE, COPY = "_tie", "_copy"
 TIES = [TIE, COPY]
-# A key with more rows than this is cut, into chunks of about this many rows.
+# A key with more rows than this is cut, into chunks of at most this many rows.
 MAX_ROWS = 1_000_000
-# Rows of the sample that stand for one chunk, and cut values compared at once when a row looks up its chunk.
-SAMPLED, STEP = 32, 64
 # A table is collected and broadcast up to this many rows and bytes, and joined by a shuffle beyond.
 SMALL_ROWS, SMALL_BYTES = 100_000, 32 * 1024 * 1024
 
 
 class Split(NamedTuple):
-    """When ``is_split``, ``df`` has a ``_chunk`` column: 0 for keys left whole, counting from 1 in a cut key. It also has
+    """When ``is_split``, ``df`` has a ``_chunk`` column: 0 for keys left whole, rising from 1 on in a cut key. It also has
     the columns ``TIES``, by which rows of one order value follow each other, within chunks and from one to the next."""
 
     df: DataFrame
@@ -52,11 +52,6 @@ def join_keys(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "l
     return joined if how in ("left_semi", "left_anti") else joined.drop(*other.values())
 
 
-def _join_bounded(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    local = small_copy(side)
-    return join_keys(df, side if local is None else F.broadcast(local), keys, how)
-
-
 def _comparable(df: DataFrame) -> list[str]:
     """Columns that can be hashed and grouped by."""
     def plain(kind) -> bool:
@@ -85,43 +80,33 @@ def _numbered_copies(rows: DataFrame) -> DataFrame:
     return counted.withColumn(COPY, F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).drop("_times")
 
 
-def _place(seq: str) -> Column:
-    """Where a row stands in its key; a total order but for what cannot be told apart. Nulls come first."""
-    return F.struct(F.col(seq).alias("seq"), F.col(TIE).alias("tie"), F.col(COPY).alias("copy"))
-
+def _cut(hot_rows: DataFrame, keys: list[str], seq: str, max_rows: int) -> DataFrame:
+    """``hot_rows`` with their chunks, by one distributed sort.
 
-def _cuts(hot_rows: DataFrame, keys: list[str], seq: str, max_rows: int) -> DataFrame:
-    """Per key the ascending places at which its chunks begin, and every 64th of them.
-
-    They are quantiles of a sample by the hash of the place, some 32 rows for each chunk, so the spacing of ``seq`` does
-    not matter, and neither does how many rows have one ``seq``.
+    The order is total but for what cannot be told apart: keys, ``seq``, the hash of the row, a number among identical rows;
+    nulls come first. Chunks are ``max_rows`` neighbours of a sorted partition, fewer where a partition or a key ends, so
+    neither the spacing of ``seq`` nor how many rows have one ``seq`` matters, and a row costs the same however many chunks
+    there are. The rows are written with their chunks, since sorting them again could limit the partitions elsewhere.
     """
-    step = min(SAMPLED, max_rows)
-    drawn = F.pmod(F.xxhash64(F.col(seq), F.col(TIE), F.col(COPY)), F.lit(1 << 30)) < int(step / max_rows * (1 << 30))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_place"))
-    cuts = (
-        hot_rows.filter(drawn).select(*keys, _place(seq).alias("_place")).withColumn("_rank", rank)
-        .filter(F.col("_rank") % step == 0)
-        .groupBy(*keys).agg(F.sort_array(F.collect_set("_place")).alias("_cuts"))
+    spark, order = hot_rows.sparkSession, [*keys, seq, *TIES]
+    cut = (
+        hot_rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_row", F.monotonically_increasing_id())
+        .withColumn(CHUNK, F.expr(f"_row div {max_rows} + 1")).drop("_row")
     )
-    coarse = F.transform(F.sequence(F.lit(1), F.size("_cuts"), F.lit(STEP)), lambda i: F.element_at("_cuts", i))
-    return cuts.withColumn("_coarse", coarse)
-
-
-def _chunk_of(seq: str) -> Column:
-    """How many cuts lie at or below a row's place, in two short scans."""
-    block = F.size(F.filter("_coarse", lambda c: c <= _place(seq)))
-    within = F.filter(F.slice("_cuts", (block - 1) * STEP + 1, STEP), lambda c: c <= _place(seq))
-    return F.when(block > 0, (block - 1) * STEP + F.size(within)).otherwise(0) + 1
+    path = new_scratch(spark, "chunks")
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
 def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
-    """Cut every key holding more than ``max_rows`` rows into chunks of about as many along a total order.
+    """Cut every key holding more than ``max_rows`` rows into chunks of at most as many along a total order.
 
     The order is the column ``seq``, then the hash of the row, then a number among identical rows, so a key whose rows
     all have one ``seq``, or none, is cut as well. One aggregation over the key columns (combined map-side) decides whether
-    any key is hot; when none is, the frame comes back untouched. A null key is a key like any other. The tables of hot
-    keys and of cuts have about one entry per ``max_rows`` rows; they are broadcast only while that is little.
+    any key is hot; when none is, the frame comes back untouched. A null key is a key like any other. The table of hot
+    keys has at most one row per ``max_rows`` rows; it is broadcast only while that is little. Rows of hot keys are sorted
+    and written to the shared scratch folder once.
     """
     keys = list(keys)
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
@@ -130,11 +115,9 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int =
         return Split(df, False)
     side = hot if local is None else F.broadcast(local)
     df = with_tie(df)
-    hot_rows = _numbered_copies(join_keys(df, side, keys, "left_semi"))
-    placed = _join_bounded(hot_rows, _cuts(hot_rows, keys, seq, max_rows), keys)
-    chunk = F.when(F.col("_cuts").isNotNull(), _chunk_of(seq)).otherwise(0).cast("long")
+    placed = _cut(_numbered_copies(join_keys(df, side, keys, "left_semi")), keys, seq, max_rows)
     cold = join_keys(df, side, keys, "left_anti").withColumns({COPY: F.lit(0).cast("long"), CHUNK: F.lit(0).cast("long")})
-    return Split(placed.withColumn(CHUNK, chunk).drop("_cuts", "_coarse").unionByName(cold), True)
+    return Split(placed.unionByName(cold), True)
 
 
 def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = MAX_ROWS) -> DataFrame:
