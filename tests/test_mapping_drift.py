@@ -156,3 +156,17 @@ def test_quarantine_keeps_the_latest(spark):
         drift.quarantine_rows(later, F.lit("2024-01-02").cast("timestamp")))
     rows = drift.quarantine_table(log).collect()
     assert [(r["from"], r["to"]) for r in rows] == [("a", "z")]
+
+
+def test_names_of_many_feeds_are_compared_by_many_tasks(spark):
+    """300 feeds with 100 removed and 100 added names are three million pairs, though hardly any bytes."""
+    def side(prefix):
+        return spark.range(30_000).select(
+            F.concat(F.lit("F"), F.col("id") % 300).alias("feed"), F.concat(F.lit(prefix), F.floor(F.col("id") / 300)).alias("column"),
+            F.lit("number").alias("type"), F.floor(F.col("id") / 300).alias("pos"))
+
+    mapped = drift.drift_mappings(side("old"), side("new")).withColumn("task", F.spark_partition_id()).collect()
+    assert len(mapped) == 30_000 and len({r["task"] for r in mapped}) >= 3
+    assert len({r["feed"] for r in mapped}) == 300
+    best = {r["from"]: (r["to"], r["confidence"]) for r in mapped}
+    assert len({(r["from"], r["to"]) for r in mapped}) == 100 and best["old42"] == ("new42", 0.4)

@@ -90,21 +90,24 @@ def added_columns(old: DataFrame, new: DataFrame) -> DataFrame:
 
 #: Feeds with more removed or added columns than this are matched through an index.
 NARROW = 256
+#: Pairs of names that one task compares, about: a few seconds of work. The names are few bytes, and by bytes AQE would put
+#: them all into one task.
+PAIRS = 1_000_000
 
 
 def drift_mappings(old: DataFrame, new: DataFrame, narrow: int = NARROW) -> DataFrame:
     """Closest added column for every removed one: ``feed, from, to, confidence`` (3 decimals).
 
     Of equal scores the earlier added column wins; a score of 0 is no match. While every feed has few of them, a feed's
-    removed and added names are two arrays of one row; beyond ``narrow`` names go through :func:`wide.closest`, which
-    gives the same without a row or task that holds all names of a feed.
+    removed and added names are two arrays of one row, and rows are spread over tasks by the number of pairs; beyond ``narrow``
+    names go through :func:`wide.closest`, which gives the same without a row or task that holds all names of a feed.
     """
     name = drift_name(F.col("column"))
     headers = compare_headers(old, new)
     gone, come = F.col("new_pos").isNull(), F.col("old_pos").isNull()
     added_name = F.struct(F.col("new_pos").alias("pos"), name.alias("name"))
     sizes = headers.groupBy("feed").agg(F.count_if(gone).alias("gone"), F.count_if(come).alias("come")).agg(
-        F.max(F.greatest("gone", "come")), F.max("come")).first()
+        F.max(F.greatest("gone", "come")), F.max("come"), F.sum((F.col("gone") + 1) * (F.col("come") + 1))).first()
     if (sizes[0] or 0) > narrow:
         removed = headers.filter(gone).select("feed", name.alias("name"))
         added = headers.filter(come).select("feed", F.inline(F.array(added_name)))
@@ -112,6 +115,9 @@ def drift_mappings(old: DataFrame, new: DataFrame, narrow: int = NARROW) -> Data
     else:
         lists = headers.groupBy("feed").agg(
             F.collect_list(F.when(gone, name)).alias("_removed"), F.collect_list(F.when(come, added_name)).alias("_added"))
+        tasks = -(-(sizes[2] or 0) // PAIRS)
+        if tasks > 1:
+            lists = lists.repartition(tasks, "feed")
         found = F.transform("_removed", lambda r: F.struct(r["name"].alias("from"), wide.best_of(r, F.col("_added")).alias("best")))
         rows = lists.select("feed", F.inline(found))
     return rows.filter(F.col("best.score") > 0).select(
