@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import monitor, outliers
 from tidemark.operators.load import assign_batches
 from tidemark.operators.skew import CHUNK, arrival_index, join_small, row_index, split_hot_keys
+from tidemark.plans import bindings, catalogue
 from tidemark.sources.feeds import arrival
 
 
@@ -121,6 +122,33 @@ def test_many_chunks_cost_a_row_nothing(spark):
     assert as_set(cut) == as_set(whole)
 
 
+def test_sorted_rows_are_not_shuffled_again_to_number_them(spark):
+    """Only rows of cold keys go through a ranking window, and feeds are read from what was parsed once."""
+    df = spark.range(9000).select(F.when(F.col("id") < 6000, "H").when(F.col("id") < 8000, F.lit(None)).otherwise(
+        F.concat(F.lit("K"), F.col("id") % 50)).alias("symbol"), (F.col("id") * 31 % 997).alias("seq"))
+    cut, whole = (row_index(df, ["symbol"], "seq", "i", n) for n in (60, 10**6))
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    ranked = [x for x in cut._jdf.queryExecution().optimizedPlan().toString().split("\n") if "row_number()" in x]
+    assert len(ranked) == 1 and CHUNK not in ranked[0]
+
+
+def test_feeds_are_parsed_once(spark, tmp_path):
+    rows = [(i, f"2024-01-{1 + i % 28:02d} 10:00:00", i % 7, ["view", "click", "purchase", "error", None][i % 5], float(i),
+             None if i == 9 else '{"k": %d}' % (i % 20)) for i in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn(
+        "ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "events.parquet"))
+    path = catalogue._delivered(spark, str(tmp_path))
+    for upto in ("2024-01-15", None):
+        feeds = {s: f.rows() for s, f in catalogue._event_feeds(spark, str(tmp_path), path, upto).items()}
+        want = bindings.dirty_ticks(spark, str(tmp_path))
+        if upto:
+            want = want.filter((F.col("timestamp") < upto) | F.col("timestamp").isNull())
+        got = [str(r) for f in feeds.values() for r in f.collect()]
+        assert sorted(got) == sorted(str(r) for r in want.collect()) and {f.columns == want.columns for f in feeds.values()} == {True}
+        assert all(r["source"] == s for s in ("coinpaprika", "coingecko") for r in feeds[s].collect())
+        assert not any("json" in f._jdf.queryExecution().optimizedPlan().toString() for f in feeds.values())
+
+
 def test_long_streak_crosses_many_chunks(spark):
     rows = [(i, "j", "success" if i in (3, 500) else "failed") for i in range(600)]
     df = spark.createDataFrame(rows, "seq long, job string, status string")

@@ -18,6 +18,8 @@ from tidemark.session import new_scratch
 CHUNK = "_chunk"
 # Rows of equal order value are ordered by the hash of the whole row, and identical ones by a number.
 TIE, COPY = "_tie", "_copy"
+# Number of a sorted row, and the sorted partition that it is in.
+ROW, PART = "_row", "_sorted_part"
 TIES = [TIE, COPY]
 # A key with more rows than this is cut, into chunks of at most this many rows.
 MAX_ROWS = 1_000_000
@@ -86,19 +88,32 @@ def _cut(hot_rows: DataFrame, keys: list[str], seq: str, max_rows: int) -> DataF
     The order is total but for what cannot be told apart: keys, ``seq``, the hash of the row, a number among identical rows;
     nulls come first. Chunks are ``max_rows`` neighbours of a sorted partition, fewer where a partition or a key ends, so
     neither the spacing of ``seq`` nor how many rows have one ``seq`` matters, and a row costs the same however many chunks
-    there are. The rows are written with their chunks, since sorting them again could limit the partitions elsewhere.
+    there are. ``ROW`` numbers the rows of a sorted partition without gaps, from the partition's number times 2 ** 33 on. The
+    rows are written with both, since sorting them again could limit the partitions elsewhere.
     """
     spark, order = hot_rows.sparkSession, [*keys, seq, *TIES]
     cut = (
         hot_rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn(CHUNK, F.expr(f"_row div {max_rows} + 1")).drop("_row")
+        .withColumn(ROW, F.monotonically_increasing_id())
+        .withColumn(CHUNK, F.expr(f"{ROW} div {max_rows} + 1"))
     )
     path = new_scratch(spark, "chunks")
     cut.write.parquet(path)
     return spark.read.schema(cut.schema).parquet(path)
 
 
+def _hot_and_cold(df: DataFrame, keys: list[str], seq: str, max_rows: int) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of keys above ``max_rows`` as :func:`_cut` gives them, and all other rows; None when no key is hot."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
+    local = small_copy(hot)
+    if local is not None and local.isEmpty():
+        return None
+    side = hot if local is None else F.broadcast(local)
+    df = with_tie(df)
+    placed = _cut(_numbered_copies(join_keys(df, side, keys, "left_semi")), keys, seq, max_rows)
+    return placed, join_keys(df, side, keys, "left_anti").withColumn(COPY, F.lit(0).cast("long"))
+
+
 def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int = MAX_ROWS) -> Split:
     """Cut every key holding more than ``max_rows`` rows into chunks of at most as many along a total order.
 
@@ -108,38 +123,35 @@ def split_hot_keys(df: DataFrame, keys: Sequence[str], seq: str, max_rows: int =
     keys has at most one row per ``max_rows`` rows; it is broadcast only while that is little. Rows of hot keys are sorted
     and written to the shared scratch folder once.
     """
-    keys = list(keys)
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*keys)
-    local = small_copy(hot)
-    if local is not None and local.isEmpty():
+    parts = _hot_and_cold(df, list(keys), seq, max_rows)
+    if parts is None:
         return Split(df, False)
-    side = hot if local is None else F.broadcast(local)
-    df = with_tie(df)
-    placed = _cut(_numbered_copies(join_keys(df, side, keys, "left_semi")), keys, seq, max_rows)
-    cold = join_keys(df, side, keys, "left_anti").withColumns({COPY: F.lit(0).cast("long"), CHUNK: F.lit(0).cast("long")})
-    return Split(placed.unionByName(cold), True)
+    placed, cold = parts
+    return Split(placed.drop(ROW).unionByName(cold.withColumn(CHUNK, F.lit(0).cast("long"))), True)
 
 
 def row_index(df: DataFrame, keys: Sequence[str], seq: str, name: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """0-based position of each row within its key by ``seq``, without a whole key in one task. Rows of one ``seq`` are
-    numbered by their hash, the same whether the key was cut or not."""
+    numbered by their hash, the same whether the key was cut or not. Rows of hot keys are numbered as they were sorted;
+    what is summed up in order has a row per key and sorted partition."""
     keys = list(keys)
-    split, is_split = split_hot_keys(df, keys, seq, max_rows)
-    if not is_split:
+    parts = _hot_and_cold(df, keys, seq, max_rows)
+    if parts is None:
         order = Window.partitionBy(*keys).orderBy(seq, row_hash(df))
         return df.withColumn(name, (F.row_number().over(order) - 1).cast("long"))
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    placed, cold = parts
+    placed = placed.withColumn(PART, F.shiftright(ROW, 33))
+    before = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        split.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_m"))
-        .select(*keys, CHUNK, F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(seq, *TIES)) - 1
-    return (
-        split.withColumn("_local", local)
-        .transform(join_keys, offsets, [*keys, CHUNK])
-        .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop(CHUNK, "_local", "_offset", *TIES)
+        placed.groupBy(*keys, PART).agg(F.min(ROW).alias("_first"), F.count(F.lit(1)).alias("_m"))
+        .select(*keys, PART, (F.coalesce(F.sum("_m").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
     )
+    local = small_copy(offsets)
+    numbered = join_keys(placed, offsets if local is None else F.broadcast(local), [*keys, PART]).withColumn(
+        name, (F.col(ROW) + F.col("_offset")).cast("long"))
+    order = Window.partitionBy(*keys).orderBy(seq, *TIES)
+    return numbered.drop(CHUNK, ROW, PART, "_offset").unionByName(
+        cold.withColumn(name, (F.row_number().over(order) - 1).cast("long"))).drop(*TIES)
 
 
 def arrival_index(

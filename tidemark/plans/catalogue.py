@@ -6,6 +6,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from tidemark.functions import clean, names
 from tidemark.model import (
@@ -516,19 +517,27 @@ def stored_tables(spark, sf):
     return join_keys(tables.normalized(), raw, ["symbol", "timestamp", "source"], "inner")
 
 
-def _event_feeds(spark, sf, upto: str | None) -> dict[str, Feed]:
-    """Everything that had arrived by a date, rows without a readable time included; without a date everything."""
-    stamp, rows = F.col("timestamp"), b.dirty_ticks(spark, sf)
-    rows = rows if upto is None else rows.filter(stamp.isNull() | (stamp < at(upto)))
+def _delivered(spark, sf) -> str:
+    """The dirty ticks written once by the feed that delivers them, so that no feed of a run reads and parses the others'."""
     # What names no accepted source, or none, is delivered by the file feed.
     feed = F.when(F.col("source").isin(*SOURCES), F.col("source")).otherwise("csv")
-    return {s: Feed(lambda s=s: rows.filter(feed == s)) for s in SOURCES}
+    path = new_scratch(spark, "delivered")
+    b.dirty_ticks(spark, sf).withColumn("feed", feed).write.partitionBy("feed").parquet(path)
+    return path
+
+
+def _event_feeds(spark, sf, path: str, upto: str | None) -> dict[str, Feed]:
+    """Everything that had arrived by a date, rows without a readable time included; without a date everything."""
+    stamp, plain = F.col("timestamp"), b.dirty_ticks(spark, sf).schema
+    rows = spark.read.schema(StructType([*plain.fields]).add("feed", StringType())).parquet(path)
+    rows = rows if upto is None else rows.filter(stamp.isNull() | (stamp < at(upto)))
+    return {s: Feed(lambda s=s: rows.filter(F.col("feed") == s).select(*plain.names)) for s in SOURCES}
 
 
 def _two_runs(spark, sf) -> Tables:
-    tables = Tables(spark, new_scratch(spark, "ingest"))
-    load_run(tables, _event_feeds(spark, sf, "2024-01-15"), "run-1", datetime(2024, 1, 15, tzinfo=timezone.utc))
-    load_run(tables, _event_feeds(spark, sf, None), "run-2", NOW)
+    tables, path = Tables(spark, new_scratch(spark, "ingest")), _delivered(spark, sf)
+    load_run(tables, _event_feeds(spark, sf, path, "2024-01-15"), "run-1", datetime(2024, 1, 15, tzinfo=timezone.utc))
+    load_run(tables, _event_feeds(spark, sf, path, None), "run-2", NOW)
     return tables
 
 
